@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablehouse.session import scratch
+
 FIRST_DT, LAST_DT = "2024-01-01", "2024-01-30"
 
 TABLES = {"events", "orders", "customer", "lineitem"}
@@ -185,10 +187,14 @@ where copy = 0 or event_id % 7 = 0""",
 def _deal(size: int, low: int) -> str:
     """Three hands of two cards and a board of five per event, from a deck of `size` cards.
 
-    The eleven cards differ because every step is coprime with 52 and with 36.
+    The eleven cards differ because every step is coprime with 52 and with 36.  Numbers run
+    through a suit before the next, so that flushes and straights occur.
     """
+    ranks = size // 4
+
     def card(slot: str) -> str:
-        return f"(event_id * 7 + {slot} * st) % {size} + {low}"
+        x = f"((event_id * 7 + {slot} * st) % {size})"
+        return f"{x} % {ranks} * 4 + cast(floor({x} / {ranks}) as bigint) + {low}"
 
     board = ", ".join(f"{card(str(i))} as c{i}" for i in range(6, 11))
     return f"""
@@ -217,6 +223,7 @@ VIEWS["v_deal_parts"] = """
 select hand, sztoken, nround, ngametype, dt, #users_agg# as users, #cards_agg# as handcards
 from @v_result group by hand, sztoken, nround, ngametype, dt"""
 
+_STORED: dict[tuple[str, str], str] = {}
 _REF = re.compile(r"@(\w+)")
 
 
@@ -273,5 +280,17 @@ class Fixtures:
         key = name if name in TABLES else f"v_{name}"
         return self.spark.table(self._register(key))
 
+    def stored(self, name: str, make=None) -> DataFrame:
+        """A view (or the frame `make` gives) as a table written once per session.
+
+        The nightly jobs hand tables to each other; several of them read the same one.
+        """
+        key = (self.spark.sparkContext.applicationId, self.prefix + name)
+        if key not in _STORED:
+            path = scratch(self.spark, name)
+            (make() if make else getattr(self, name)).write.parquet(path)
+            _STORED[key] = path
+        return self.spark.read.parquet(_STORED[key])
+
     def sql(self, text: str) -> DataFrame:
         return self.spark.sql(self.resolve(text))

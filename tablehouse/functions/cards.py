@@ -112,11 +112,11 @@ def with_strength(df: DataFrame, cards: str = "cards", deck: str = "holdem") ->
     """
     full_house, flush, low_ace = DECKS[deck]
     base = df.columns
-    suited = [
-        F.sort_array(F.transform(F.filter(cards, lambda c, s=s: suit_of(c) == s), rank_of), asc=False)
-        for s in range(4)
-    ]
-    flush_ranks = F.coalesce(*[F.when(F.size(x) >= 5, x) for x in suited])
+
+    def of_suit(s: int) -> Column:
+        return F.sort_array(F.transform(F.filter(cards, lambda c: suit_of(c) == s), rank_of), asc=False)
+
+    flush_ranks = F.coalesce(*[F.when(F.size(of_suit(s)) >= 5, of_suit(s)) for s in range(4)])
     steps = df.select(*base, F.transform(cards, rank_of).alias("_r"), flush_ranks.alias("_f"))
     # (count, rank) as one number, best first
     grouped = F.sort_array(F.transform(

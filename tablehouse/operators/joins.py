@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablehouse.operators.skew import hot_keys
+
 
 def semi(df: DataFrame, keys_of: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of df whose key occurs in the other frame."""
@@ -33,29 +35,35 @@ def full(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return reduce(lambda left, right: left.join(right, keys, "full"), frames)
 
 
-def pairs(df: DataFrame, keys: list[str], id_col: str, cols: list[str], block: int = 64) -> DataFrame:
-    """All pairs of rows of a key with a smaller and a greater id, as `<col>_1`, `<col>_2`.
+def pairs(df: DataFrame, keys: list[str], id_col: str, cols: list[str], block: int = 64) -> list[DataFrame]:
+    """Pairs of rows of one key with a smaller and a greater id, as `<col>_1`, `<col>_2`.
 
-    A key with more than `block` rows is cut into blocks by id, and each pair of blocks
-    becomes its own join key (`_i`, `_j`), so that no task holds a whole hot key.  A usual
-    key is one block and is not copied.  `_i` and `_j` follow from the ids: add them to the
-    next grouping and that grouping needs no exchange.
+    Usual keys make the first frame: a self-join that reads one exchange twice.  Keys with
+    more than `block` rows, if there are any, make the second: they are cut into blocks by
+    id, and each pair of blocks is a join key of its own, so no task holds a whole hot key.
+    Each frame is distributed by `keys` plus `_i`, `_j` (the blocks, which follow from the
+    ids): group each by these and the ids first, then add the two up.
     """
     rows = df.select(*keys, id_col, *cols)
-    large = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > block)
-        .select(*keys, F.ceil(F.col("_rows") / block).cast("int").alias("_nb"))
-    )
-    blocks = F.coalesce("_nb", F.lit(1))
-    tagged = rows.join(large, keys, "left").select(
-        "*", F.pmod(F.xxhash64(id_col).cast("bigint"), blocks.cast("bigint")).cast("int").alias("_b"),
-        F.sequence(F.lit(0), blocks - 1).alias("_all"),
-    )
-
-    def side(own: str, other: str, suffix: str) -> DataFrame:
-        return tagged.select(
-            *keys, F.col("_b").alias(own), F.explode("_all").alias(other),
-            *[F.col(c).alias(f"{c}_{suffix}") for c in [id_col, *cols]])
-
-    return side("_i", "_j", "1").join(side("_j", "_i", "2"), [*keys, "_i", "_j"]).where(
-        F.col(f"{id_col}_1") < F.col(f"{id_col}_2"))
+    hot, block = hot_keys(df, keys, block)
+
+    def named(side: DataFrame, suffix: str) -> DataFrame:
+        return side.withColumnsRenamed({c: f"{c}_{suffix}" for c in [id_col, *cols]})
+
+    ordered = F.col(f"{id_col}_1") < F.col(f"{id_col}_2")
+    usual = rows if hot is None else rows.join(F.broadcast(hot), keys, "left_anti")
+    plain = named(usual, "1").join(named(usual, "2"), keys).where(ordered).select(
+        "*", F.lit(0).alias("_i"), F.lit(0).alias("_j"))
+    if hot is None:
+        return [plain]
+    cut = F.ceil(F.col("_n") / block)
+    tagged = rows.join(F.broadcast(hot), keys).select(
+        *rows.columns, F.pmod(F.xxhash64(id_col).cast("bigint"), cut).cast("int").alias("_b"),
+        F.sequence(F.lit(0), cut.cast("int") - 1).alias("_all"))
+
+    def blocks(own: str, other: str, suffix: str) -> DataFrame:
+        side = tagged.select(*rows.columns, F.col("_b").alias(own), F.explode("_all").alias(other))
+        return named(side, suffix).repartition(*keys, "_i", "_j")
+
+    salted = blocks("_i", "_j", "1").join(blocks("_j", "_i", "2"), [*keys, "_i", "_j"]).where(ordered)
+    return [plain, salted.select(*plain.columns)]

@@ -1,9 +1,9 @@
 """Running computations per key that stay spread when one key holds much of the data.
 
-A key with more rows than `limit` is cut into chunks of its order column.  Windows run
-per chunk; a small table of chunk summaries, scanned in order, says what each chunk
-inherits from those before or after it.  A usual key is one chunk: it takes one window
-and matches no summary.
+Usual keys take one window.  If a counting job finds keys with more rows than `limit`,
+those are cut into chunks of the order column: windows run per chunk, and a small table of
+chunk summaries, scanned in order, says what each chunk inherits from those before or
+after it.
 
 The order column is a number; rows of a key that share its value stay in one chunk.
 """
@@ -13,36 +13,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablehouse.operators.skew import hot_keys
+
 LIMIT = 2_000_000
 
 
-def split_hot(df: DataFrame, keys: list[str], order: str, limit: int = LIMIT) -> DataFrame:
-    """Adds `_c`: the chunk a row belongs to, null for the rows of a usual key.
+def split_hot(df: DataFrame, keys: list[str], order: str, limit: int = LIMIT) -> tuple[DataFrame, bool]:
+    """Adds `_c`, the chunk a row belongs to (null for a usual key); whether there are any.
 
-    The sizes are counted map-side first; only keys above the limit reach the join.
+    The table of hot keys is bounded and broadcast, so the rows move once: to their key and
+    chunk.
     """
-    hot = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"),
-    ).where(F.col("_n") > limit).select(*keys, "_lo", "_hi", F.ceil(F.col("_n") / limit).alias("_nb"))
+    hot, limit = hot_keys(df, keys, limit, (F.min(order).alias("_lo"), F.max(order).alias("_hi")))
+    if hot is None:
+        return df.withColumn("_c", F.lit(None).cast("bigint")), False
     width = (F.col("_hi") - F.col("_lo") + 1).cast("double")
-    chunk = F.floor((F.col(order) - F.col("_lo")).cast("double") / width * F.col("_nb"))
-    return df.join(hot, keys, "left").withColumn("_c", F.least(chunk, F.col("_nb") - 1)).drop("_lo", "_hi", "_nb")
-
-
-def _rows(w, start, end):
-    return w.rowsBetween(start, end)
+    cut = F.ceil(F.col("_n") / limit)
+    chunk = F.floor((F.col(order) - F.col("_lo")).cast("double") / width * cut)
+    tagged = df.join(F.broadcast(hot), keys, "left").withColumn("_c", F.least(chunk, cut - 1))
+    return tagged.drop("_n", "_lo", "_hi").repartition(*keys, "_c"), True
 
 
-ALL_BEFORE = (Window.unboundedPreceding, -1)
-ALL_AFTER = (1, Window.unboundedFollowing)
+BEFORE = (Window.unboundedPreceding, -1)
 PAST = (Window.unboundedPreceding, Window.currentRow)
-FUTURE = (Window.currentRow, Window.unboundedFollowing)
+WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def _inherit(df: DataFrame, keys: list[str], aggs: list[Column], carried: list[Column]) -> DataFrame:
-    """df with, per hot chunk, what the chunk summaries hand over.  Others get nulls."""
+def _inherit(df: DataFrame, any_hot: bool, keys: list[str], aggs: list[Column],
+             carried: dict[str, Column]) -> DataFrame:
+    """df with, per hot chunk, what the chunk summaries hand over; nulls for usual keys."""
+    if not any_hot:
+        return df.withColumns({n: F.lit(None).cast("void") for n in carried}) if carried else df
     summary = df.where("_c is not null").groupBy(*keys, "_c").agg(*aggs)
-    carry = summary.select(*keys, "_c", *carried)
+    carry = summary.select(*keys, "_c", *[c.alias(n) for n, c in carried.items()])
     return df.join(carry, [*keys, "_c"], "left")
 
 
@@ -51,41 +54,42 @@ def fill(df: DataFrame, keys: list[str], order: str, cols: list[str], back: str
     """Fill nulls with the last earlier value; what is left with a later one.
 
     back: None, 'first' (the nearest later value) or 'last' (the key's last value).
+
+    A row without an earlier value has all of the key's values after it, so the nearest
+    later value is the key's first and the last later value is the key's last: one pass
+    over the whole partition, where a frame from the current row on would take n passes.
     """
     if back not in (None, "first", "last"):
         raise ValueError("back is None, 'first' or 'last'")
-    out = df.columns
-    split = split_hot(df, keys, order, limit)
-    known = lambda c: F.when(F.col(c).isNotNull(), F.col(order))
-    aggs, carried = [], []
-    chunks = Window.partitionBy(*keys).orderBy("_c")
+    split, any_hot = split_hot(df, keys, order, limit)
+    pick = F.first if back == "first" else F.last
+    by_chunk = Window.partitionBy(*keys).orderBy("_c")
+    aggs, carried = [], {}
     for c in cols:
-        aggs += [F.max_by(c, known(c)).alias(f"_l_{c}"), F.min_by(c, known(c)).alias(f"_f_{c}")]
-        carried.append(F.last(f"_l_{c}", True).over(_rows(chunks, *ALL_BEFORE)).alias(f"_p_{c}"))
+        known = F.when(F.col(c).isNotNull(), F.col(order))
+        aggs += [F.max_by(c, known).alias(f"_last_{c}"), F.min_by(c, known).alias(f"_first_{c}")]
+        carried[f"_p_{c}"] = F.last(f"_last_{c}", True).over(by_chunk.rowsBetween(*BEFORE))
         if back:
-            later = F.first(f"_f_{c}", True) if back == "first" else F.last(f"_l_{c}", True)
-            carried.append(later.over(_rows(chunks, *ALL_AFTER)).alias(f"_n_{c}"))
-    joined = _inherit(split, keys, aggs, carried)
+            carried[f"_a_{c}"] = pick(f"_{back}_{c}", True).over(by_chunk.rowsBetween(*WHOLE))
+    joined = _inherit(split, any_hot, keys, aggs, carried)
     local = Window.partitionBy(*keys, "_c").orderBy(order)
 
     def value(c: str) -> Column:
-        picks = [F.last(c, True).over(_rows(local, *PAST)), F.col(f"_p_{c}")]
-        if back == "first":
-            picks += [F.first(c, True).over(_rows(local, *FUTURE)), F.col(f"_n_{c}")]
-        elif back == "last":
-            picks += [F.col(f"_n_{c}"), F.last(c, True).over(_rows(local, *FUTURE))]
+        picks = [F.last(c, True).over(local.rowsBetween(*PAST)), F.col(f"_p_{c}")]
+        if back:
+            picks += [F.col(f"_a_{c}"), pick(c, True).over(local.rowsBetween(*WHOLE))]
         return F.coalesce(*picks).alias(c)
 
-    return joined.select(*[value(c) if c in cols else F.col(c) for c in out])
+    return joined.select(*[value(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def renumber(df: DataFrame, keys: list[str], order: str, ties: list[Column], name: str = "rn",
              limit: int = LIMIT) -> DataFrame:
     """Row number per key by the order column, then by `ties`."""
-    split = split_hot(df, keys, order, limit)
-    chunks = Window.partitionBy(*keys).orderBy("_c")
-    joined = _inherit(split, keys, [F.count(F.lit(1)).alias("_n")],
-                      [F.sum("_n").over(_rows(chunks, *ALL_BEFORE)).alias("_p")])
+    split, any_hot = split_hot(df, keys, order, limit)
+    by_chunk = Window.partitionBy(*keys).orderBy("_c")
+    joined = _inherit(split, any_hot, keys, [F.count(F.lit(1)).alias("_rows")],
+                      {"_p": F.sum("_rows").over(by_chunk.rowsBetween(*BEFORE))})
     local = Window.partitionBy(*keys, "_c").orderBy(order, *ties)
     return joined.select(
         *df.columns, (F.row_number().over(local) + F.coalesce("_p", F.lit(0))).cast("bigint").alias(name))
@@ -95,20 +99,26 @@ def running_distinct(df: DataFrame, keys: list[str], order: str, col: str, name:
                      limit: int = LIMIT) -> DataFrame:
     """How many different values of a column the key has shown up to and with this row.
 
-    Nulls do not count.  A value counts at its first appearance; among rows that share key,
-    order and value one is marked.
+    Nulls do not count.  The first row of each value is marked and the marks are summed;
+    rows of equal position agree (range frame).
     """
-    firsts = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.min(order).alias(order)).groupBy(
-        *keys, order).agg(F.count(F.lit(1)).alias("_new"))
-    split = split_hot(df, keys, order, limit)
-    # new values per (key, order): put on one row of that position so that sums add up once
-    one = Window.partitionBy(*keys, order).orderBy(F.lit(0))
-    marked = split.join(firsts, [*keys, order], "left").withColumn(
-        "_new", F.when(F.row_number().over(one) == 1, F.coalesce("_new", F.lit(0))).otherwise(0))
-    chunks = Window.partitionBy(*keys).orderBy("_c")
-    joined = _inherit(marked, keys, [F.sum("_new").alias("_n")],
-                      [F.sum("_n").over(_rows(chunks, *ALL_BEFORE)).alias("_p")])
-    local = Window.partitionBy(*keys, "_c").orderBy(order)  # range frame: equal positions agree
+    split, any_hot = split_hot(df, keys, order, limit)
+    if any_hot:
+        # one value of a hot key may be as hot: find first positions map-side and join them
+        firsts = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.min(order).alias(order)).groupBy(
+            *keys, order).agg(F.count(F.lit(1)).alias("_new"))
+        first_here = Window.partitionBy(*keys, "_c", order).orderBy(F.lit(0))
+        marked = split.join(firsts, [*keys, order], "left").withColumn(
+            "_new", F.when(F.row_number().over(first_here) == 1, F.coalesce("_new", F.lit(0))).otherwise(0))
+    else:
+        # spread by key once: both windows then only sort
+        of_value = Window.partitionBy(*keys, col).orderBy(order)
+        new = F.col(col).isNotNull() & (F.row_number().over(of_value) == 1)
+        marked = split.repartition(*keys).withColumn("_new", new.cast("int"))
+    by_chunk = Window.partitionBy(*keys).orderBy("_c")
+    joined = _inherit(marked, any_hot, keys, [F.sum("_new").alias("_sum")],
+                      {"_p": F.sum("_sum").over(by_chunk.rowsBetween(*BEFORE))})
+    local = Window.partitionBy(*keys, "_c").orderBy(order)
     return joined.select(
         *df.columns, (F.sum("_new").over(local) + F.coalesce("_p", F.lit(0))).cast("bigint").alias(name))
 

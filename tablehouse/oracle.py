@@ -53,7 +53,7 @@ ORACLE["seat_info"] = f"with {DWD}, {SEAT} select * from seat"
 
 ORACLE["robot_info"] = """with v as (
   select nplayerid as playerid, sztoken, nround, dt, unnest(list_filter(json_extract(szcarddata, '$[*]'),
-    lambda m: json_extract_string(m, '$.name') = 'ModelVer')) as m from @v_hand_log where json_valid(szcarddata) and nplayerid <> 0)
+    lambda m: json_extract_string(m, '$.name') = 'ModelVer')) as m from @v_hand_log where json_valid(szcarddata))
 select v.playerid, sztoken, nround, json_extract_string(m, '$.data.modelVersion') as robotversion, u.brobot, v.dt
 from v join @v_user u on v.playerid = u.nplayerid and v.dt = u.dt"""
 

@@ -79,15 +79,17 @@ def player_action(dwd: DataFrame, seats: DataFrame, score: DataFrame, fill: str
         raise ValueError("fill is 'last' or 'first'")
     player = Window.partitionBy(*HAND, "playerid").orderBy(ORDER)
     past = player.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    future = player.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    whole = player.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     hand = Window.partitionBy(*HAND)
 
     def forward(c) -> Column:
         return F.last(c, ignorenulls=True).over(past)
 
     def both_ways(c, mode: str = fill) -> Column:
+        # where nothing comes before, all values come after: the first or last of the whole
+        # partition is the one a frame from here on would find, in one pass
         back = F.last if mode == "last" else F.first
-        return F.coalesce(forward(c), back(c, ignorenulls=True).over(future))
+        return F.coalesce(forward(c), back(c, ignorenulls=True).over(whole))
 
     start = F.col("action") == "S2CStateGameStart"
     insure = F.col("action") == "S2CBuyInsure"
@@ -111,7 +113,7 @@ def player_action(dwd: DataFrame, seats: DataFrame, score: DataFrame, fill: str
     ).select(
         "*",
         *[both_ways(c).alias(f"f_{c}") for c in ("minbetscore", "maxbetscore", "minaddscore")],
-        both_ways("won", "last" if fill == "last" else "first").alias("f_won"),
+        both_ways("won").alias("f_won"),
         both_ways("score", "last").alias("f_score"),
         forward("poolscore").alias("f_pool"), forward("board").alias("commoncard"),
     )

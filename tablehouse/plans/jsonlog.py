@@ -37,10 +37,10 @@ def explode_log(ods: DataFrame) -> DataFrame:
         "sztitle", "szhandcard", "szcarddata", "createtime", "dt",
         F.posexplode(F.from_json("szcarddata", "array<string>")).alias("json_index", "element"),
     ).where(F.substring(F.trim("element"), 1, 1) == "{")
-    message = F.from_json("element", MESSAGE)
     fields = F.from_json("element", "map<string, string>")
     index = F.create_map(F.lit("json_index"), F.col("json_index").cast("string"))
-    return elements.select(
+    message = F.col("message")
+    return elements.withColumn("message", F.from_json("element", MESSAGE)).select(
         "id", "gametype", "playerid", "sztoken", "nround", "winscore", "score", "sztitle",
         "szhandcard", "szcarddata",
         F.to_json(F.map_concat(fields, index)).alias("carddata"),
@@ -75,6 +75,8 @@ def seat_info(dwd: DataFrame) -> DataFrame:
         .select("createdate", "sztoken", "nround", "gametype",
                 F.col("s.nPlayerId").alias("playerid"), F.col("s.seat").alias("seat"), "dt")
         .where("playerid is not null and seat is not null")
+        # spread by hand, as the later join needs it; the de-duplication keeps that
+        .repartition(*HAND)
         .dropDuplicates()
     )
 

@@ -37,6 +37,7 @@ def local_session(cores: str = "*", name: str = "tablehouse", partitions: int =
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "12g")
     )

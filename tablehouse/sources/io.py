@@ -155,7 +155,8 @@ def append_jsonl(df: DataFrame, path: str) -> None:
 
 def insert_by_name(df: DataFrame, table: str) -> None:
     """Insert into a catalog table by column name, replacing the partitions concerned."""
-    df.writeTo(table).overwritePartitions()
+    columns = df.sparkSession.table(table).columns
+    df.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
 
 
 def ddl(table: str, columns: dict[str, str], partitions: tuple[str, ...] = ("dt",), location: str | None = None) -> str:
