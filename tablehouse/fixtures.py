@@ -18,6 +18,9 @@ FIRST_DT, LAST_DT = "2024-01-01", "2024-01-30"
 
 TABLES = {"events", "orders", "customer", "lineitem"}
 
+# views that stand for a table several jobs read: written once per session
+SHARED = {"v_result", "v_user", "v_action", "v_hand_log"}
+
 DIALECT = {
     "spark": {
         "days_from_reg": "lateral view explode(sequence(cast(reg as date), date'2024-01-30', interval 1 day)) x as d",
@@ -267,6 +270,8 @@ class Fixtures:
                 df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
                 df = self.spark.sql(self.resolve(_text(name, "spark")))
+                if name in SHARED:
+                    df = self.stored(name, df)
             df.createOrReplaceTempView(alias)
             self._have.add(name)
         return alias
@@ -280,15 +285,15 @@ class Fixtures:
         key = name if name in TABLES else f"v_{name}"
         return self.spark.table(self._register(key))
 
-    def stored(self, name: str, make=None) -> DataFrame:
-        """A view (or the frame `make` gives) as a table written once per session.
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        """The frame as a table, written once per session.
 
-        The nightly jobs hand tables to each other; several of them read the same one.
+        The nightly jobs hand tables to each other, and several of them read the same one.
         """
         key = (self.spark.sparkContext.applicationId, self.prefix + name)
         if key not in _STORED:
             path = scratch(self.spark, name)
-            (make() if make else getattr(self, name)).write.parquet(path)
+            df.write.parquet(path)
             _STORED[key] = path
         return self.spark.read.parquet(_STORED[key])
 

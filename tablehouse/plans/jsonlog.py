@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tablehouse.functions.exprs import HAND, day_of, pick_col
 
-MESSAGE = "name string, data string"
 SEATS = "array<struct<nPlayerId: string, seat: string>>"
 
 # fixed values: JSON fields of a deal-log line and the column each becomes
@@ -37,14 +36,14 @@ def explode_log(ods: DataFrame) -> DataFrame:
         "sztitle", "szhandcard", "szcarddata", "createtime", "dt",
         F.posexplode(F.from_json("szcarddata", "array<string>")).alias("json_index", "element"),
     ).where(F.substring(F.trim("element"), 1, 1) == "{")
-    fields = F.from_json("element", "map<string, string>")
     index = F.create_map(F.lit("json_index"), F.col("json_index").cast("string"))
-    message = F.col("message")
-    return elements.withColumn("message", F.from_json("element", MESSAGE)).select(
+    parsed = elements.withColumn("fields", F.from_json("element", "map<string, string>"))
+    return parsed.select(
         "id", "gametype", "playerid", "sztoken", "nround", "winscore", "score", "sztitle",
         "szhandcard", "szcarddata",
-        F.to_json(F.map_concat(fields, index)).alias("carddata"),
-        "json_index", message["name"].alias("name"), message["data"].alias("data"),
+        F.to_json(F.map_concat("fields", index)).alias("carddata"), "json_index",
+        F.try_element_at("fields", F.lit("name")).alias("name"),
+        F.try_element_at("fields", F.lit("data")).alias("data"),
         "createtime", "dt",
     )
 

@@ -37,12 +37,12 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _exploded(fx: Fixtures) -> DataFrame:
-    return jsonlog.explode_log(fx.stored("hand_log"))
+    return jsonlog.explode_log(fx.hand_log)
 
 
 def _dwd(fx: Fixtures) -> DataFrame:
     """The exploded log as the table the later jobs read."""
-    return fx.stored("dwd", lambda: _exploded(fx).drop("szcarddata"))
+    return fx.stored("dwd", _exploded(fx).drop("szcarddata"))
 
 
 # ---- hand logs -----------------------------------------------------------------------
@@ -61,20 +61,20 @@ def seat_info(fx):
 
 @query
 def robot_info(fx):
-    return jsonlog.robot_info(_dwd(fx), fx.stored("user"))
+    return jsonlog.robot_info(_dwd(fx), fx.user)
 
 
 @query
 def player_action(fx):
     dwd = _dwd(fx)
-    return actions.player_action(dwd, jsonlog.seat_info(dwd), fx.stored("result"))
+    return actions.player_action(dwd, jsonlog.seat_info(dwd), fx.result)
 
 
 @query
 def player_action_first(fx):
     """The variant that fills gaps with the nearest later value."""
     dwd = _dwd(fx)
-    return actions.player_action(dwd, jsonlog.seat_info(dwd), fx.stored("result"), fill="first")
+    return actions.player_action(dwd, jsonlog.seat_info(dwd), fx.result, fill="first")
 
 
 @query
@@ -155,14 +155,14 @@ def robot_win_lose(fx):
 
 @query
 def win_lose_u(fx):
-    return results.win_lose_u(fx.info, fx.match, fx.score, fx.gold, fx.stored("user"))
+    return results.win_lose_u(fx.info, fx.match, fx.score, fx.gold, fx.user)
 
 
 # ---- risk and tags -------------------------------------------------------------------
 
 
 def _pairs(fx: Fixtures) -> DataFrame:
-    return risk.collusion_pairs(fx.stored("result"), fx.stored("user"))
+    return risk.collusion_pairs(fx.result, fx.user)
 
 
 @query
@@ -170,41 +170,44 @@ def collusion_pairs(fx):
     return _pairs(fx).withColumn("shared_ip", F.array_join("shared_ip", ","))
 
 
-def _loose(fx: Fixtures) -> DataFrame:
-    """Pairs with looser limits than the default, which generated data never reaches."""
-    return risk.suspects(_pairs(fx), (2, 0.5, 0.1, 1))
+def _pair_table(fx: Fixtures) -> DataFrame:
+    """The pair table as the later jobs read it."""
+    return fx.stored("pairs", _pairs(fx).select(
+        "dt", "player1_id", "player2_id", "same_cnt", "win_rate", "total_desk", "player1_same_rate",
+        "player2_same_rate", "shared_ip_cnts"))
 
 
 @query
 def suspect_players(fx):
-    return _loose(fx)
+    """Looser limits than the default, which generated data never reaches."""
+    return risk.suspects(_pair_table(fx), (2, 0.5, 0.1, 1))
 
 
 @query
 def score_extremes(fx):
     scores = fx.sql("select nplayerid, ngametype, cast(sum(gameresult) as double) as score from @v_result "
                     "where brobot = 0 group by nplayerid, ngametype")
-    return risk.score_extremes(fx.stored("result"), scores, ["sztoken", "nround", "dt"])
+    return risk.score_extremes(fx.result, scores, ["sztoken", "nround", "dt"])
 
 
 @query
 def player_style(fx):
-    return tags.player_style(fx.stored("action"), *SPAN)
+    return tags.player_style(fx.action, *SPAN)
 
 
 @query
 def versus_robot(fx):
-    return tags.versus_robot(fx.stored("result"), *SPAN)
+    return tags.versus_robot(fx.result, *SPAN)
 
 
 @query
 def versus_robot_by_hand(fx):
-    return tags.versus_robot(fx.stored("result"), *SPAN, by_hand=True)
+    return tags.versus_robot(fx.result, *SPAN, by_hand=True)
 
 
 def _profile(fx: Fixtures) -> DataFrame:
-    return tags.player_profile(fx.stored("user"), fx.member, tags.player_style(fx.stored("action"), *SPAN), fx.stored("result"),
-                               _pairs(fx), *SPAN)
+    return tags.player_profile(fx.user, fx.member, tags.player_style(fx.action, *SPAN), fx.result,
+                               _pair_table(fx), *SPAN)
 
 
 @query
@@ -222,17 +225,17 @@ def profile_mart(fx):
 
 @query
 def daily_overview(fx):
-    return marts.daily_overview(fx.stored("result"), fx.stored("user"), fx.preset, _pairs(fx), *SPAN)
+    return marts.daily_overview(fx.result, fx.user, fx.preset, _pair_table(fx), *SPAN)
 
 
 @query
 def robot_stats(fx):
-    return marts.robot_stats(fx.stored("result"))
+    return marts.robot_stats(fx.result)
 
 
 @query
 def robot_stats_90d(fx):
-    return marts.robot_stats(fx.stored("result"), *SPAN, days=90)
+    return marts.robot_stats(fx.result, *SPAN, days=90)
 
 
 @query
@@ -242,7 +245,7 @@ def active_hours(fx):
 
 @query
 def activity_tags(fx):
-    return marts.activity_tags(fx.stored("result"), *SPAN)
+    return marts.activity_tags(fx.result, *SPAN)
 
 
 @query
@@ -257,12 +260,12 @@ def preset_result(fx):
 
 @query
 def new_users(fx):
-    return marts.new_users(fx.stored("user"))
+    return marts.new_users(fx.user)
 
 
 @query
 def flag_export(fx):
-    return marts.all_flags(fx.stored("user"), _pairs(fx))
+    return marts.all_flags(fx.user, _pair_table(fx))
 
 
 # ---- metadata and sync ---------------------------------------------------------------
@@ -280,13 +283,13 @@ def sync_roundtrip(fx):
 
 @query
 def table_profile(fx):
-    return catalog.frame_profile({"result": fx.stored("result"), "user": fx.stored("user"), "action": fx.stored("action"), "preset": fx.preset})
+    return catalog.frame_profile({"result": fx.result, "user": fx.user, "action": fx.action, "preset": fx.preset})
 
 
 @query
 def partition_sizes(fx):
     target = scratch(fx.spark, "sized")
-    io.overwrite_days(fx.stored("result").drop("hand"), target)
+    io.overwrite_days(fx.result.drop("hand"), target)
     return catalog.partition_sizes(fx.spark, {"result": target}).select(
         "table_name", "partition_spec", "files", "bytes", "size_mb")
 
@@ -388,13 +391,13 @@ BET_HANDS = """select playerid, dt, sztoken, nround, max(event_id) as ord, 10 as
 
 @query
 def player_bet_stats(fx):
-    return evaluate.player_bet_stats(fx.sql(BET_HANDS), fx.stored("action"), ["dt", "sztoken", "nround"])
+    return evaluate.player_bet_stats(fx.sql(BET_HANDS), fx.action, ["dt", "sztoken", "nround"])
 
 
 def _matches(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
     sides = [F.concat(F.lit("m"), F.col("playerid").cast("string")).alias("agent0"),
              F.concat(F.lit("b"), F.col("nround").cast("string")).alias("agent1")]
-    acts = actions.raise_buckets(fx.stored("action").where("act >= 0")).select(*sides, "stage", "bucket")
+    acts = actions.raise_buckets(fx.action.where("act >= 0")).select(*sides, "stage", "bucket")
     return fx.sql(BET_HANDS).select(*sides, "payoff"), acts
 
 
@@ -420,7 +423,7 @@ GATE = -25_000.0
 
 @query
 def raise_bucket(fx):
-    return actions.raise_buckets(fx.stored("action")).select("event_id", "act", "num", "pot", "bucket", "bucket_name", "simple")
+    return actions.raise_buckets(fx.action).select("event_id", "act", "num", "pot", "bucket", "bucket_name", "simple")
 
 
 @query
