@@ -19,7 +19,7 @@ FIRST_DT, LAST_DT = "2024-01-01", "2024-01-30"
 TABLES = {"events", "orders", "customer", "lineitem"}
 
 # views that stand for a table several jobs read: written once per session
-SHARED = {"v_result", "v_user", "v_action", "v_hand_log"}
+SHARED = {"v_result", "v_user", "v_action", "v_hand_log", "v_cards", "v_cards_short", "v_info", "v_match", "v_member", "v_preset"}
 
 DIALECT = {
     "spark": {
@@ -293,6 +293,10 @@ class Fixtures:
         key = (self.spark.sparkContext.applicationId, self.prefix + name)
         if key not in _STORED:
             path = scratch(self.spark, name)
+            cores = self.spark.sparkContext.defaultParallelism
+            if len(self.events.inputFiles()) < cores:
+                # a test table is one file, hence one task: spread what is read often
+                df = df.repartition(cores)
             df.write.parquet(path)
             _STORED[key] = path
         return self.spark.read.parquet(_STORED[key])

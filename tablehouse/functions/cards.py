@@ -23,11 +23,11 @@ HEX_IDS = {f"{r}{s}": 16 * (i + 1) + j + 1 for i, s in enumerate(HEX_SUITS) for
 
 
 def rank_of(card: Column) -> Column:
-    return F.floor(card / 4).cast("int") + 2
+    return F.shiftright(card.cast("int"), 2) + 2
 
 
 def suit_of(card: Column) -> Column:
-    return (card % 4).cast("int")
+    return card.cast("int").bitwiseAND(F.lit(3))
 
 
 def from_text(card: Column) -> Column:
@@ -89,68 +89,99 @@ def preflop_key(c1: Column, c2: Column) -> Column:
                     F.when(suit_of(c1) == suit_of(c2), "s").otherwise("o"))
 
 
-def _straight_high(mask: Column) -> Column:
-    """Rank of the best straight in a bit mask of ranks, 0 if none."""
-    run = mask
-    for i in range(1, 5):
-        run = run.bitwiseAND(F.shiftleft(mask, i))
-    return F.when(run > 0, F.length(F.bin(run)) - 1).otherwise(0)
+# A set of ranks is a number with bit r for rank r (2..14, an ace also below the lowest card).
+
+
+def _clear(ranks: Column, n: int) -> Column:
+    """The set without its lowest rank if it has more than n."""
+    return F.when(F.bit_count(ranks) > n, ranks.bitwiseAND(ranks - 1)).otherwise(ranks)
 
 
-def _mask(ranks: Column, low_ace: int) -> Column:
-    def bit(r) -> Column:
-        return F.call_function("shiftleft", F.lit(1), r)
+def _best(df: DataFrame, want: dict[str, int]) -> DataFrame:
+    """Cut each set column down to its n highest ranks; sets have at most n + 2."""
+    for _ in range(2):
+        df = df.withColumns({c: _clear(F.col(c), n) for c, n in want.items()})
+    return df
 
-    bits = F.aggregate(ranks, F.lit(0), lambda acc, r: acc.bitwiseOR(bit(r)))
-    return bits.bitwiseOR(F.when(F.array_contains(ranks, 14), 1 << low_ace).otherwise(0))
+
+def _straights(ranks: str, low_ace: int) -> Column:
+    """The top ranks of all straights in a set."""
+    every = F.col(ranks).bitwiseOR(F.shiftleft(F.shiftright(ranks, 14), low_ace))
+    run = every
+    for i in range(1, 5):
+        run = run.bitwiseAND(F.shiftleft(every, i))
+    return run
 
 
 def with_strength(df: DataFrame, cards: str = "cards", deck: str = "holdem") -> DataFrame:
     """Adds `category` (1 high card .. 9 straight flush) and `strength`, a number that
-    orders hands of seven cards: the category and up to five tie-break ranks as base-16
-    digits.  All steps stay within the row.
+    orders hands of seven cards.
+
+    strength = category, the ranks that make the category, and the kickers, as three fields
+    of 15 bits; two rank sets of one size compare like their ranks from the highest down.
+    Everything is integer arithmetic within the row, in steps small enough to be compiled.
     """
     full_house, flush, low_ace = DECKS[deck]
     base = df.columns
+    col = F.col
 
-    def of_suit(s: int) -> Column:
-        return F.sort_array(F.transform(F.filter(cards, lambda c: suit_of(c) == s), rank_of), asc=False)
-
-    flush_ranks = F.coalesce(*[F.when(F.size(of_suit(s)) >= 5, of_suit(s)) for s in range(4)])
-    steps = df.select(*base, F.transform(cards, rank_of).alias("_r"), flush_ranks.alias("_f"))
-    # (count, rank) as one number, best first
-    grouped = F.sort_array(F.transform(
-        F.array_distinct("_r"), lambda r: F.size(F.filter("_r", lambda x: x == r)) * 100 + r), asc=False)
-    steps = steps.select("*", grouped.alias("_g"))
+    def bit(card: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1), F.shiftright(card, 2) + 2)
 
-    def g(i: int) -> Column:
-        return F.try_element_at("_g", F.lit(i))
+    def both(a: str, b: str) -> Column:
+        return col(a).bitwiseAND(col(b))
 
+    steps = df.select(*base, *[F.coalesce(F.col(cards)[i].cast("int"), F.lit(0)).alias(f"_c{i}") for i in range(7)])
+    steps = steps.select(
+        "*", *[bit(col(f"_c{i}")).alias(f"_b{i}") for i in range(7)],
+        # cards per suit, a byte each
+        sum((F.call_function("shiftleft", F.lit(1), suit_of(col(f"_c{i}")) * 8) for i in range(1, 7)),
+            F.call_function("shiftleft", F.lit(1), suit_of(col("_c0")) * 8)).alias("_suits"))
+    by_suit = [(F.shiftright(col("_suits"), 8 * s).bitwiseAND(F.lit(7)) >= 5, s) for s in range(4)]
+    steps = steps.withColumn("_of", F.coalesce(*[F.when(p, s) for p, s in by_suit], F.lit(-1)))
+    own = [F.when(suit_of(col(f"_c{i}")) == col("_of"), col(f"_b{i}")).otherwise(F.lit(0)) for i in range(7)]
+    steps = steps.withColumn("_f", sum(own[1:], own[0]))
+    # ranks seen at least once (_1), twice (_2), three times (_3), four times (_4)
+    steps = steps.select("*", col("_b0").alias("_1"), *[F.lit(0).alias(f"_{k}") for k in (2, 3, 4)])
+    for i in range(1, 7):
+        b = f"_b{i}"
+        steps = steps.withColumns({
+            "_1": col("_1").bitwiseOR(col(b)),
+            **{f"_{k}": col(f"_{k}").bitwiseOR(both(f"_{k - 1}", b)) for k in (2, 3, 4)}})
+    steps = steps.select(*base, "_1", "_2", "_3", "_4", "_f")
     steps = steps.select(
-        "*", *[F.floor(g(i) / 100).cast("int").alias(f"_n{i}") for i in (1, 2)],
-        *[(g(i) % 100).cast("int").alias(f"_r{i}") for i in range(1, 6)],
-        _mask(F.col("_r"), low_ace).alias("_m"),
-        F.when(F.col("_f").isNotNull(), _mask(F.col("_f"), low_ace)).otherwise(0).alias("_fm"),
-    )
-    steps = steps.select("*", _straight_high(F.col("_m")).alias("_s"), _straight_high(F.col("_fm")).alias("_sf"))
-    best_of = lambda skip: F.array_max(F.filter("_r", skip))
-    n1, n2, r = F.col("_n1"), F.col("_n2"), [F.col(f"_r{i}") for i in range(1, 6)]
-    cases = [
-        (F.col("_sf") > 0, 9, [F.col("_sf")]),
-        (n1 == 4, 8, [r[0], best_of(lambda x: x != F.col("_r1"))]),
-        ((n1 == 3) & (n2 >= 2), full_house, r[:2]),
-        (F.col("_f").isNotNull(), flush, [F.try_element_at("_f", F.lit(i)) for i in range(1, 6)]),
-        (F.col("_s") > 0, 5, [F.col("_s")]),
-        (n1 == 3, 4, r[:3]),
-        ((n1 == 2) & (n2 == 2), 3, [*r[:2], best_of(lambda x: (x != F.col("_r1")) & (x != F.col("_r2")))]),
-        (n1 == 2, 2, r[:4]),
-        (F.lit(True), 1, r),
+        "*", _straights("_1", low_ace).alias("_run"), _straights("_f", low_ace).alias("_srun"),
+        col("_3").alias("_trips"), col("_2").alias("_pairs"), col("_f").alias("_kf"))
+    steps = _best(steps, {"_run": 1, "_srun": 1, "_trips": 1, "_kf": 5})
+    steps = steps.select("*", col("_2").bitwiseAND(F.bitwise_not(col("_trips"))).alias("_below"))
+    steps = _best(steps, {"_pairs": 2, "_below": 1})
+    present = lambda c: col(c) != 0
+    kinds = [  # condition, category, ranks that make it, how many kickers
+        (present("_srun"), 9, "_srun", 0),
+        (present("_4"), 8, "_4", 1),
+        (present("_trips") & present("_below"), full_house, "_trips", 1),
+        (present("_f"), flush, None, 5),
+        (present("_run"), 5, "_run", 0),
+        (present("_trips"), 4, "_trips", 2),
+        (F.bit_count("_pairs") == 2, 3, "_pairs", 1),
+        (present("_pairs"), 2, "_pairs", 3),
     ]
-
-    def digits(cat: int, ranks: list[Column]) -> Column:
-        parts = [F.lit(cat), *ranks, *[F.lit(0)] * (5 - len(ranks))]
-        return sum((p.cast("bigint") * 16 ** (5 - i) for i, p in enumerate(parts)), F.lit(0).cast("bigint"))
-
-    strength = F.coalesce(*[F.when(p, digits(cat, ranks)) for p, cat, ranks in cases])
-    return steps.select(*base, strength.alias("strength")).select(
-        "*", F.shiftright("strength", 20).cast("int").alias("category"))
+    category = F.coalesce(*[F.when(k[0], k[1]) for k in kinds], F.lit(1))
+    steps = steps.withColumn("category", category)
+
+    def per_category(value, default) -> Column:
+        return F.coalesce(*[F.when(col("category") == k[1], value(k)) for k in kinds], default)
+
+    steps = steps.withColumns({
+        "_made": per_category(lambda k: col(k[2]) if k[2] else F.lit(0), F.lit(0)),
+        "_few": per_category(lambda k: F.lit(k[3]), F.lit(5))})
+    left = col("_1").bitwiseAND(F.bitwise_not(col("_made")))
+    steps = steps.withColumn("_kick", F.when(col("category") == full_house, col("_below")).when(
+        col("category") == flush, col("_kf")).when(col("_few") == 0, 0).otherwise(left))
+    for _ in range(2):
+        steps = steps.withColumn("_kick", F.when(
+            F.bit_count("_kick") > col("_few"), col("_kick").bitwiseAND(col("_kick") - 1)).otherwise(col("_kick")))
+    strength = (
+        F.shiftleft(col("category").cast("bigint"), 30)
+        + F.shiftleft(col("_made").cast("bigint"), 15) + col("_kick"))
+    return steps.select(*base, strength.alias("strength"), "category")

@@ -477,9 +477,9 @@ def _showdown(view: str, full_house: int, flush: int, ace: int) -> str:
 {name} as (select hand_id, player, max(h) as h from (select hand_id, player, h, count(*) as n from {name}d
   join (select unnest(range(5, 15)) as h) hs on rk between h - 4 and h group by all) x where n = 5 group by all)"""
 
-    def digits(cat, *ranks) -> str:
-        parts = [str(cat), *ranks, *["0"] * (5 - len(ranks))]
-        return " + ".join(f"cast({p} as bigint) * {16 ** (5 - i)}" for i, p in enumerate(parts))
+    def value(cat, made=(), kick=()) -> str:
+        bits = lambda ranks: " + ".join(f"cast(power(2, {r}) as bigint)" for r in ranks) or "0"
+        return f"cast({cat} as bigint) * 1073741824 + ({bits(made)}) * 32768 + {bits(kick)}"
 
     k = lambda i: f"(g[{i}] % 100)"
     n = lambda i: f"floor(g[{i}] / 100)"
@@ -492,27 +492,27 @@ fr as (select r.* from r join (select hand_id, player, st from r group by all ha
 f as (select hand_id, player, list(rk order by rk desc) as f from fr group by all),
 {straight('s', 'r')}, {straight('sf', 'fr')},
 power as (select hand_id, player, case
-    when sf.h is not null then {digits(9, 'sf.h')}
-    when {n(1)} = 4 then {digits(8, k(1), other.format(f'x <> {k(1)}'))}
-    when {n(1)} = 3 and {n(2)} >= 2 then {digits(full_house, k(1), k(2))}
-    when f is not null then {digits(flush, *[f'f[{i}]' for i in range(1, 6)])}
-    when s.h is not null then {digits(5, 's.h')}
-    when {n(1)} = 3 then {digits(4, k(1), k(2), k(3))}
-    when {n(1)} = 2 and {n(2)} = 2 then {digits(3, k(1), k(2), other.format(f'x <> {k(1)} and x <> {k(2)}'))}
-    when {n(1)} = 2 then {digits(2, k(1), k(2), k(3), k(4))}
-    else {digits(1, *[k(i) for i in range(1, 6)])} end as strength
+    when sf.h is not null then {value(9, ['sf.h'])}
+    when {n(1)} = 4 then {value(8, [k(1)], [other.format(f'x <> {k(1)}')])}
+    when {n(1)} = 3 and {n(2)} >= 2 then {value(full_house, [k(1)], [k(2)])}
+    when f is not null then {value(flush, kick=[f'f[{i}]' for i in range(1, 6)])}
+    when s.h is not null then {value(5, ['s.h'])}
+    when {n(1)} = 3 then {value(4, [k(1)], [k(2), k(3)])}
+    when {n(1)} = 2 and {n(2)} = 2 then {value(3, [k(1), k(2)], [other.format(f'x <> {k(1)} and x <> {k(2)}')])}
+    when {n(1)} = 2 then {value(2, [k(1)], [k(2), k(3), k(4)])}
+    else {value(1, kick=[k(i) for i in range(1, 6)])} end as strength
   from g join a using (hand_id, player) left join f using (hand_id, player)
   left join s using (hand_id, player) left join sf using (hand_id, player))"""
 
 
-SHOW = """select hand_id, player, cast(floor(strength / 1048576) as int) as category, strength,
+SHOW = """select hand_id, player, cast(floor(strength / 1073741824) as int) as category, strength,
   case when strength = max(strength) over (partition by hand_id) then 1 else 0 end as winner from power"""
 HOLDEM = _showdown("v_cards", 7, 6, 1)
 ORACLE["showdown_winners"] = f"with {HOLDEM} {SHOW}"
 ORACLE["showdown_short"] = f"with {_showdown('v_cards_short', 6, 7, 5)} {SHOW}"
 ORACLE["showdown_audit"] = f"""with {HOLDEM}
-select 'mismatch' as finding, hand_id, player, cast(cast(floor(strength / 1048576) as int) as string) as computed,
-  cast(cast(floor(strength / 1048576) as int) + 1 as string) as expected, cast(null as bigint) as copies from power
+select 'mismatch' as finding, hand_id, player, cast(cast(floor(strength / 1073741824) as int) as string) as computed,
+  cast(cast(floor(strength / 1073741824) as int) + 1 as string) as expected, cast(null as bigint) as copies from power
 cross join (select unnest([0, 1]) as copy) c
 where hand_id % 50 = 7 and (copy = 0 or (hand_id % 400 = 5 and player = 1))
 union all

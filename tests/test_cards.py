@@ -77,15 +77,20 @@ def test_strength_against_brute_force(spark, deck, low):
     df = spark.createDataFrame(hands, "i int, cards array<int>")
     got = {r.i: r.strength for r in C.with_strength(df, "cards", deck).collect()}
 
+    house, flush, _ = C.DECKS[deck]
+    makes = {9: 1, 8: 1, house: 1, flush: 0, 5: 1, 4: 1, 3: 2, 2: 1, 1: 0}
+
     def number(key):
-        return sum(d * 16 ** (5 - i) for i, d in enumerate(key + [0] * (6 - len(key))))
+        bits = lambda ranks: sum(1 << r for r in ranks)
+        cat, ranks = key[0], key[1:]
+        return (cat << 30) + (bits(ranks[:makes[cat]]) << 15) + bits(ranks[makes[cat]:])
 
     assert got == {i: number(best_of_five(h, deck)) for i, h in hands}
 
 
 def test_wheels(spark):
     df = spark.createDataFrame([(codes("SA H2 D3 C4 S5 H9 DK"),), (codes("SA S2 S3 S4 S5 H6 D9"),)], "cards array<int>")
-    assert [(r.category, r.strength >> 16 & 15) for r in C.with_strength(df).collect()] == [(5, 5), (9, 5)]
+    assert [(r.category, r.strength >> 15 & 32767) for r in C.with_strength(df).collect()] == [(5, 1 << 5), (9, 1 << 5)]
 
 
 def test_codes(spark):
