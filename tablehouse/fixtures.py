@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -271,7 +272,7 @@ class Fixtures:
             else:
                 df = self.spark.sql(self.resolve(_text(name, "spark")))
                 if name in SHARED:
-                    df = self.stored(name, df)
+                    df = self.stored(name, lambda df=df: df)
             df.createOrReplaceTempView(alias)
             self._have.add(name)
         return alias
@@ -285,14 +286,14 @@ class Fixtures:
         key = name if name in TABLES else f"v_{name}"
         return self.spark.table(self._register(key))
 
-    def stored(self, name: str, df: DataFrame) -> DataFrame:
-        """The frame as a table, written once per session.
+    def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """The frame `make` gives as a table, written once per session.
 
         The nightly jobs hand tables to each other, and several of them read the same one.
         """
         key = (self.spark.sparkContext.applicationId, self.prefix + name)
         if key not in _STORED:
-            path = scratch(self.spark, name)
+            path, df = scratch(self.spark, name), make()
             cores = self.spark.sparkContext.defaultParallelism
             if len(self.events.inputFiles()) < cores:
                 # a test table is one file, hence one task: spread what is read often

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablehouse.functions import rules
 from tablehouse.functions.exprs import HAND, any_if, day_of, num, ratio, sum_if
 from tablehouse.operators.joins import anti, semi, star
-from tablehouse.operators.keyed import rolling_days
+from tablehouse.operators.keyed import rolling_sum
 from tablehouse.plans.risk import shared_ip_players, suspects
 
 
@@ -32,8 +32,8 @@ def abnormal_winners(result: DataFrame, rate: float = 0.8, rounds: int = 10) ->
 
 def monthly_players(result: DataFrame, first_dt: str, last_dt: str, days: int = 30) -> DataFrame:
     daily = result.where("brobot = 0").select("dt", "nplayerid").distinct()
-    return rolling_days(daily, days, first_dt, last_dt).groupBy("dt").agg(
-        F.count_distinct("nplayerid").alias("month_real_player_cnt"))
+    return rolling_sum(daily, ["nplayerid"], [], days, first_dt, last_dt).groupBy("dt").agg(
+        F.count("nplayerid").alias("month_real_player_cnt"))
 
 
 def preset_kpis(preset: DataFrame, result: DataFrame) -> DataFrame:
@@ -107,8 +107,7 @@ def robot_stats(result: DataFrame, first_dt: str | None = None, last_dt: str | N
         F.count_if(F.col("profit") > 0).alias("win_round_cnt"), F.sum("profit").alias("gameresult"))
     if days:
         sums = ["total_round_cnt", "win_round_cnt", "gameresult"]
-        daily = rolling_days(daily, days - 1, first_dt, last_dt).groupBy(*keys).agg(
-            *[F.sum(c).alias(c) for c in sums])
+        daily = rolling_sum(daily, keys[1:], sums, days - 1, first_dt, last_dt)
     return daily.select(
         "dt", F.lit(1).alias("brobot"), "robotversion", "ngametype", "total_round_cnt", "win_round_cnt",
         F.lit(0).alias("total_player_cnt"), F.lit(0).alias("win_player_cnt"), "gameresult")
@@ -127,9 +126,8 @@ def active_hours(scored: DataFrame) -> DataFrame:
 
 def activity_tags(result: DataFrame, first_dt: str, last_dt: str, days: int = 30) -> DataFrame:
     """Players per activity bucket of the days they played in the window."""
-    daily = result.where("brobot = 0").select("dt", "nplayerid").distinct()
-    per_player = rolling_days(daily, days, first_dt, last_dt).groupBy("dt", "nplayerid").agg(
-        F.count(F.lit(1)).alias("n"))
+    daily = result.where("brobot = 0").select("dt", "nplayerid", F.lit(1).alias("n")).distinct()
+    per_player = rolling_sum(daily, ["nplayerid"], ["n"], days, first_dt, last_dt)
     tag = rules.activity_level(F.col("n"), rules.ACTIVITY_TAGS)
     return per_player.groupBy("dt", tag.alias("active_tag")).agg(F.count("nplayerid").alias("player_cnt"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tablehouse.functions import rules
 from tablehouse.functions.exprs import HAND, any_if, day_of, non_empty, num, ratio, seconds, sum_if
 from tablehouse.operators.joins import full, semi, star
-from tablehouse.operators.keyed import rolling_days, top1
+from tablehouse.operators.keyed import rolling_distinct, rolling_sum, top1
 from tablehouse.plans.risk import suspects
 
 RAISES = ["raise", "allin"]
@@ -56,8 +56,7 @@ def player_style(action: DataFrame, first_dt: str, last_dt: str, days: int = 7,
     sums = ["is_vpip", "is_pfr", "is_3bet", "is_cbet", "aggressive", "passive", "folds", "allins", "actions"]
     daily = style_hands(action, fold_labels).groupBy("dt", "playerid").agg(
         F.count(F.lit(1)).alias("hands"), *[F.sum(c).alias(c) for c in sums])
-    s = rolling_days(daily, days, first_dt, last_dt).groupBy("dt", "playerid").agg(
-        *[F.sum(c).alias(c) for c in ["hands", *sums]])
+    s = rolling_sum(daily, ["playerid"], ["hands", *sums], days, first_dt, last_dt)
     # a player with exactly one action has no action rates
     total = F.when(F.col("actions") != 1, F.col("actions"))
     aggression = F.when(F.col("passive") > 0, ratio("aggressive", "passive"))
@@ -93,8 +92,7 @@ def versus_robot(result: DataFrame, first_dt: str, last_dt: str, days: int = 30,
         F.count(F.lit(1)).alias("all_hands"))
     both = full([daily, every], ["dt", "nplayerid"])
     names = ["vs_hands", "vs_wins", "vs_sum", "vs_high", "all_hands"]
-    t = rolling_days(both, days, first_dt, last_dt).groupBy("dt", "nplayerid").agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).where(F.col("vs_hands") >= min_hands)
+    t = rolling_sum(both, ["nplayerid"], names, days, first_dt, last_dt).where(F.col("vs_hands") >= min_hands)
     win, avg, share = ratio("vs_wins", "vs_hands"), ratio("vs_sum", "vs_hands"), ratio("vs_hands", "all_hands")
     return t.select(
         "dt", "nplayerid", F.col("vs_hands").alias("total_hands_vs_bot"),
@@ -109,8 +107,7 @@ def preferred_game(result: DataFrame, first_dt: str, last_dt: str, days: int = 3
         .select(*HAND, "nplayerid", "ngametype").distinct()
         .groupBy("dt", "nplayerid", "ngametype").agg(F.count(F.lit(1)).alias("rounds"))
     )
-    counts = rolling_days(daily, days, first_dt, last_dt).groupBy("dt", "nplayerid", "ngametype").agg(
-        F.sum("rounds").alias("rounds"))
+    counts = rolling_sum(daily, ["nplayerid", "ngametype"], ["rounds"], days, first_dt, last_dt)
     best = top1(counts, ["dt", "nplayerid"], [-F.col("rounds"), F.col("ngametype")], ["ngametype", "rounds"])
     return best.withColumnsRenamed({"ngametype": "preferred_gametype", "rounds": "preferred_game_rounds"})
 
@@ -120,17 +117,17 @@ def activity(result: DataFrame, first_dt: str, last_dt: str, days: int = 30) ->
     known = result.where("nplayerid is not null")
     played = known.where(non_empty("createtime")).select(
         "dt", "nplayerid", day_of("createtime").alias("game_date")).distinct()
-    active = rolling_days(played, days, first_dt, last_dt).groupBy("dt", "nplayerid").agg(
-        F.count_distinct("game_date").alias("active_days"))
+    window = (days, first_dt, last_dt)
+    active = rolling_distinct(played, ["nplayerid"], "game_date", *window, "active_days")
     length = seconds("endtime") - seconds("starttime")
     lengths = known.select("dt", "nplayerid", length.alias("s")).where("s > 0").groupBy("dt", "nplayerid").agg(
         F.sum("s").alias("s"), F.count(F.lit(1)).alias("n"))
-    mean = rolling_days(lengths, days, first_dt, last_dt).groupBy("dt", "nplayerid").agg(
-        F.round(F.sum("s").cast("double") / F.sum("n") / F.lit(60.0), 2).alias("avg_round_duration_mins"))
+    mean = rolling_sum(lengths, ["nplayerid"], ["s", "n"], *window).select(
+        "dt", "nplayerid", F.round(ratio("s", "n") / F.lit(60.0), 2).alias("avg_round_duration_mins"))
     hourly = known.where(non_empty("starttime")).groupBy(
         "dt", "nplayerid", num(F.substring("starttime", 12, 2), "int").alias("hour")).agg(
         F.count(F.lit(1)).alias("n"))
-    hours = rolling_days(hourly, days, first_dt, last_dt).groupBy("dt", "nplayerid", "hour").agg(F.sum("n").alias("n"))
+    hours = rolling_sum(hourly, ["nplayerid", "hour"], ["n"], *window)
     peak = top1(hours, ["dt", "nplayerid"], [-F.col("n"), F.col("hour")], ["hour"]).withColumnRenamed(
         "hour", "peak_active_hour")
     return full([active, mean, peak], ["dt", "nplayerid"]).withColumn(

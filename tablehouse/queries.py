@@ -42,7 +42,7 @@ def _exploded(fx: Fixtures) -> DataFrame:
 
 def _dwd(fx: Fixtures) -> DataFrame:
     """The exploded log as the table the later jobs read."""
-    return fx.stored("dwd", _exploded(fx).drop("szcarddata"))
+    return fx.stored("dwd", lambda: _exploded(fx).drop("szcarddata"))
 
 
 # ---- hand logs -----------------------------------------------------------------------
@@ -172,7 +172,7 @@ def collusion_pairs(fx):
 
 def _pair_table(fx: Fixtures) -> DataFrame:
     """The pair table as the later jobs read it."""
-    return fx.stored("pairs", _pairs(fx).select(
+    return fx.stored("pairs", lambda: _pairs(fx).select(
         "dt", "player1_id", "player2_id", "same_cnt", "win_rate", "total_desk", "player1_same_rate",
         "player2_same_rate", "shared_ip_cnts"))
 

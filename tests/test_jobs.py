@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tablehouse.operators.keyed import rolling_days
+from tablehouse.operators.keyed import rolling_distinct, rolling_sum
 from tablehouse.plans import actions, evaluate, jsonlog, marts, results, risk, tags
 
 LOG = ("id bigint, ngametype int, nplayerid int, sztoken string, nround int, nwinscore bigint, nscore bigint, "
@@ -152,13 +152,21 @@ def test_style(spark):
     assert both.where("playerid = 4").first().fold_rate == 0.5
 
 
-def test_rolling_days(spark):
-    days = [f"2024-01-{d:02d}" for d in range(1, 11)]
-    df = spark.createDataFrame([(d, 1) for d in days], "dt string, n int")
-    many = {r.dt: r.s for r in rolling_days(df, 2, "2024-01-02", "2024-01-09").groupBy("dt").agg(F.sum("n").alias("s")).collect()}
-    assert many == {d: (2 if d == "2024-01-02" else 3) for d in days[1:9]}
-    one = rolling_days(df, 2, "2024-01-09", "2024-01-09").groupBy("dt").agg(F.sum("n").alias("s")).collect()
-    assert [(r.dt, r.s) for r in one] == [("2024-01-09", 3)]
+def test_rolling(spark):
+    rows = [(f"2024-01-{1 + i * i % 19:02d}", i % 3, i, f"v{i % 4}") for i in range(40)]
+    df = spark.createDataFrame(rows, "dt string, k int, n int, v string")
+    for first, last in (("2024-01-04", "2024-01-25"), ("2024-01-09", "2024-01-09")):
+        for days in (0, 2, 30):
+            want = {}
+            for d in range(int(first[-2:]), int(last[-2:]) + 1):
+                for k in range(3):
+                    hit = [r for r in rows if r[1] == k and d - days <= int(r[0][-2:]) <= d]
+                    if hit:
+                        want[f"2024-01-{d:02d}", k] = (sum(r[2] for r in hit), len({r[3] for r in hit}))
+            sums = {(r.dt, r.k): r.n for r in rolling_sum(df, ["k"], ["n"], days, first, last).collect()}
+            kinds = {(r.dt, r.k): r.c for r in rolling_distinct(df, ["k"], "v", days, first, last, "c").collect()}
+            assert sums == {k: v[0] for k, v in want.items()}
+            assert kinds == {k: v[1] for k, v in want.items()}
 
 
 def test_empty_times(spark):
