@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tablehouse.functions import rules
 from tablehouse.functions.exprs import HAND, num, number_list, pick_col
+from tablehouse.operators import scans
+from tablehouse.operators.skew import hot_keys
 from tablehouse.plans.jsonlog import messages
+from tablehouse.session import scratch
 
 # fixed values: fields of a message payload
 PAYLOAD = """minBetScore string, maxBetScore string, minAddScore string, seatBetState string,
@@ -18,10 +21,18 @@ PAYLOAD = """minBetScore string, maxBetScore string, minAddScore string, seatBet
 ORDER = "json_index"
 
 
-def events(dwd: DataFrame) -> DataFrame:
+def action_messages(dwd: DataFrame) -> DataFrame:
+    name = F.col("name")
+    return messages(dwd).where(
+        (pick_col(dwd, "playerid", "nplayerid") != 0)
+        & name.isNotNull() & ~name.isin(*rules.META_MESSAGES)
+    )
+
+
+def events(rows: DataFrame, by_hand: bool = True) -> DataFrame:
     """Typed, de-duplicated messages.  Lists may come as JSON lists or as text.
 
-    The rows are spread by hand once; the de-duplication, the seat join and all windows
+    by_hand spreads the rows by hand once; the de-duplication, the seat join and all windows
     below reuse that distribution.
     """
     p = F.col("p")
@@ -32,11 +43,7 @@ def events(dwd: DataFrame) -> DataFrame:
         .otherwise(p["seat"])
     )
     board = F.when(name == "S2CStateDealCard", F.regexp_replace(p["commonCards"], r"[\[\]]", ""))
-    rows = messages(dwd).where(
-        (pick_col(dwd, "playerid", "nplayerid") != 0)
-        & name.isNotNull() & ~name.isin(*rules.META_MESSAGES)
-    )
-    return (
+    typed = (
         rows.select(*HAND, ORDER, "name", F.from_json("data", PAYLOAD).alias("p"))
         .select(
             *HAND, F.col(ORDER).cast("int").alias(ORDER), name.alias("action"),
@@ -47,9 +54,8 @@ def events(dwd: DataFrame) -> DataFrame:
             num(p["score"]).alias("score"),
             p["insureWinLos"].alias("insurewinlos"), p["seatCurBets"].alias("seatcurbets"),
         )
-        .repartition(*HAND)
-        .dropDuplicates()
     )
+    return (typed.repartition(*HAND) if by_hand else typed).dropDuplicates()
 
 
 def _at_seat(listed: Column) -> Column:
@@ -57,30 +63,52 @@ def _at_seat(listed: Column) -> Column:
     return num(F.trim(F.try_element_at(number_list(listed), num("seat", "int"))), "int")
 
 
-def fan_out(ev: DataFrame, seats: DataFrame) -> DataFrame:
+def fan_out(ev: DataFrame, seats: DataFrame, salts: int = 0) -> DataFrame:
     """Seat messages to their seat's player, table messages to every seat of the hand.
 
-    One join on the hand serves both; the seat test is a residual condition.
+    One join on the hand serves both; the seat test is a residual condition.  salts spreads
+    a hand's messages over that many join keys and copies its seats to each.
     """
     of_seat = F.col("action").isin(*rules.SEAT_ACTIONS)
     s = seats.select(*HAND, "createdate", "gametype", "playerid", "seat").dropDuplicates()
-    return ev.join(s, HAND).where(~of_seat | (F.col("event_seat") == F.col("seat"))).withColumn(
+    if salts:
+        ev = ev.withColumn("_s", F.col(ORDER) % salts).repartition(*HAND, "_s")
+        s = s.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).repartition(*HAND, "_s")
+    joined = ev.join(s, [*HAND, "_s"] if salts else HAND).drop("_s")
+    return joined.where(~of_seat | (F.col("event_seat") == F.col("seat"))).withColumn(
         "board", F.when(~of_seat, F.col("board")))
 
 
-def player_action(dwd: DataFrame, seats: DataFrame, score: DataFrame, fill: str = "last") -> DataFrame:
-    """Action detail, one row per hand, seat and message.
+def _prepare(rows: DataFrame) -> DataFrame:
+    """Per row: the seat's own blind, insurance outcome and payment, and the rank among the
+    rows of one message (blinds first, then players by id)."""
+    start = F.col("action") == "S2CStateGameStart"
+    insure = F.col("action") == "S2CBuyInsure"
+    seat = num("seat", "int")
+    bet = _at_seat(F.col("seatcurbets"))
+    small = start & bet.isNotNull() & (F.col("smallblindseat") == seat)
+    big = start & bet.isNotNull() & (F.col("bigblindseat") == seat)
+    won = F.when(F.col("action") == "S2CStateConclude", _at_seat(F.col("insurewinlos")))
 
-    fill: which later value fills leading gaps, 'last' (the hand's last) or 'first' (the
-    next one).  The windows run per player and per hand; a hand is one recorded game, so a
-    window partition is as large as one log.
-    """
-    if fill not in ("last", "first"):
-        raise ValueError("fill is 'last' or 'first'")
+    rank = F.when(F.col("is_small"), 0).when(F.col("is_big"), 1).otherwise(num("playerid", "int"))
+    blind = F.when(F.col("is_small") | F.col("is_big"), F.col("startbet")).otherwise(0)
+    return rows.select(
+        "*",
+        F.when(start, bet).alias("startbet"), seat.alias("seat_no"),
+        F.coalesce(small, F.lit(False)).alias("is_small"), F.coalesce(big, F.lit(False)).alias("is_big"),
+        F.when(won != 0, won).alias("won"),
+        F.when(insure & (F.col("score") != 0), F.col("score")).alias("bought"),
+    ).select("*", rank.alias("rank"), blind.alias("blind"))
+
+
+BOTH_WAYS = ("minbetscore", "maxbetscore", "minaddscore", "won")
+
+
+def _fill_hands(base: DataFrame, fill: str) -> DataFrame:
+    """Fills, numbering and totals by windows that all share the distribution by hand."""
     player = Window.partitionBy(*HAND, "playerid").orderBy(ORDER)
     past = player.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = player.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    hand = Window.partitionBy(*HAND)
 
     def forward(c) -> Column:
         return F.last(c, ignorenulls=True).over(past)
@@ -91,43 +119,64 @@ def player_action(dwd: DataFrame, seats: DataFrame, score: DataFrame, fill: str
         back = F.last if mode == "last" else F.first
         return F.coalesce(forward(c), back(c, ignorenulls=True).over(whole))
 
-    start = F.col("action") == "S2CStateGameStart"
-    insure = F.col("action") == "S2CBuyInsure"
-    seat = num("seat", "int")
-    bet = _at_seat(F.col("seatcurbets"))
-    small = start & bet.isNotNull() & (F.col("smallblindseat") == seat)
-    big = start & bet.isNotNull() & (F.col("bigblindseat") == seat)
-    won = F.when(F.col("action") == "S2CStateConclude", _at_seat(F.col("insurewinlos")))
-
-    base = fan_out(events(dwd), seats).select(
-        "*",
-        F.when(start, bet).alias("startbet"),
-        F.coalesce(small, F.lit(False)).alias("is_small"), F.coalesce(big, F.lit(False)).alias("is_big"),
-        F.when(won != 0, won).alias("won"),
-        F.when(insure & (F.col("score") != 0), F.col("score")).alias("bought"),
-    )
     totals = Window.partitionBy(*HAND, "playerid", "seat")
-    filled = base.withColumn(
-        # a seat's insurance payments count on each of its insurance messages
-        "score", F.when(insure, F.sum("bought").over(totals))
-    ).select(
-        "*",
-        *[both_ways(c).alias(f"f_{c}") for c in ("minbetscore", "maxbetscore", "minaddscore")],
-        both_ways("won").alias("f_won"),
-        both_ways("score", "last").alias("f_score"),
+    # a seat's insurance payments count on each of its insurance messages
+    paid = F.when(F.col("action") == "S2CBuyInsure", F.sum("bought").over(totals))
+    filled = base.withColumn("score", paid).select(
+        "*", *[both_ways(c).alias(f"f_{c}") for c in BOTH_WAYS], both_ways("score", "last").alias("f_score"),
         forward("poolscore").alias("f_pool"), forward("board").alias("commoncard"),
     )
-    # blinds first among the rows of one message, then players by id
-    rank = F.when(F.col("is_small"), 0).when(F.col("is_big"), 1).otherwise(num("playerid", "int"))
-    order = Window.partitionBy(*HAND).orderBy(ORDER, rank, seat)
+    order = Window.partitionBy(*HAND).orderBy(ORDER, "rank", "seat_no")
     boards = Window.partitionBy(*HAND, "playerid", "seat").orderBy(ORDER)
-    blinds = F.when(F.col("is_small") | F.col("is_big"), F.col("startbet")).otherwise(0)
-    numbered = filled.select(
-        "*", F.row_number().over(order).alias("rn"), F.sum(blinds).over(hand).alias("blinds"),
+    return filled.select(
+        "*", F.row_number().over(order).cast("bigint").alias("rn"),
+        F.sum("blind").over(Window.partitionBy(*HAND)).alias("blinds"),
         F.size(F.collect_set("commoncard").over(boards)).alias("predealct"),
     )
+
+
+def _fill_hot_hands(base: DataFrame, fill: str, limit: int) -> DataFrame:
+    """The same for hands too large for one task, by chunked scans and joined totals."""
+    table = scratch(base.sparkSession, "hot-hands")
+    base.write.parquet(table)
+    rows = base.sparkSession.read.parquet(table)
+    player = [*HAND, "playerid"]
+    rows = scans.total_over(rows, [*player, "seat"], F.col("bought"), "paid")
+    rows = scans.total_over(rows, HAND, F.col("blind"), "blinds")
+    rows = rows.withColumn("score", F.when(F.col("action") == "S2CBuyInsure", F.col("paid"))).withColumns({
+        **{f"f_{c}": F.col(c) for c in BOTH_WAYS}, "f_pool": F.col("poolscore"), "commoncard": F.col("board")})
+    rows = rows.withColumn("f_score", F.col("score"))
+    rows = scans.fill(rows, player, ORDER, [f"f_{c}" for c in BOTH_WAYS], fill, limit)
+    rows = scans.fill(rows, player, ORDER, ["f_score"], "last", limit)
+    rows = scans.fill(rows, player, ORDER, ["f_pool", "commoncard"], None, limit)
+    rows = scans.renumber(rows, HAND, ORDER, [F.col("rank"), F.col("seat_no")], "rn", limit)
+    rows = scans.running_distinct(rows, [*player, "seat"], ORDER, "commoncard", "predealct", limit)
+    return rows.drop("paid").withColumn("predealct", F.col("predealct").cast("int"))
+
+
+def player_action(dwd: DataFrame, seats: DataFrame, score: DataFrame, fill: str = "last",
+                  hand_limit: int = scans.LIMIT) -> DataFrame:
+    """Action detail, one row per hand, seat and message.
+
+    fill: which later value fills leading gaps, 'last' (the hand's last) or 'first' (the
+    next one).  A hand with more than hand_limit messages, found by a counting job, goes
+    through chunked scans instead of windows.
+    """
+    if fill not in ("last", "first"):
+        raise ValueError("fill is 'last' or 'first'")
+    source = action_messages(dwd)
+    hot, limit = hot_keys(source, HAND, hand_limit)
+    if hot is None:
+        numbered = _fill_hands(_prepare(fan_out(events(source), seats)), fill)
+    else:
+        keys = F.broadcast(hot.select(*HAND))
+        usual, large = (source.join(keys, HAND, how) for how in ("left_anti", "left_semi"))
+        spread = _prepare(fan_out(events(large, by_hand=False), seats.join(keys, HAND, "left_semi"), salts=64))
+        numbered = _fill_hands(_prepare(fan_out(events(usual), seats)), fill).unionByName(
+            _fill_hot_hands(spread, fill, limit))
+    start = F.col("action") == "S2CStateGameStart"
     result = score.select(*HAND, F.col("nplayerid").cast("string").alias("playerid"),
-                          "gameresult").dropDuplicates()
+                          "gameresult").repartition(*HAND).dropDuplicates()
     betscore = F.when(start, F.col("startbet")).otherwise(F.col("betscore"))
     pool = (
         F.when(F.col("is_small"), F.col("startbet")).when(F.col("is_big"), F.col("blinds"))

@@ -1,7 +1,9 @@
 """Hand-made cases for the jobs."""
 
 import json
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablehouse.operators.keyed import rolling_distinct, rolling_sum
@@ -90,6 +92,19 @@ def test_lists_as_text_and_copies_of_a_log(spark):
     assert action_rows(spark, hand(True)) == action_rows(spark, hand(False)) == action_rows(spark, hand(False), copies=2)
 
 
+@pytest.mark.parametrize("fill", ["last", "first"])
+def test_hot_hands_give_the_same(spark, sf_dir, fill):
+    """Hands cut into chunks: as windows over whole hands."""
+    from tablehouse.fixtures import Fixtures
+
+    fx = Fixtures(spark, sf_dir)
+    dwd = jsonlog.explode_log(fx.hand_log.where("dt <= '2024-01-03'"))
+    seats = jsonlog.seat_info(dwd)
+    plain = actions.player_action(dwd, seats, fx.result, fill).collect()
+    cut = actions.player_action(dwd, seats, fx.result, fill, hand_limit=15).collect()
+    assert Counter(map(str, plain)) == Counter(map(str, cut)) and len(plain) > 100
+
+
 def test_fill_variants(spark):
     text = json.dumps([
         {"name": "SeatInfos", "data": [{"nPlayerId": 11, "seat": 1}]},
