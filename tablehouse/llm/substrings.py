@@ -168,8 +168,8 @@ with w as (
   select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
 p as (select r, ws, unnest(range(1, len(ws) - 33)) as i from w where len(ws) >= 35),
 s as (select r, i, count(*) over (partition by ws[i:i+34]) as n from p),
-g as (select distinct r, i + o as at from s, unnest(range(0, 35)) t(o) where n > 1),
-k as (select r, list(at) as gone from g group by r),
+g as (select distinct r, i + o as word from s, unnest(range(0, 35)) t(o) where n > 1),
+k as (select r, list(word) as gone from g group by r),
 f as (select w.doc_id, w.ws, list_filter(range(1, len(w.ws) + 1), lambda x: not coalesce(list_contains(k.gone, x), false)) as kept
       from w left join k using (r))
 select doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - len(kept) as bigint) as n_removed,
