@@ -9,7 +9,6 @@ a longer one makes a longer shard.  A shard is one row of a Parquet file written
     ids       binary  doc_id of each document, 8 bytes little-endian; `null_ids` flags the nulls
     lengths   binary  number of ids of each document, 8 bytes
     n         long    number of ids
-    start     long    ids in all shards before (in the table of starts, one row per range)
     planes    array<binary>  a plane of bits for each bit of an id, the highest first;
                       the order of a plane is that of the one before, zeros before ones
     ranks     array<binary>  for each plane the number of ones before each block of 512 bits
@@ -247,23 +246,27 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = END_ID,
 
 
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """The shards below `folder` with `start`, the number of ids in all shards before.
+    return prepare(spark).read.schema(SCHEMA).parquet(folder)
 
-    Starts come from running totals over shards within a range and over ranges; the latter
-    are as many rows as the writing job had partitions.
+
+def starts(shards: DataFrame) -> DataFrame:
+    """For each shard the number of ids in all shards before.
+
+    Running totals over the shards of a range and over ranges; the latter are as many rows as
+    the writing job had partitions.
     """
-    prepare(spark)
-    shards = spark.read.schema(SCHEMA).parquet(folder)
     counts = shards.select("shard", "n").withColumn("range", F.shiftright("shard", 32))
     total = counts.groupBy("range").agg(F.sum("n").alias("of_range"))
     before = total.select("range", (F.sum("of_range").over(Window.orderBy("range")) - F.col("of_range")).alias("ranges_before"))
     inside = counts.select("shard", "range", (F.sum("n").over(Window.partitionBy("range").orderBy("shard")) - F.col("n")).alias("shards_before"))
-    starts = inside.join(before, "range").select("shard", (F.col("ranges_before") + F.col("shards_before")).alias("start"))
-    return shards.join(starts, "shard")
+    return inside.join(before, "range").select("shard", (F.col("ranges_before") + F.col("shards_before")).alias("shard_start"))
 
 
 def documents(shards: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and CRC-32 of the ids (4 bytes little-endian each), from the planes."""
+    """doc_id, start, n_tokens and CRC-32 of the ids (4 bytes little-endian each), from the planes.
+
+    The planes are read where they lie; only what is known of each document moves.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,10 +279,12 @@ def documents(shards: DataFrame) -> DataFrame:
                 raw = memoryview(ids).cast("B")
                 crc = [zlib.crc32(raw[4 * (b - n) : 4 * b]) for b, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 nulls = np.unpackbits(np.frombuffer(get("null_ids"), np.uint8), count=len(names)).astype(bool) if get("null_ids") else None
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64(), mask=nulls), pa.array(get("start") + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())],
-                                                 names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(names), get("shard"))), pa.array(names, pa.int64(), mask=nulls), pa.array(ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())],
+                    names=["shard", "doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    found = shards.mapInArrow(run, "shard long, doc_id long, start long, n_tokens long, ids_crc32 long")
+    return found.join(starts(shards), "shard").select("doc_id", (F.col("start") + F.col("shard_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
