@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tablehouse.llm.common import CHUNK_BYTES, fit, not_space, prepare, utf8, window_hashes, word_hashes
 
 K = 35
-CHUNK_TEXT = 16 << 20  # bytes of text in a chunk, on average
+CHUNK_TEXT = 6 << 20  # bytes of text in a chunk, on average
 RANGE_WINDOWS = 1 << 20  # hashes counted in one place, on average
 
 
