@@ -114,7 +114,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, defau
     shapes = sorted({(h.count(".") + 1, len(p)) for _, h, p in rules})
     texts = [F.concat(F.substring_index("host", ".", -labels), F.substring("path", 1, length)) for labels, length in shapes]
     hosts = [F.length(F.substring_index("host", ".", -labels)) for labels, _ in shapes]
-    listed = spark.createDataFrame([(h + p, a) for a, h, p in rules], "key string, action string")
+    rule = F.explode(F.array(*[F.struct(F.lit(h + p).alias("key"), F.lit(a).alias("action")) for a, h, p in rules]))
+    listed = spark.range(1).select(rule.alias("r")).select("r.key", "r.action")
     # the universe, once per distinct key; the short list is a literal set in the same scan
     of = F.create_map(*[x for a, h, p in rules for x in (F.lit(h + p), F.lit(a))])
     keys = urls.select(F.explode(F.array(*texts)).alias("key")).distinct()
