@@ -22,7 +22,7 @@ from tablehouse.llm.common import prepare, stored
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     model = language.train(docs.filter(~language.held_out(F.col("doc_id"))))
-    return language.predict(docs, model).filter(F.col("lang_pred") != language.UNKNOWN).drop("lang_pred", "score")
+    return language.keep_known(docs, model)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -246,6 +246,13 @@ class Memo:
         return self.at[word], self.at[word + 1] - self.at[word]
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """`name`, or it with underscores, so that no column of `df` has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def fit(df: DataFrame, **kinds: str) -> DataFrame:
     """The named columns cast to what an operator works on; other columns are left out."""
     from pyspark.sql import functions as F

@@ -118,8 +118,10 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     rows = cells.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("p")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
     if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not rows:
+        return [], np.zeros((0, DIM), np.float32)
     matrix = np.array([[c.x for c in r.p] for r in rows], np.float64).reshape(len(rows), -1)
-    some = np.abs(matrix).sum(axis=1) > 0 if len(rows) else np.zeros(0, bool)
+    some = np.abs(matrix).sum(axis=1) > 0
     matrix = matrix[some]
     return [r.lang for r, ok in zip(rows, some, strict=True) if ok], (matrix / np.linalg.norm(matrix, axis=1, keepdims=True)).astype(np.float32)
 
@@ -160,6 +162,20 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)
 
 
+def keep_known(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
+    """`docs`, all columns, without the rows that are predicted `und`."""
+    shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = once("hd letters", Letters)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                names, _ = predict_batch(letters, part.column("text"), *shared.value)
+                yield part.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Every fifth document by the CRC-32 of its id as text; a null id is not held out."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))

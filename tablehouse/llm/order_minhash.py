@@ -13,15 +13,17 @@ band loses nothing.  The alignment is bit-parallel, one integer operation per wo
 
 How groups stay cheap: texts equal as word sequences are one node.  A bucket (texts with a
 common sketch) is linked as a star, each text with the bucket's least node; this is what links
-a large group of copies.  Texts that fail against that node are left over.  Alignment distance
-is a metric: a left-over that is further from the star's centre than two times the limit can't
-be near any text of the star, so it meets the other left-overs only; one that is closer meets
-the texts of the star, too.  No pair of a bucket is lost, and none within a star is made.
-Classes are the connected components, found by alternating large-star and small-star steps on
-tables in the shared folder.
-
-Pairs at 0.95 similarity (a k-mer overlap of 0.63) share a sketch with a probability of 98 %,
-pairs of a five-word overlap of 0.8 with one of 99.999 %.
+a large group of copies.  Texts that fail against that node make the next star, `ROUNDS` times.
+Alignment distance is a metric: a left-over that is further from a star's centre than two times
+the limit can't be near any text of the star.  One that is closer meets the texts of the star,
+unless both are in one class by then; so do the left-overs of the last round each other.  No
+near pair of a bucket is left in two classes, and no pairs within a star are made.  Classes are
+the connected components, found by alternating large-star and small-star steps on tables in
+the shared folder.
+
+A pair whose k-mers overlap by j shares a sketch with a probability of about 1 - (1 - j**3)**24:
+more than 99.9999 % at an overlap of 0.8, 99.9 % at 0.63 (similarity 0.95, edits spread evenly),
+84 % at 0.42 (similarity 0.9); several copies of one text help each other.
 
 Defined cases: null and word-less texts are one class; texts of fewer than five words are one
 k-mer; the class id is the least doc_id of the class (nulls last; null if all are null);
@@ -31,17 +33,18 @@ repeated rows fall into one class; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tablehouse.llm.common import WORD_BASE, fit, letters_digits, mix, prepare, seeded, slices, stored, utf8, window_hashes, word_hashes
+from tablehouse.llm.common import WORD_BASE, fit, letters_digits, mix, prepare, seeded, slices, spare, stored, utf8, window_hashes, word_hashes
 
-K, PICKS, SKETCHES, SIMILARITY = 5, 4, 24, 0.8
+K, PICKS, SKETCHES, SIMILARITY, ROUNDS = 5, 3, 24, 0.8, 3
 
 
 # ---- texts -----------------------------------------------------------------------------
@@ -169,29 +172,39 @@ def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
 
 def _verify(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        far = 2 * similarity - 1  # within twice the limit: 2 * aligned >= far * (both lengths)
         for batch in batches:
-            near, close = [], []
+            size, both = [[], []], []
             for x, y in zip(batch.column("a_words"), batch.column("b_words"), strict=True):
                 x, y = (np.frombuffer(t.as_buffer(), "<u4") for t in (x, y))
-                long, short = max(len(x), len(y)), min(len(x), len(y))
-                # within twice the limit: 2 * aligned >= (2 * similarity - 1) * (both lengths)
-                far = 2 * similarity - 1
-                if 2 * short < far * (long + short):
-                    near.append(False), close.append(False)
-                    continue
-                n = aligned(x, y, int(long + short - far * (long + short)) + 1)
-                near.append(n >= similarity * long)
-                close.append(2 * n >= far * (long + short))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(near, pa.bool_()), pa.array(close, pa.bool_())], names=["a", "b", "near", "close"])
+                total, short = len(x) + len(y), min(len(x), len(y))
+                size[0].append(len(x))
+                size[1].append(len(y))
+                both.append(aligned(x, y, int(total - far * total) + 1) if 2 * short >= far * total else 0)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *(pa.array(c, pa.int64()) for c in (*size, both))], names=["a", "b", "na", "nb", "n"])
 
     return run
 
 
 def verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) with `near`, and `close`: within twice the limit."""
+    """Pairs (a, b) with their distance (words that don't align), `near`, and `close`: within twice the limit."""
     left = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
     both = left.join(words.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b")
-    return both.select("a", "b", "a_words", "b_words").mapInArrow(_verify(similarity), "a binary, b binary, near boolean, close boolean")
+    done = both.select("a", "b", "a_words", "b_words").mapInArrow(_verify(similarity), "a binary, b binary, na long, nb long, n long")
+    return done.select("a", "b", F.col("nb").alias("words"), (F.col("na") + F.col("nb") - 2 * F.col("n")).alias("distance"),
+                       (F.col("n") >= similarity * F.greatest("na", "nb")).alias("near"), (2 * F.col("n") >= (2 * similarity - 1) * (F.col("na") + F.col("nb"))).alias("close"))
+
+
+def _may_be_near(similarity: float) -> Column:
+    """Whether texts a and b (columns x_words, x_far) can be near, by the triangle inequality.
+
+    x_far holds the distance of x from each centre that both were held against, null where it is
+    beyond twice the limit.
+    """
+    longer, shorter = F.greatest("a_words", "b_words"), F.least("a_words", "b_words")
+    most = shorter + longer - 2 * similarity * longer
+    apart = F.zip_with("a_far", "b_far", lambda x, y: F.coalesce(F.abs(x - y) <= most, F.lit(True)))
+    return (shorter >= similarity * longer) & F.forall(apart, lambda ok: ok)
 
 
 # ---- classes ---------------------------------------------------------------------------
@@ -221,27 +234,61 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def links(marks: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Verified edges (a, b) that connect all candidate pairs that are near; `marks`: node, sketches, one row per node."""
+def _roots_apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose nodes are not known to be connected."""
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).drop("a_root", "b_root")
+
+
+def connected(marks: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of all nodes with a near candidate; `marks`: node, sketches, one row per node."""
     keys = marks.select("node", F.explode("sketches").alias("key"))
-    stars = keys.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "centre")
-    members = stored(keys.join(stars, "key").select("key", "centre", "node"), "buckets")
-    rays = members.filter("centre <> node").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    judged = stored(verify(rays, words, similarity), "judged")
-    state = members.join(judged.select(F.col("a").alias("centre"), F.col("b").alias("node"), "near", "close"), ["centre", "node"], "left")
-    state = state.select("key", "node", F.coalesce("near", F.lit(True)).alias("near"), F.coalesce("close", F.lit(True)).alias("close"))
-    # buckets with left-overs; those far from the centre don't meet its star
-    left = state.filter(~F.col("near")).select("key", F.col("node").alias("a"), F.col("close").alias("a_close"))
-    open_keys = left.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    state = state.join(open_keys.select("key"), "key", "left_semi").select("key", F.col("node").alias("b"), F.col("near").alias("b_near"))
-    rest = left.join(state, "key").filter(F.when(F.col("b_near"), F.col("a_close")).otherwise(F.col("a") < F.col("b")))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = judged.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(rest.join(done, ["a", "b"], "left_anti"), "rest")
-    edges = judged.filter("near").select("a", "b")
-    if rest.isEmpty():
-        return edges
-    return edges.unionByName(verify(rest, words, similarity).filter("near").select("a", "b"))
+    several = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    left = stored(keys.join(several, "key"), "buckets")
+    texts = stored(words.join(left.select("node").distinct(), "node", "left_semi"), "words")
+    rounds, left = [], left.withColumn("far", F.array().cast("array<long>"))
+    for _ in range(ROUNDS):
+        centres = left.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "centre")
+        rays = left.join(centres, "key").filter("node <> centre")
+        judged = stored(verify(rays.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), texts, similarity), "judged")
+        state = rays.join(judged.withColumnsRenamed({"a": "centre", "b": "node"}), ["centre", "node"])
+        state = stored(state.withColumn("far", F.concat("far", F.array(F.when(F.col("close"), F.col("distance"))))), "stars")
+        rounds.append((judged, state))
+        left = state.filter("not near").select("key", "node", "far")
+        if left.isEmpty():
+            break
+    roots = stored(components(reduce(DataFrame.unionByName, [judged.filter("near").select("a", "b") for judged, _ in rounds])), "roots")
+    tried = reduce(DataFrame.unionByName, [judged.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) for judged, _ in rounds])
+    rest = stored(_open_pairs([state for _, state in rounds], roots, similarity).join(tried, ["a", "b"], "left_anti"), "rest")
+    return roots if rest.isEmpty() else _merged(roots, verify(rest, texts, similarity).filter("near").select("a", "b"))
+
+
+def _open_pairs(rounds: list[DataFrame], roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of a bucket in different classes that no distance rules out.
+
+    Left-overs of the last round meet each other; those close to a star meet its texts.
+    """
+    side = lambda frame, x, more: frame.select(*more, F.col("node").alias(x), F.col("words").alias(f"{x}_words"), F.col("far").alias(f"{x}_far"))
+    over = rounds[-1].filter("not near").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first, other = side(over, "a", ["key", F.col("root").alias("r")]), side(over, "b", [F.col("key").alias("key_b"), F.col("root").alias("q")])
+    pairs = first.join(other, (F.col("key") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("r") != F.col("q")) & _may_be_near(similarity)).select("a", "b")
+    for state in rounds:
+        loose = _roots_apart(side(state.filter("not near and close"), "b", ["key", F.col("centre").alias("a")]), roots).withColumnRenamed("a", "centre")
+        star = side(state.filter("near"), "a", [F.col("key").alias("key_a"), F.col("centre").alias("centre_a")])
+        same = (F.col("key") == F.col("key_a")) & (F.col("centre") == F.col("centre_a"))
+        pairs = pairs.unionByName(loose.join(star, same & _may_be_near(similarity)).select("a", "b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _merged(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, root) after further edges."""
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    lifted = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+    above = stored(components(lifted), "roots")
+    alone = above.join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
+    every = roots.unionByName(alone).join(above.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    return every.select("node", F.coalesce("top", "root").alias("root"))
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, k: int = K, picks: int = PICKS, sketches: int = SKETCHES) -> DataFrame:
@@ -250,24 +297,24 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, k: int = K, picks:
     texts = fit(docs, doc_id="long", text="string")
     marks = stored(texts.mapInArrow(_scan(k, picks, sketches), "doc_id long, node binary, sketches array<long>"), "sketches")
     words = texts.select("text").mapInArrow(_word_scan, "node binary, words binary").dropDuplicates(["node"])
-    found = components(links(marks.dropDuplicates(["node"]).select("node", "sketches"), words, similarity))
+    found = connected(marks.dropDuplicates(["node"]).select("node", "sketches"), words, similarity)
     rows = marks.select("doc_id", "node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ids = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_class"))
+    ids = stored(rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_class")), "classes")
     return rows.join(ids, "root").select("doc_id", "node", "root", "class_id", "n_class")
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """`docs`, all columns, with one row of each class: of least doc_id, then node; a null id only if there is no other."""
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
-    best = classes(docs, **settings).groupBy("root").agg(F.min(rank).alias("b"))
-    best = best.select(F.col("b.doc_id").alias("kept_id"), F.col("b.node").alias("kept_node"))
+    own, kept, kept_id = spare(docs, "own_node"), spare(docs, "kept_node"), spare(docs, "kept_id")
+    best = classes(docs, **settings).groupBy("root").agg(F.min(rank).alias("b")).select(F.col("b.doc_id").alias(kept_id), F.col("b.node").alias(kept))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 keys = node_keys(*words_of(part.column("text")))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())], names=[*part.schema.names, "own_node"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())], names=[*part.schema.names, own])
 
-    marked = docs.mapInArrow(add, StructType([*docs.schema.fields, StructField("own_node", BinaryType())]))
-    same = (F.col("own_node") == F.col("kept_node")) & F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id"))
-    return marked.join(best, same).dropDuplicates(["kept_node", "kept_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = docs.mapInArrow(add, StructType([*docs.schema.fields, StructField(own, BinaryType())]))
+    same = (F.col(own) == F.col(kept)) & F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id))
+    return marked.join(best, same).dropDuplicates([kept, kept_id]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -32,7 +32,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablehouse.llm.common import byte_runs, fit, prepare, slices, utf8
+from tablehouse.llm.common import byte_runs, fit, prepare, slices, spare, utf8
 
 LONG, SHORT, CONTEXT = 16, 8, 48
 SAMPLE_DOCS, TREES, DEPTH, SEED = 4000, 30, 8, 7
@@ -223,7 +223,7 @@ def labelled_findings(spark: SparkSession, docs: DataFrame | None = None, sample
 
 def train(findings: DataFrame) -> RandomForestClassificationModel:
     """A random forest over labelled findings (features, label)."""
-    rows = findings.select(array_to_vector("features").alias("features"), "label").repartition(2, "label").cache()
+    rows = findings.select(array_to_vector("features").alias("features"), "label").cache()
     try:
         return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, maxMemoryInMB=64, featureSubsetStrategy="onethird").fit(rows)
     finally:
@@ -243,15 +243,15 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel) -> DataFrame
     A finding is applied where its value stands at its place, so rows that share a doc_id but
     not their text don't change each other.
     """
-    span = F.struct("first", "last", "value")
-    found = secrets(docs, model).groupBy(F.col("doc_id").alias("found_id")).agg(F.collect_set(span).alias("found_spans"))
-    both = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("found_id")), "left").drop("found_id")
+    span, own_id, own_spans = F.struct("first", "last", "value"), spare(docs, "found_id"), spare(docs, "found_spans")
+    found = secrets(docs, model).groupBy(F.col("doc_id").alias(own_id)).agg(F.collect_set(span).alias(own_spans))
+    both = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)), "left").drop(own_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, names = batch.column("found_spans"), batch.schema.names
+            spans, names = batch.column(own_spans), batch.schema.names
             hit = [i for i in range(batch.num_rows) if spans[i].is_valid]
-            columns = {c: batch.column(c) for c in names if c != "found_spans"}
+            columns = {c: batch.column(c) for c in names if c != own_spans}
             if hit:
                 texts = columns["text"].to_pylist()
                 size = columns["n_chars"].to_pylist() if "n_chars" in columns else None

@@ -230,7 +230,7 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = END_ID,
         number = TaskContext.get().partitionId() << 32
         ids, names, lengths, held = [], [], [], 0
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", min(1 << 20, shard_tokens)):
                 got, n = coder.encode(part.column("text"), end_id)
                 ids.append(got.astype(np.uint16 if not len(got) or got.max() < 1 << 16 else np.int32))
                 names += part.column("doc_id").to_pylist()
