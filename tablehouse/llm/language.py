@@ -39,7 +39,7 @@ def letter_vector(code: int) -> np.ndarray:
     """The fixed vector of a code point; 0 is the blank."""
     with np.errstate(over="ignore"):
         words = mix(mix(np.arange(DIM // 64, dtype=np.uint64) + np.uint64(code * (DIM // 64))) + np.uint64(0x51ED270B))
-    return (np.unpackbits(words.view(np.uint8)).astype(np.float32) * 2 - 1)[:DIM]
+    return (np.unpackbits(words.view(np.uint8)).astype(np.int8) * 2 - 1)[:DIM]
 
 
 class Letters:
@@ -48,7 +48,7 @@ class Letters:
     def __init__(self):
         self.number = np.zeros(0x110000, np.int32)  # 0: blank or not seen yet
         self.seen = np.zeros(0x110000, bool)
-        self.vectors = np.zeros((1, DIM), np.float32)
+        self.vectors = np.zeros((1, DIM), np.int8)
         self.vectors[0] = letter_vector(0)
 
     def of(self, codes: np.ndarray) -> np.ndarray:
@@ -92,6 +92,14 @@ def ngrams(letters: Letters, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, n
     return row, column, count.astype(np.float32), table, has
 
 
+def bundle(counts: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Counts (rows by n-grams) times n-gram vectors, some n-grams at a time."""
+    out, step = np.zeros((len(counts), DIM), np.float32), 2048
+    for a in range(0, len(table), step):
+        out += counts[:, a : a + step] @ table[a : a + step].astype(np.float32)
+    return out
+
+
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and unit prototypes from all rows with text and lang."""
     prepare(docs.sparkSession)
@@ -99,13 +107,13 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, sums = once("hd letters", Letters), {}
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 row, column, count, table, _ = ngrams(letters, part.column("text"))
                 names = part.column("lang").to_pylist()
                 which = {name: i for i, name in enumerate(dict.fromkeys(names))}
                 of = np.array([which[x] for x in names])[row] if len(names) else row
                 total = np.bincount(of * max(len(table), 1) + column, count, len(which) * max(len(table), 1)).reshape(len(which), -1)
-                made = total.astype(np.float32)[:, : len(table)] @ table
+                made = bundle(total.astype(np.float32)[:, : len(table)], table)
                 for name, i in which.items():
                     sums[name] = sums.get(name, 0) + made[i].astype(np.float64)
         if sums:
@@ -135,7 +143,7 @@ def predict_batch(letters: Letters, texts: pa.Array, langs: list[str], prototype
             continue
         counts = np.zeros((len(has), len(table)), np.float32)
         counts[row, column] = count
-        vectors = counts @ table
+        vectors = bundle(counts, table)
         norm = np.linalg.norm(vectors, axis=1)
         cosine = (vectors @ prototypes.T) / np.where(norm > 0, norm, 1)[:, None]
         best = cosine.argmax(axis=1)
@@ -155,7 +163,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
         letters = once("hd letters", Letters)
         langs, prototypes = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 names, score = predict_batch(letters, part.column("text"), langs, prototypes)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(score)], names=[*part.schema.names, "lang_pred", "score"])
 
@@ -169,7 +177,7 @@ def keep_known(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = once("hd letters", Letters)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 names, _ = predict_batch(letters, part.column("text"), *shared.value)
                 yield part.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
 
