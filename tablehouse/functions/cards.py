@@ -120,6 +120,7 @@ def with_strength(df: DataFrame, cards: str = "cards", deck: str = "holdem") ->
     strength = category, the ranks that make the category, and the kickers, as three fields
     of 15 bits; two rank sets of one size compare like their ranks from the highest down.
     Everything is integer arithmetic within the row, in steps small enough to be compiled.
+    Both are null unless the row has exactly seven distinct cards of codes 0 to 51.
     """
     full_house, flush, low_ace = DECKS[deck]
     base = df.columns
@@ -131,7 +132,7 @@ def with_strength(df: DataFrame, cards: str = "cards", deck: str = "holdem") ->
     def both(a: str, b: str) -> Column:
         return col(a).bitwiseAND(col(b))
 
-    steps = df.select(*base, *[F.coalesce(F.col(cards)[i].cast("int"), F.lit(0)).alias(f"_c{i}") for i in range(7)])
+    steps = df.select(*base, *[F.coalesce(F.get(F.col(cards), F.lit(i)).cast("int"), F.lit(0)).alias(f"_c{i}") for i in range(7)])
     steps = steps.select(
         "*", *[bit(col(f"_c{i}")).alias(f"_b{i}") for i in range(7)],
         # cards per suit, a byte each
@@ -184,4 +185,9 @@ def with_strength(df: DataFrame, cards: str = "cards", deck: str = "holdem") ->
     strength = (
         F.shiftleft(col("category").cast("bigint"), 30)
         + F.shiftleft(col("_made").cast("bigint"), 15) + col("_kick"))
-    return steps.select(*base, strength.alias("strength"), "category")
+    own = [F.get(F.col(cards), F.lit(i)) for i in range(7)]
+    legal = (F.size(cards) == 7) & (F.size(F.array_distinct(cards)) == 7)
+    for card in own:
+        legal = legal & F.coalesce(card.between(0, 51), F.lit(False))
+    return steps.withColumn("_legal", F.coalesce(legal, F.lit(False))).select(
+        *base, F.when(F.col("_legal"), strength).alias("strength"), F.when(F.col("_legal"), F.col("category")).alias("category"))

@@ -45,19 +45,19 @@ def pairs(df: DataFrame, keys: list[str], id_col: str, cols: list[str], block: i
     ids): group each by these and the ids first, then add the two up.
     """
     rows = df.select(*keys, id_col, *cols)
-    hot, block = hot_keys(df, keys, block)
+    hot = hot_keys(df, keys, block)
 
     def named(side: DataFrame, suffix: str) -> DataFrame:
         return side.withColumnsRenamed({c: f"{c}_{suffix}" for c in [id_col, *cols]})
 
     ordered = F.col(f"{id_col}_1") < F.col(f"{id_col}_2")
-    usual = rows if hot is None else rows.join(F.broadcast(hot), keys, "left_anti")
+    usual = rows if hot is None else rows.join(hot, keys, "left_anti")
     plain = named(usual, "1").join(named(usual, "2"), keys).where(ordered).select(
         "*", F.lit(0).alias("_i"), F.lit(0).alias("_j"))
     if hot is None:
         return [plain]
     cut = F.ceil(F.col("_n") / block)
-    tagged = rows.join(F.broadcast(hot), keys).select(
+    tagged = rows.join(hot, keys).select(
         *rows.columns, F.pmod(F.xxhash64(id_col).cast("bigint"), cut).cast("int").alias("_b"),
         F.sequence(F.lit(0), cut.cast("int") - 1).alias("_all"))
 

@@ -16,22 +16,26 @@ from pyspark.sql import functions as F
 from tablehouse.operators.skew import hot_keys
 
 LIMIT = 2_000_000
+CHUNKS = 512
 
 
 def split_hot(df: DataFrame, keys: list[str], order: str, limit: int = LIMIT) -> tuple[DataFrame, bool]:
     """Adds `_c`, the chunk a row belongs to (null for a usual key); whether there are any.
 
-    The table of hot keys is bounded and broadcast, so the rows move once: to their key and
-    chunk.
+    A chunk holds an equal share of the key's rows, whatever the values of the order column:
+    its borders are quantiles, at most `CHUNKS` of them.
     """
-    hot, limit = hot_keys(df, keys, limit, (F.min(order).alias("_lo"), F.max(order).alias("_hi")))
+    hot = hot_keys(df, keys, limit)
     if hot is None:
         return df.withColumn("_c", F.lit(None).cast("bigint")), False
-    width = (F.col("_hi") - F.col("_lo") + 1).cast("double")
-    cut = F.ceil(F.col("_n") / limit)
-    chunk = F.floor((F.col(order) - F.col("_lo")).cast("double") / width * cut)
-    tagged = df.join(F.broadcast(hot), keys, "left").withColumn("_c", F.least(chunk, cut - 1))
-    return tagged.drop("_n", "_lo", "_hi").repartition(*keys, "_c"), True
+    marks = F.percentile_approx(order, [i / CHUNKS for i in range(1, CHUNKS)], 10 * CHUNKS)
+    borders = df.join(hot, keys, "left_semi").groupBy(*keys).agg(marks.alias("_all"))
+    # every so many of the quantiles, so that a chunk has about `limit` rows
+    step = F.greatest(F.lit(1), F.floor(F.lit(CHUNKS) * limit / F.col("_n"))).cast("int")
+    borders = borders.join(hot, keys).select(*keys, F.filter("_all", lambda x, i: (i + 1) % step == 0).alias("_borders"))
+    tagged = df.join(borders, keys, "left")
+    chunk = F.size(F.filter("_borders", lambda b: b < F.col(order))).cast("bigint")
+    return tagged.withColumn("_c", F.when(F.col("_borders").isNotNull(), chunk)).drop("_borders").repartition(*keys, "_c"), True
 
 
 BEFORE = (Window.unboundedPreceding, -1)

@@ -1,28 +1,22 @@
-"""Finding the few keys that hold more rows than one task should take."""
+"""Finding the keys that hold more rows than one task should take."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CAP = 10_000
+from tablehouse.session import scratch
 
 
-def hot_keys(df: DataFrame, keys: list[str], limit: int, aggs: tuple[Column, ...] = (),
-             cap: int = CAP) -> tuple[DataFrame | None, int]:
+def hot_keys(df: DataFrame, keys: list[str], limit: int, aggs: tuple[Column, ...] = ()) -> DataFrame | None:
     """Keys with more than `limit` rows, with their row count `_n` and further aggregates.
 
     Runs one counting job: rows are counted map-side, so a hot key costs no more than
-    others.  At most `cap` keys come back, as a frame small enough to broadcast; should
-    there be more, the limit is raised tenfold until they fit (n rows hold at most
-    n / limit such keys).  None if there is none.  The limit that was used is returned too.
+    others.  The keys are a table in the shared folder, however many there are; the limit
+    holds as it is given.  None if there is none.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *aggs)
-    while True:
-        found = sizes.where(F.col("_n") > limit)
-        rows = found.take(cap + 1)
-        if not rows:
-            return None, limit
-        if len(rows) <= cap:
-            return df.sparkSession.createDataFrame(rows, found.schema), limit
-        limit *= 10
+    path = scratch(df.sparkSession, "hot-keys")
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *aggs).where(F.col("_n") > limit)
+    found.write.parquet(path)
+    found = df.sparkSession.read.schema(found.schema).parquet(path)
+    return None if found.isEmpty() else found

@@ -107,7 +107,7 @@ n as (select f.*, c.startbet, c.is_small, c.is_big,
       over (partition by f.dt, f.sztoken, f.nround) as blinds,
     count(distinct commoncard) over (partition by f.dt, f.sztoken, f.nround, f.playerid, f.seat order by json_index) as predealct
   from f left join c on f.dt = c.dt and f.sztoken = c.sztoken and f.nround = c.nround and f.seat = c.seat and f.action = c.action),
-g as (select distinct dt, sztoken, nround, cast(nplayerid as string) as playerid, gameresult from @v_result)
+g as (select distinct dt, sztoken, nround, cast(nplayerid as string) as playerid, gameresult from @v_score)
 select createdate, sztoken, nround, playerid, seat, cast(rn as int) as json_index, f_min as minbetscore, f_max as maxbetscore,
   f_add as minaddscore, action, seatbetstate,
   case when action = 'S2CStateGameStart' then startbet else betscore end as betscore,

@@ -165,15 +165,15 @@ def player_action(dwd: DataFrame, seats: DataFrame, score: DataFrame, fill: str
     if fill not in ("last", "first"):
         raise ValueError("fill is 'last' or 'first'")
     source = action_messages(dwd)
-    hot, limit = hot_keys(source, HAND, hand_limit)
+    hot = hot_keys(source, HAND, hand_limit)
     if hot is None:
         numbered = _fill_hands(_prepare(fan_out(events(source), seats)), fill)
     else:
-        keys = F.broadcast(hot.select(*HAND))
+        keys = hot.select(*HAND)
         usual, large = (source.join(keys, HAND, how) for how in ("left_anti", "left_semi"))
         spread = _prepare(fan_out(events(large, by_hand=False), seats.join(keys, HAND, "left_semi"), salts=64))
         numbered = _fill_hands(_prepare(fan_out(events(usual), seats)), fill).unionByName(
-            _fill_hot_hands(spread, fill, limit))
+            _fill_hot_hands(spread, fill, hand_limit))
     start = F.col("action") == "S2CStateGameStart"
     result = score.select(*HAND, F.col("nplayerid").cast("string").alias("playerid"),
                           "gameresult").repartition(*HAND).dropDuplicates()

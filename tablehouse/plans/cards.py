@@ -62,7 +62,7 @@ def preflop_rates(spark: SparkSession) -> DataFrame:
 def preflop_equity(hands: DataFrame, c1: Column, c2: Column, rates: DataFrame) -> DataFrame:
     """Adds the hand class and its win rate.  The table has 169 rows, one per class."""
     keyed = hands.withColumn("hand_class", C.preflop_key(c1, c2))
-    return keyed.join(F.broadcast(rates.select("hand_class", "win_rate")), "hand_class", "left").withColumn(
+    return keyed.join(rates.select("hand_class", "win_rate"), "hand_class", "left").withColumn(
         "win_rate", F.coalesce("win_rate", F.lit(DEFAULT_RATE)))
 
 

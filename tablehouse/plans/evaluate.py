@@ -87,10 +87,10 @@ def street_mix(actions: DataFrame) -> DataFrame:
 
 
 def baseline_gate(report: DataFrame, baselines: list[str], threshold: float) -> DataFrame:
-    """Report rows of the models that reach the threshold against every baseline."""
+    """Report rows of the models that reach the threshold, unrounded, against every baseline."""
     against = report.where(F.col("agent1").isin(*baselines))
     passed = against.groupBy("agent0").agg(
-        F.bool_and(F.col("mbb_h") >= threshold).alias("ok"),
+        F.bool_and(ratio("total_payoffs", "hands") * 1000 >= threshold).alias("ok"),
         F.count_distinct("agent1").alias("seen"),
     ).where(F.col("ok") & (F.col("seen") == len(baselines)))
     return semi(against, passed, ["agent0"])

@@ -24,7 +24,8 @@ def explode_log(ods: DataFrame) -> DataFrame:
     `carddata` is the message with its position injected as `json_index`; `name`,
     `data` (JSON text) and `json_index` are also given as columns so that later jobs
     need not parse it again.  Elements that are not objects are dropped but keep their
-    position; logs that are not JSON give no rows.
+    position; logs that are not JSON give no rows (`rejected` has them).  Of a key that a
+    message repeats, the last value counts; a `json_index` of its own gives way to the position.
     """
     elements = ods.select(
         "id",
@@ -36,18 +37,28 @@ def explode_log(ods: DataFrame) -> DataFrame:
         "sztitle", "szhandcard", "szcarddata", "createtime", "dt",
         F.posexplode(F.from_json("szcarddata", "array<string>")).alias("json_index", "element"),
     ).where(F.substring(F.trim("element"), 1, 1) == "{")
-    index = F.create_map(F.lit("json_index"), F.col("json_index").cast("string"))
-    parsed = elements.withColumn("fields", F.from_json("element", "map<string, string>"))
+    index = F.struct(F.lit("json_index").alias("key"), F.col("json_index").cast("string").alias("value"))
+    parsed = elements.withColumn("entries", F.map_entries(F.from_json("element", "map<string, string>")))
+    later = lambda x, i: F.exists(F.slice("entries", i + 2, F.size("entries")), lambda y: y["key"] == x["key"])
+    parsed = parsed.withColumn("fields", F.filter("entries", lambda x, i: (x["key"] != "json_index") & ~later(x, i)))
+    last = lambda key: F.try_element_at(F.filter("fields", lambda x: x["key"] == key), F.lit(1))["value"]
     return parsed.select(
         "id", "gametype", "playerid", "sztoken", "nround", "winscore", "score", "sztitle",
         "szhandcard", "szcarddata",
-        F.to_json(F.map_concat("fields", index)).alias("carddata"), "json_index",
-        F.try_element_at("fields", F.lit("name")).alias("name"),
-        F.try_element_at("fields", F.lit("data")).alias("data"),
-        "createtime", "dt",
+        F.to_json(F.map_from_entries(F.concat("fields", F.array(index)))).alias("carddata"), "json_index",
+        last("name").alias("name"), last("data").alias("data"), "createtime", "dt",
     )
 
 
+def rejected(ods: DataFrame) -> DataFrame:
+    """Logs that `explode_log` can't use (null position), and their elements that are no objects."""
+    elements = F.from_json("szcarddata", "array<string>")
+    rows = ods.select("id", "dt", F.posexplode_outer(F.when(F.size(elements) > 0, elements)).alias("json_index", "element"), "szcarddata")
+    good = F.coalesce(F.substring(F.trim("element"), 1, 1) == "{", F.lit(False))
+    empty = F.col("json_index").isNull() & F.coalesce(F.size(F.from_json("szcarddata", "array<string>")) == 0, F.lit(False))
+    return rows.where(~good & ~empty).select("id", "dt", "json_index", F.coalesce("element", "szcarddata").alias("rejected"))
+
+
 def messages(dwd: DataFrame) -> DataFrame:
     """Message rows with `json_index`, `name` and `data`, parsed from `carddata` if need be."""
     if {"json_index", "name", "data"} <= set(dwd.columns):
@@ -129,5 +140,5 @@ def deal_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("tstr"), "dt")
 
 
-__all__ = ["HAND", "explode_log", "messages", "seat_info", "robot_info", "card_preset",
+__all__ = ["HAND", "explode_log", "rejected", "messages", "seat_info", "robot_info", "card_preset",
            "flatten_deals", "deal_lines"]

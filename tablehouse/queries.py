@@ -67,14 +67,14 @@ def robot_info(fx):
 @query
 def player_action(fx):
     dwd = _dwd(fx)
-    return actions.player_action(dwd, jsonlog.seat_info(dwd), fx.result)
+    return actions.player_action(dwd, jsonlog.seat_info(dwd), fx.score)
 
 
 @query
 def player_action_first(fx):
     """The variant that fills gaps with the nearest later value."""
     dwd = _dwd(fx)
-    return actions.player_action(dwd, jsonlog.seat_info(dwd), fx.result, fill="first")
+    return actions.player_action(dwd, jsonlog.seat_info(dwd), fx.score, fill="first")
 
 
 @query

@@ -41,7 +41,7 @@ def _sink(table: str, rejects: str):
         parted = rows.persist()
         try:
             for keep, path in ((ok, table), (~ok, rejects)):
-                parted.where(keep).sortWithinPartitions("event_ts").select("tstr", "dt", "batch").write.mode(
+                parted.where(keep).sortWithinPartitions("dt", "batch", "event_ts").select("tstr", "dt", "batch").write.mode(
                     "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").parquet(path)
         finally:
             parted.unpersist()

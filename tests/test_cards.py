@@ -148,3 +148,10 @@ def test_catalogue(spark):
     rows = cards.validate_presets(df).collect()
     assert [r.status for r in rows] == ["ok", "duplicate", "illegal", "duplicate"]
     assert rows[0].my_card == [0x11, 0x1D]
+
+
+def test_only_seven_distinct_cards_have_a_strength(spark):
+    rows = [(list(range(7)),), (list(range(8)),), ([0, 1, 2, 3, 4, 5, None],), ([0, 0, 2, 3, 4, 5, 6],), ([0, 1, 2],), ([0, 1, 2, 3, 4, 5, 52],), (None,), ([],)]
+    df = spark.createDataFrame(rows, "cards array<int>")
+    got = [(r.strength is not None, r.category is not None) for r in C.with_strength(df).collect()]
+    assert got == [(True, True)] + [(False, False)] * 7

@@ -164,3 +164,20 @@ def test_local_day(spark):
     df = spark.createDataFrame([(1_704_067_200_000,), (1_704_038_399_000,), (None,)], "ms bigint")
     got = [r.d for r in df.select(local_day(F.col("ms")).alias("d")).collect()]
     assert got[:2] == ["2024-01-01", "2023-12-31"] and got[2] > "2024"
+
+
+def test_ingested_files_are_in_time_order(spark, tmp_path):
+    import json
+
+    lines = [{"event_id": str(i), "ts_ms": 3_600_000 * (1000 + i * 7919 % 40), "message": ingest.KEYWORD + json.dumps({"t": i * 7919 % 40})} for i in range(40)]
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a.json").write_text("\n".join(map(json.dumps, lines)))
+    ingest.ingest(spark, str(src), str(tmp_path / "t"), str(tmp_path / "bad"), str(tmp_path / "c"), delay="3 days").awaitTermination()
+    import pyarrow.parquet as pq
+
+    files = list((tmp_path / "t").rglob("*.parquet"))
+    for f in files:
+        hours = [json.loads(x)["t"] for x in pq.ParquetFile(f).read(columns=["tstr"]).column("tstr").to_pylist()]
+        assert hours == sorted(hours)
+    assert sum(pq.ParquetFile(f).metadata.num_rows for f in files) == 40

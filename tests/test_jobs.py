@@ -30,6 +30,15 @@ def test_explode_keeps_positions(spark):
     assert json.loads(rows[0].carddata) == {"name": "a", "data": '{"x":1}', "json_index": "0"}
 
 
+def test_explode_with_repeated_keys(spark):
+    text = '[{"name": "a", "json_index": 9, "name": "b", "data": 1}, 7]'
+    frame = log(spark, text, "notjson", "[]", None)
+    rows = jsonlog.explode_log(frame).collect()
+    assert [(r.json_index, r.name, r.data, r.carddata) for r in rows] == [(0, "b", "1", '{"name":"b","data":"1","json_index":"0"}')]
+    left = jsonlog.rejected(frame).orderBy("id").collect()
+    assert [(r.id, r.json_index, r.rejected) for r in left] == [(0, 1, "7"), (1, None, "notjson"), (3, None, None)]
+
+
 def test_messages_from_carddata(spark):
     exploded = jsonlog.explode_log(log(spark, json.dumps([msg("SeatInfos", data=[{"nPlayerId": 7, "seat": 2}])])))
     again = jsonlog.seat_info(exploded.drop("json_index", "name", "data"))
@@ -242,3 +251,9 @@ def test_raise_bucket(spark):
              (2, 150, 100, 5), (2, 200, 100, 6), (2, 6, 9, 3), (2, 5, 9, 2)]
     df = spark.createDataFrame([c[:3] for c in cases], "act int, num int, pot int")
     assert [r.bucket for r in actions.raise_buckets(df).collect()] == [c[3] for c in cases]
+
+
+def test_gate_uses_unrounded_values(spark):
+    rows = [("m", "b0", 0.00004 * 3, 3, 0.0), ("n", "b0", 0.0, 3, 0.0)]
+    report = spark.createDataFrame(rows, "agent0 string, agent1 string, total_payoffs double, hands long, mbb_h double")
+    assert [r.agent0 for r in evaluate.baseline_gate(report, ["b0"], 0.03).collect()] == ["m"]

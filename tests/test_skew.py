@@ -79,12 +79,17 @@ def test_pairs_of_a_hot_key(spark):
     assert len(pairs(df, ["k"], "id", ["w"], block=1000)) == 1
 
 
-def test_hot_keys_raises_limit(spark):
-    df = spark.range(1000).select((F.col("id") % 100).alias("k"))
-    found, limit = hot_keys(df, ["k"], 1, cap=10)
-    assert found is None and limit == 10
-    found, limit = hot_keys(df, ["k"], 9)
-    assert found.count() == 100 and limit == 9
+def test_hot_keys_have_no_cap(spark):
+    df = spark.range(40_002).select((F.col("id") % 20_001).alias("k"))
+    assert hot_keys(df, ["k"], 1).count() == 20_001
+    assert hot_keys(df, ["k"], 2) is None
+
+
+def test_chunks_are_even_despite_an_outlier(spark):
+    df = spark.range(10_000).select(F.lit(1).alias("k"), F.when(F.col("id") == 0, F.lit(10**12)).otherwise(F.col("id")).alias("o"))
+    chunks, any_hot = scans.split_hot(df, ["k"], "o", 1000)
+    sizes = [r["count"] for r in chunks.groupBy("_c").count().collect()]
+    assert any_hot and len(sizes) >= 10 and max(sizes) <= 1100
 
 
 def test_percentiles(spark):
