@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablehouse.session import scratch, tune
 
 M64 = (1 << 64) - 1
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -186,7 +186,7 @@ def gather(start: np.ndarray, n: np.ndarray) -> np.ndarray:
 class Memo:
     """Ids of the words seen so far, by the word's hash; open addressing in numpy arrays."""
 
-    SLOTS, MOST = 1 << 22, 1_500_000
+    SLOTS, MOST = 1 << 21, 900_000
 
     def __init__(self):
         self.forget()
