@@ -1,16 +1,24 @@
 """The registered queries once more, as SQL for DuckDB over the same tables.
 
-These follow the nightly SQL jobs step by step and share no code with the Spark side but
-the texts of the derived input views.
+Each text is written from the definition of its result: facts per hand first, labels as small
+tables of bounds, long tables of figures turned into columns at the end.  The two sides share
+the texts of the derived input views, the list of preflop rates, and the parameters of the
+queries; all other fixed values are repeated here.
 """
 
 from __future__ import annotations
 
 from tablehouse.fixtures import FIRST_DT, LAST_DT, with_views
 from tablehouse.functions.preflop import PREFLOP_RATES
-from tablehouse.functions.rules import META_MESSAGES, RAISE_CLASSES, SEAT_ACTIONS
 from tablehouse.queries import BET_HANDS, DIRTY, GATE, catalogue_sql
 
+# fixed values: messages of one seat, messages that are no actions, raise classes
+SEAT_ACTIONS = ("S2CDelayOpTime", "S2CGiveUp", "S2CStatePlayerOp", "S2CBuyInsure", "S2CDealTwiceOp",
+                "S2CPushBet", "S2CShowHandCard", "S2CShowMyCard", "S2CStateBuyInsure", "S2CUpdateScore")
+META_MESSAGES = ("RoomInfos", "SeatInfos")
+RAISE_CLASSES = ("fold", "check_call", "raise_half_pot", "raise_3_4_pot", "raise_pot",
+                 "raise_3_2_pot", "raise_double_pot", "all_in")
+
 ORACLE: dict[str, str] = {}
 
 
@@ -59,73 +67,58 @@ from v join @v_user u on v.playerid = u.nplayerid and v.dt = u.dt"""
 
 
 def _action(back: str) -> str:
-    num = lambda c: f"try_cast(json_extract_string(data, '$.{c}') as int)"
-    later = "last_value" if back == "last" else "first_value"
-    part = "partition by dt, sztoken, nround, playerid order by json_index rows between"
-    fwd = lambda c: f"last_value({c} ignore nulls) over ({part} unbounded preceding and current row)"
-    both = lambda c, f=later: (
-        f"coalesce({fwd(c)}, {f}({c} ignore nulls) over ({part} current row and unbounded following))")
-    unbracket = lambda c: f"regexp_replace(json_extract_string(data, '$.{c}'), '[\\[\\]]', '', 'g')"
+    """One row per message and hearer.  A gap takes the value of the greatest earlier message,
+    else that of the hearer's least ('first') or greatest ('last') message with a value."""
+    number = lambda c, kind="int": f"try_cast(data ->> '$.{c}' as {kind})"
+    listed = lambda c: f"string_split(translate(data ->> '$.{c}', '[]', ''), ',')"
+    hearer = "partition by dt, sztoken, nround, playerid"
+    so_far = lambda c: f"arg_max({c}, json_index) over ({hearer} order by json_index rows unbounded preceding)"
+
+    def known(c: str, way: str = back) -> str:
+        pick = "arg_max" if way == "last" else "arg_min"
+        return f"coalesce({so_far(c)}, {pick}({c}, json_index) over ({hearer}))"
+
+    at_seat = lambda c: f"try_cast(trim({c}[cast(seat as int)]) as int)"
     return f"""with {DWD}, {SEAT},
-p as (select distinct dt, sztoken, nround, json_index, name as action,
-    {num('minBetScore')} as minbetscore, {num('maxBetScore')} as maxbetscore, {num('minAddScore')} as minaddscore,
-    {num('seatBetState')} as seatbetstate, {num('betScore')} as betscore, {num('seatCurBet')} as seatcurbet,
-    {num('poolScore')} as poolscore, try_cast(json_extract_string(data, '$.score') as double) as score, {num('state')} as state,
-    case when name = 'S2CStatePlayerOp' then json_extract_string(data, '$.curSeat')
-         when name = 'S2CStateBuyInsure' then json_extract_string(data, '$.seatInfos[0].seat')
-         else json_extract_string(data, '$.seat') end as eseat,
-    case when name = 'S2CStateDealCard' then {unbracket('commonCards')} end as board,
-    {unbracket('insureWinLos')} as wins, {unbracket('seatCurBets')} as bets,
-    {num('smallBlindSeat')} as sb, {num('bigBlindSeat')} as bb
-  from dwd where playerid <> 0 and name is not null),
-t1 as (
-  select s.createdate, s.playerid, s.seat, s.gametype, e.* exclude (board), cast(null as varchar) as board
-  from p e join seat s on e.dt = s.dt and e.sztoken = s.sztoken and e.nround = s.nround and e.eseat = s.seat
-  where e.action in ({names(SEAT_ACTIONS)})
-  union all by name
-  select s.createdate, s.playerid, s.seat, s.gametype, e.*
-  from p e join seat s on e.dt = s.dt and e.sztoken = s.sztoken and e.nround = s.nround
-  where e.action not in ({names(SEAT_ACTIONS + META_MESSAGES)})),
-t2 as (select dt, sztoken, nround, eseat as seat, action, sum(score) as paid from p
-  where action = 'S2CBuyInsure' and score <> 0 group by all),
-t3 as (select distinct dt, sztoken, nround, cast(k as varchar) as seat, action, v as value from (
-    select dt, sztoken, nround, action, unnest(range(1, len(string_split(wins, ',')) + 1)) as k,
-      try_cast(trim(unnest(string_split(wins, ','))) as int) as v from p where action = 'S2CStateConclude') x where v <> 0),
-c as (select distinct dt, sztoken, nround, cast(k as varchar) as seat, action, v as startbet,
-    case when k = sb then 1 else 0 end as is_small, case when k = bb then 1 else 0 end as is_big from (
-    select dt, sztoken, nround, action, sb, bb, unnest(range(1, len(string_split(bets, ',')) + 1)) as k,
-      try_cast(trim(unnest(string_split(bets, ','))) as int) as v from p where action = 'S2CStateGameStart') x),
-j as (select t1.*, t2.paid, t3.value from t1
-  left join t2 using (dt, sztoken, nround, seat, action) left join t3 using (dt, sztoken, nround, seat, action)),
-f as (select *, {both('minbetscore')} as f_min, {both('maxbetscore')} as f_max, {both('minaddscore')} as f_add,
-    {fwd('poolscore')} as f_pool, {fwd('board')} as commoncard, {both('value')} as f_value,
-    {both('paid', 'last_value')} as f_paid from j),
-n as (select f.*, c.startbet, c.is_small, c.is_big,
-    row_number() over (partition by f.dt, f.sztoken, f.nround order by json_index,
-      case when c.is_small = 1 then 0 when c.is_big = 1 then 1 else cast(playerid as int) end, cast(f.seat as int)) as rn,
-    sum(case when f.action = 'S2CStateGameStart' and (c.is_small = 1 or c.is_big = 1) then c.startbet else 0 end)
-      over (partition by f.dt, f.sztoken, f.nround) as blinds,
-    count(distinct commoncard) over (partition by f.dt, f.sztoken, f.nround, f.playerid, f.seat order by json_index) as predealct
-  from f left join c on f.dt = c.dt and f.sztoken = c.sztoken and f.nround = c.nround and f.seat = c.seat and f.action = c.action),
-g as (select distinct dt, sztoken, nround, cast(nplayerid as string) as playerid, gameresult from @v_score)
-select createdate, sztoken, nround, playerid, seat, cast(rn as int) as json_index, f_min as minbetscore, f_max as maxbetscore,
-  f_add as minaddscore, action, seatbetstate,
-  case when action = 'S2CStateGameStart' then startbet else betscore end as betscore,
-  case when action = 'S2CStateGameStart' then startbet else seatcurbet end as seatcurbet,
-  cast(case when action = 'S2CStateGameStart' and is_small = 1 then startbet
-       when action = 'S2CStateGameStart' and is_big = 1 then blinds
-       when rn = 1 then case when action = 'S2CStateGameStart' then startbet else betscore end
-       else f_pool end as bigint) as poolscore,
-  cast(predealct as int) as predealct, commoncard,
-  case len(string_split(commoncard, ',')) when 3 then 'flop' when 4 then 'turn' when 5 then 'river' else 'preflop' end as stage,
-  gameresult, case when paid > 0 then 1 when action = 'S2CStateBuyInsure' then 1 else 0 end as isjumpinsure,
-  case when paid > 0 then 1 else 0 end as isinsure, paid as score, f_value + f_paid as insurewinscores,
-  case when action = 'S2CBuyInsure' then case state when 1 then 'ins_none' when 2 then 'ins_buy' when 3 then 'ins_giveup'
-      when 4 then 'ins_buying' when 5 then 'ins_bupai_invalid' when 6 then 'ins_auto_buy' end
-    when action = 'S2CStateGameStart' then 'init' when action = 'S2CGiveUp' then 'Fold'
-    else case seatbetstate when 1 then 'none' when 2 then 'check' when 3 then 'call' when 4 then 'raise'
-      when 5 then 'allin' when 6 then 'fold' end end as betaction, gametype, dt
-from n left join g using (dt, sztoken, nround, playerid)"""
+said as (select distinct dt, sztoken, nround, json_index, name as action, name in ({names(SEAT_ACTIONS)}) as personal,
+    case name when 'S2CStatePlayerOp' then data ->> '$.curSeat' when 'S2CStateBuyInsure' then data ->> '$.seatInfos[0].seat'
+      else data ->> '$.seat' end as speaker,
+    {number('minBetScore')} as least, {number('maxBetScore')} as most, {number('minAddScore')} as step,
+    {number('seatBetState')} as seatbetstate, {number('betScore')} as own_bet, {number('seatCurBet')} as own_total,
+    {number('poolScore')} as pot, {number('score', 'double')} as amount, {number('state')} as state,
+    case when name = 'S2CStateDealCard' then translate(data ->> '$.commonCards', '[]', '') end as board,
+    case when name = 'S2CStateConclude' then {listed('insureWinLos')} end as outcomes,
+    case when name = 'S2CStateGameStart' then {listed('seatCurBets')} end as stakes,
+    {number('smallBlindSeat')} as small_seat, {number('bigBlindSeat')} as big_seat
+  from dwd where playerid <> 0 and name not in ({names(META_MESSAGES)})),
+heard as (select m.* exclude (board), s.createdate, s.gametype, s.playerid, s.seat, case when not personal then board end as board,
+    {at_seat('stakes')} as stake, nullif({at_seat('outcomes')}, 0) as outcome,
+    case when {at_seat('stakes')} is null then 9 when small_seat = cast(seat as int) then 0 when big_seat = cast(seat as int) then 1 else 9 end as blind
+  from said m join seat s using (dt, sztoken, nround) where not personal or speaker = seat),
+paid as (select *, case when action = 'S2CBuyInsure' then
+    sum(amount) filter (where action = 'S2CBuyInsure' and amount <> 0) over ({hearer}, seat) end as premium from heard),
+whole as (select *, {known('least')} as k_least, {known('most')} as k_most, {known('step')} as k_step, {known('outcome')} as k_outcome,
+    {known('premium', 'last')} as k_premium, {so_far('pot')} as k_pot, {so_far('board')} as commoncard,
+    row_number() over (partition by dt, sztoken, nround order by json_index,
+      case when blind = 9 then cast(playerid as int) else blind end, cast(seat as int)) as place,
+    coalesce(sum(stake) filter (where blind < 9) over (partition by dt, sztoken, nround), 0) as blinds from paid),
+told as (select *, len(list_distinct(list(commoncard) over ({hearer}, seat order by json_index))) as boards,
+    len(string_split(commoncard, ',')) as open_cards, action = 'S2CStateGameStart' as opening from whole),
+cash as (select distinct dt, sztoken, nround, cast(nplayerid as string) as playerid, gameresult from @v_score),
+insure_state(state, insure_label) as (values (1, 'ins_none'), (2, 'ins_buy'), (3, 'ins_giveup'), (4, 'ins_buying'),
+  (5, 'ins_bupai_invalid'), (6, 'ins_auto_buy')),
+bet_state(seatbetstate, bet_label) as (values (1, 'none'), (2, 'check'), (3, 'call'), (4, 'raise'), (5, 'allin'), (6, 'fold')),
+street(open_cards, stage) as (values (3, 'flop'), (4, 'turn'), (5, 'river'))
+select createdate, sztoken, nround, playerid, seat, cast(place as int) as json_index, k_least as minbetscore, k_most as maxbetscore,
+  k_step as minaddscore, action, seatbetstate, if(opening, stake, own_bet) as betscore, if(opening, stake, own_total) as seatcurbet,
+  cast(case when blind = 0 then stake when blind = 1 then blinds when place > 1 then k_pot else if(opening, stake, own_bet) end as bigint) as poolscore,
+  cast(boards as int) as predealct, commoncard, coalesce(stage, 'preflop') as stage, gameresult,
+  cast(coalesce(premium > 0, false) or action = 'S2CStateBuyInsure' as int) as isjumpinsure,
+  cast(coalesce(premium > 0, false) as int) as isinsure, premium as score, k_outcome + k_premium as insurewinscores,
+  case when opening then 'init' when action = 'S2CGiveUp' then 'Fold' when action = 'S2CBuyInsure' then insure_label else bet_label end as betaction,
+  gametype, dt
+from told left join cash using (dt, sztoken, nround, playerid) left join insure_state using (state)
+left join bet_state using (seatbetstate) left join street using (open_cards)"""
 
 
 ORACLE["player_action"] = _action("last")
@@ -201,50 +194,45 @@ select create_dt, coalesce(brobot, 0) as brobot, robotversion, ngametype, {COUNT
   cast(coalesce(sum(gameresult), 0) as bigint) as total_score, dt
 from scored group by create_dt, coalesce(brobot, 0), robotversion, ngametype, dt"""
 
-PNL = """round(sum(pnl), 2) as total_score, round(sum(case when pnl >= 0 then pnl end), 2) as win_score,
-  round(sum(case when pnl < 0 then pnl end), 2) as lose_score, count(distinct sztoken) as total_sztoken"""
-
-ORACLE["win_lose_u"] = f"""with a as (
-  select distinct sztoken, szroomname, createtime, dt, cast(json_extract_string(szrulejson, '$.joinFeeUcoin') as bigint) / 1000000 as fee
-  from @v_info where ngametype = 400 and substr(createtime, 1, 10) = dt),
-sng as (select m.nplayerid, 400 as ngametype, cast(u.brobot as int) as brobot, a.sztoken, a.dt,
-    case when m.reward > 0 then m.reward / 1000000 - fee else -fee end as pnl
-  from a join @v_match m on a.sztoken = m.sztoken and a.dt = m.dt join @v_user u on m.nplayerid = u.nplayerid and a.dt = u.dt),
-ratio as (select distinct sztoken, ucoinratio, dt from @v_info where ngametype in (79, 74)),
-cash as (select s.sztoken, s.nplayerid, s.ngametype, s.dt, round(sum(nscore / 1000 / coalesce(ucoinratio, 1)), 4) as pnl
-  from @v_score s left join ratio r on s.sztoken = r.sztoken and s.dt = r.dt
-  where s.ngametype in (79, 74) and substr(createtime, 1, 10) = s.dt group by all),
-cashu as (select c.nplayerid, ngametype, cast(u.brobot as int) as brobot, sztoken, c.dt, pnl
-  from cash c join @v_user u on c.nplayerid = u.nplayerid and c.dt = u.dt),
-gold as (select nplayerid, ngametype, cast(brobot as int) as brobot, sztoken, dt, gameresult / 1000 as pnl
-  from @v_gold where substr(createtime, 1, 10) = dt),
-every as (select * from sng union all by name select * from cashu union all by name select * from gold)
-select nplayerid, ngametype, brobot, {PNL}, 0 as win_robot_score, 0 as win_human_score, 0 as lose_to_human_score,
+ORACLE["win_lose_u"] = """with desk as (select dt, sztoken, ngametype = 400 as tournament, max(ucoinratio) as unit,
+    max(cast(szrulejson ->> '$.joinFeeUcoin' as bigint)) filter (where substr(createtime, 1, 10) = dt) / 1000000 as fee
+  from @v_info where ngametype in (400, 79, 74) group by all),
+outcome as (
+  select m.dt, m.sztoken, m.nplayerid, 400 as ngametype, cast(null as int) as robot, greatest(m.reward, 0) / 1000000 - fee as gain
+  from @v_match m join desk d on d.dt = m.dt and d.sztoken = m.sztoken and tournament where fee is not null
+  union all
+  select s.dt, s.sztoken, s.nplayerid, s.ngametype, null, round(sum(s.nscore / 1000 / coalesce(unit, 1)), 4)
+  from @v_score s left join desk d on d.dt = s.dt and d.sztoken = s.sztoken and not tournament
+  where s.ngametype in (79, 74) and starts_with(s.createtime, s.dt) group by 1, 2, 3, 4
+  union all
+  select dt, sztoken, nplayerid, ngametype, cast(brobot as int), gameresult / 1000 from @v_gold where starts_with(createtime, dt)),
+owned as (select o.* exclude (robot), coalesce(robot, cast(u.brobot as int)) as brobot
+  from outcome o left join @v_user u on u.dt = o.dt and u.nplayerid = o.nplayerid)
+select nplayerid, ngametype, brobot, round(sum(gain), 2) as total_score, round(sum(gain) filter (where gain >= 0), 2) as win_score,
+  round(sum(gain) filter (where gain < 0), 2) as lose_score, count(distinct sztoken) as total_sztoken,
+  0 as win_robot_score, 0 as win_human_score, 0 as lose_to_human_score,
   0 as lose_to_robot_score, 0 as total_robot_sztoken, 0 as total_human_sztoken, dt
-from every group by nplayerid, ngametype, brobot, dt"""
+from owned where brobot is not null group by nplayerid, ngametype, brobot, dt"""
 
 # ---- risk and tags -------------------------------------------------------------------
 
 ZEROS = ", ".join(f"0 as player{i}_{c}" for i in (1, 2)
                   for c in ("aggressive", "agr_pct", "call", "call_pct", "fold", "fold_pct"))
-PAIRS = f"""pt as (select dt, nplayerid, count(distinct concat(sztoken, '-', nround)) as games from @v_result group by all),
-gp as (select a.dt, a.sztoken, a.nround, a.nplayerid as p1, b.nplayerid as p2, a.gameresult as r1, b.gameresult as r2
-  from @v_result a join @v_result b on a.dt = b.dt and a.sztoken = b.sztoken and a.nround = b.nround and a.nplayerid < b.nplayerid),
-ps as (select dt, p1, p2, count(distinct concat(sztoken, '-', nround)) as total_games, count(distinct sztoken) as total_desk,
-    cast(sum(case when r1 > 0 or r2 > 0 then 1 else 0 end) as bigint) as win_games, cast(sum(r1 + r2) as bigint) as total_gameresult
-  from gp group by all),
-ips as (select distinct dt, nplayerid, preloginip from @v_user
-  where substr(prelogintime, 1, 10) >= cast(cast(dt as date) - 30 as string) and substr(prelogintime, 1, 10) <= dt
-    and preloginip is not null and preloginip <> ''),
-si as (select ps.dt, p1, p2, count(*) as n, string_agg(a.preloginip, ',' order by a.preloginip) as ip from ps
-  join ips a on ps.dt = a.dt and ps.p1 = a.nplayerid join ips b on ps.dt = b.dt and ps.p2 = b.nplayerid and a.preloginip = b.preloginip
-  group by all),
-pairs as (select ps.p1 as player1_id, ps.p2 as player2_id, total_games, total_desk, win_games,
-    round(cast(win_games as double) / total_games, 4) as win_rate, total_gameresult, total_games as same_cnt,
-    round(cast(total_games as double) / a.games, 9) as player1_same_rate, round(cast(total_games as double) / b.games, 9) as player2_same_rate,
-    {ZEROS}, si.n as shared_ip_cnts, si.ip as shared_ip, ps.dt
-  from ps join pt a on ps.dt = a.dt and ps.p1 = a.nplayerid join pt b on ps.dt = b.dt and ps.p2 = b.nplayerid
-  left join si on ps.dt = si.dt and ps.p1 = si.p1 and ps.p2 = si.p2)"""
+PAIRS = f"""table_of as (select dt, sztoken, nround, list({{'id': nplayerid, 'won': gameresult}}) as seated from @v_result group by all),
+first_of as (select *, unnest(seated) as a from table_of),
+meeting as (select dt, sztoken, a, unnest(list_filter(seated, lambda x: x.id > a.id)) as b from first_of),
+duo as (select dt, a.id as player1_id, b.id as player2_id, count(*) as total_games, count(distinct sztoken) as total_desk,
+    count(*) filter (where greatest(a.won, b.won) > 0) as win_games, cast(sum(a.won + b.won) as bigint) as total_gameresult
+  from meeting group by all),
+address as (select dt, nplayerid, list(distinct preloginip) as ips from @v_user
+  where preloginip <> '' and datediff('day', try_cast(substr(prelogintime, 1, 10) as date), cast(dt as date)) between 0 and 30 group by all),
+visitor as (select t.dt, t.who.id as id, count(*) as hands, any_value(ips) as ips
+  from (select dt, unnest(seated) as who from table_of) t left join address h on h.dt = t.dt and h.nplayerid = t.who.id group by all),
+both_of as (select d.*, x.hands as hands1, y.hands as hands2, list_sort(list_intersect(x.ips, y.ips)) as common
+  from duo d join visitor x on x.dt = d.dt and x.id = player1_id join visitor y on y.dt = d.dt and y.id = player2_id),
+pairs as (select player1_id, player2_id, total_games, total_desk, win_games, round(win_games / total_games, 4) as win_rate, total_gameresult,
+    total_games as same_cnt, round(total_games / hands1, 9) as player1_same_rate, round(total_games / hands2, 9) as player2_same_rate,
+    {ZEROS}, nullif(len(common), 0) as shared_ip_cnts, nullif(array_to_string(common, ','), '') as shared_ip, dt from both_of)"""
 
 
 def suspects(same: int, win: float, share: float, desks: int) -> str:
@@ -267,100 +255,98 @@ select sztoken, nround, dt, count(*) as players, max(case when hi = 1 then nplay
   max(case when lo = 1 then nplayerid end) as low_id, min(s) as low_score, max(s) = min(s) as all_equal
 from k group by sztoken, nround, dt having count(*) >= 2"""
 
-D = "cast({} as double)"
 STYLE = f"""{RUN},
-base as (select distinct run_dt, sztoken, nround, playerid, json_index, action, stage, betaction from @v_action t join run on {window(7)}
-  where betaction is not null and betaction <> 'init'),
-pra as (select *, row_number() over (partition by run_dt, sztoken, nround order by json_index) as ro from base
-  where stage = 'preflop' and betaction in ('raise', 'allin')),
-tb as (select run_dt, sztoken, nround, playerid, max(case when ro > 1 then 1 else 0 end) as is_3bet from pra group by all),
-cb as (select distinct run_dt, sztoken, nround, playerid from pra
-  intersect select distinct run_dt, sztoken, nround, playerid from base where stage = 'flop' and betaction in ('raise', 'allin')),
-ha as (select p.run_dt, p.sztoken, p.nround, p.playerid,
-    max(case when stage = 'preflop' and betaction in ('call', 'raise', 'allin') then 1 else 0 end) as is_vpip,
-    max(case when stage = 'preflop' and betaction in ('raise', 'allin') then 1 else 0 end) as is_pfr,
-    max(coalesce(tb.is_3bet, 0)) as is_3bet, max(case when cb.playerid is not null then 1 else 0 end) as is_cbet,
-    sum(case when stage in ('flop', 'turn', 'river') and betaction in ('raise', 'allin') then 1 else 0 end) as agg,
-    sum(case when stage in ('flop', 'turn', 'river') and betaction in ('call', 'check') then 1 else 0 end) as pas,
-    sum(case when betaction = 'Fold' then 1 else 0 end) as folds, sum(case when betaction = 'allin' then 1 else 0 end) as allins,
-    count(*) as acts
-  from base p left join tb using (run_dt, sztoken, nround, playerid) left join cb using (run_dt, sztoken, nround, playerid)
-  group by all),
-st as (select run_dt, playerid, count(*) as hands, {D.format('sum(is_vpip)')} as vpip, {D.format('sum(is_pfr)')} as pfr,
-    {D.format('sum(is_3bet)')} as tb, {D.format('sum(is_cbet)')} as cbet, {D.format('sum(agg)')} as agg, {D.format('sum(pas)')} as pas,
-    {D.format('sum(folds)')} as folds, {D.format('sum(allins)')} as allins, {D.format('sum(acts)')} as acts from ha group by all),
-style as (select playerid, hands as total_hands, round(vpip / hands, 4) as vpip, round(pfr / hands, 4) as pfr,
-    round(tb / nullif(vpip, 0), 4) as three_bet_pct, round(coalesce(cbet / nullif(pfr, 0), 0), 4) as cbet_pct,
-    case when pas > 0 then round(agg / pas, 4) end as af, round(allins / nullif(acts, 1), 4) as allin_frequency,
-    round(folds / nullif(acts, 1), 4) as fold_rate,
-    case when hands < 10 then 'Insufficient Data'
-      when vpip / hands > 0.35 and pas > 0 and agg / pas > 3.0 then 'Maniac (超激进)'
-      when vpip / hands <= 0.20 and pfr / nullif(vpip, 0) >= 0.60 and tb / nullif(vpip, 0) >= 0.25 then 'Strong TAG (高3-bet紧凶)'
-      when vpip / hands > 0.25 and pfr / nullif(vpip, 0) < 0.30 and pas > 0 and agg / pas < 1.0 then 'Calling Station (跟注站)'
-      when folds / nullif(acts, 1) > 0.60 then 'Nit (过度弃牌)'
-      when vpip / hands <= 0.20 and pfr / nullif(vpip, 0) >= 0.60 then 'Tight-Aggressive (TAG)'
-      when vpip / hands > 0.20 and pfr / nullif(vpip, 0) >= 0.50 then 'Loose-Aggressive (LAG)'
-      when vpip / hands <= 0.20 and pfr / nullif(vpip, 0) < 0.60 then 'Tight-Passive (TP)'
-      when vpip / hands > 0.20 and pfr / nullif(vpip, 0) < 0.50 then 'Loose-Passive (LP)' else 'Unclassified' end as playing_style,
-    case when hands >= 100 and acts >= 200 then 'high' when hands >= 50 and acts >= 100 then 'medium'
-      when hands >= 10 and acts >= 20 then 'low' else 'insufficient' end as data_quality, run_dt as dt from st)"""
+style_bound(ord, style_label, v_over, v_to, p_from, p_under, t_from, a_over, a_under, f_over) as (values
+  (1, 'Maniac (超激进)', 0.35, null, null, null, null, 3.0, null, null),
+  (2, 'Strong TAG (高3-bet紧凶)', null, 0.20, 0.60, null, 0.25, null, null, null),
+  (3, 'Calling Station (跟注站)', 0.25, null, null, 0.30, null, null, 1.0, null),
+  (4, 'Nit (过度弃牌)', null, null, null, null, null, null, null, 0.60),
+  (5, 'Tight-Aggressive (TAG)', null, 0.20, 0.60, null, null, null, null, null),
+  (6, 'Loose-Aggressive (LAG)', 0.20, null, 0.50, null, null, null, null, null),
+  (7, 'Tight-Passive (TP)', null, 0.20, null, 0.60, null, null, null, null),
+  (8, 'Loose-Passive (LP)', 0.20, null, null, 0.50, null, null, null, null)),
+quality_bound(rank, quality_label, hands_from, deeds_from) as (values (1, 'high', 100, 200), (2, 'medium', 50, 100), (3, 'low', 10, 20)),
+deed as (select distinct dt, sztoken, nround, playerid, json_index, action, stage, betaction, betaction in ('raise', 'allin') as pushes
+  from @v_action where betaction <> 'init'),
+opened as (select dt, sztoken, nround, min(json_index) as first_push from deed where pushes and stage = 'preflop' group by all),
+hand_fact as (select dt, sztoken, nround, playerid, bool_or(stage = 'preflop' and (pushes or betaction = 'call')) as entered,
+    bool_or(stage = 'preflop' and pushes) as raised, bool_or(stage = 'preflop' and pushes and json_index > first_push) as raised_again,
+    bool_or(stage = 'flop' and pushes) as pushed_flop,
+    count(*) filter (where stage in ('flop', 'turn', 'river') and pushes) as late_pushes,
+    count(*) filter (where stage in ('flop', 'turn', 'river') and betaction in ('call', 'check')) as late_calls,
+    count(*) filter (where betaction = 'Fold') as gave_up, count(*) filter (where betaction = 'allin') as all_in, count(*) as deeds
+  from deed left join opened using (dt, sztoken, nround) group by all),
+habit as (select run_dt, playerid, count(*) as hands, count(*) filter (where entered) as n_in, count(*) filter (where raised) as n_up,
+    count(*) filter (where raised_again) as n_again, count(*) filter (where raised and pushed_flop) as n_on, sum(late_pushes) as n_push,
+    sum(late_calls) as n_call, sum(gave_up) as n_fold, sum(all_in) as n_all, sum(deeds) as deeds
+  from hand_fact t join run on {window(7)} group by all),
+share as (select *, n_in / hands as v, n_up / hands as up, n_up / nullif(n_in, 0) as p, n_again / nullif(n_in, 0) as t, n_on / nullif(n_up, 0) as c,
+    n_push / nullif(n_call, 0) as a, n_fold / nullif(deeds, 1) as f, n_all / nullif(deeds, 1) as al from habit),
+named as (select run_dt, playerid, arg_min(style_label, ord) as label from share join style_bound
+    on coalesce(v > v_over, v_over is null) and coalesce(v <= v_to, v_to is null) and coalesce(p >= p_from, p_from is null)
+    and coalesce(p < p_under, p_under is null) and coalesce(t >= t_from, t_from is null) and coalesce(a > a_over, a_over is null)
+    and coalesce(a < a_under, a_under is null) and coalesce(f > f_over, f_over is null) group by all),
+graded as (select run_dt, playerid, arg_min(quality_label, rank) as grade from habit join quality_bound
+    on hands >= hands_from and deeds >= deeds_from group by all),
+style as (select playerid, hands as total_hands, round(v, 4) as vpip, round(up, 4) as pfr, round(t, 4) as three_bet_pct,
+    round(coalesce(c, 0), 4) as cbet_pct, round(a, 4) as af, round(al, 4) as allin_frequency, round(f, 4) as fold_rate,
+    if(hands < 10, 'Insufficient Data', coalesce(label, 'Unclassified')) as playing_style,
+    coalesce(grade, 'insufficient') as data_quality, run_dt as dt
+  from share left join named using (run_dt, playerid) left join graded using (run_dt, playerid))"""
 
 ORACLE["player_style"] = f"with {STYLE} select * from style"
 
 
 def _versus(by_hand: bool) -> str:
-    hand = ", h.sztoken, h.nround" if by_hand else ""
-    return f"""hb as (select run_dt, h.nplayerid, h.gameresult, h.ngametype, h.create_dt{hand}
-  from @v_result h join run on {window(30, 'h')} join @v_result r on h.sztoken = r.sztoken and h.nround = r.nround and h.dt = r.dt
-  where h.brobot = 0 and h.nplayerid is not null group by all having max(case when r.brobot = 1 then 1 else 0 end) = 1),
-vs as (select run_dt, nplayerid, count(*) as n, cast(sum(case when gameresult > 0 then 1 else 0 end) as double) / count(*) as wr,
-    cast(sum(gameresult) as double) / count(*) as pr, cast(sum(case when ngametype = 450 then 1 else 0 end) as double) / count(*) as hs
-  from hb group by all having count(*) >= 10),
-al as (select run_dt, t.nplayerid, count(distinct concat(t.dt, sztoken, '-', nround)) as n from @v_result t join run on {window(30)}
-  where brobot = 0 and nplayerid is not null group by all),
-bot as (select vs.run_dt as dt, vs.nplayerid, vs.n as total_hands_vs_bot, round(wr, 4) as win_rate_vs_bot, round(pr, 2) as avg_profit_vs_bot,
-    round(hs, 4) as high_stakes_ratio, round(cast(vs.n as double) / al.n, 4) as bot_hands_ratio,
-    case when wr > 0.60 and pr > 0 then 'Exploiter (剥削者)' when wr < 0.40 and pr < 0 then 'Struggling (挣扎者)'
-      when wr between 0.40 and 0.60 then 'Balanced (平衡型)' when cast(vs.n as double) / al.n > 0.8 then 'Bot Hunter (猎人)'
-      else 'Unclassified' end as player_profile_label
-  from vs left join al on vs.run_dt = al.run_dt and vs.nplayerid = al.nplayerid)"""
+    hand = ", sztoken, nround" if by_hand else ""
+    return f"""robot_hand as (select dt, sztoken, nround from @v_result group by all having max(brobot) = 1),
+own_hand as (select * from @v_result where brobot = 0 and nplayerid is not null),
+duel as (select distinct dt, nplayerid, gameresult, ngametype{hand} from own_hand semi join robot_hand using (dt, sztoken, nround)),
+played as (select run_dt, nplayerid, count(*) as hands from own_hand t join run on {window(30)} group by all),
+fought as (select run_dt, nplayerid, count(*) as duels, avg(cast(gameresult > 0 as int)) as won, avg(gameresult) as profit,
+    avg(cast(ngametype = 450 as int)) as gold from duel t join run on {window(30)} group by all having count(*) >= 10),
+bot_bound(ord, bot_label, won_over, won_under, won_from, won_to, sign, share_over) as (values
+  (1, 'Exploiter (剥削者)', 0.60, null, null, null, 1, null), (2, 'Struggling (挣扎者)', null, 0.40, null, null, -1, null),
+  (3, 'Balanced (平衡型)', null, null, 0.40, 0.60, null, null), (4, 'Bot Hunter (猎人)', null, null, null, null, null, 0.8)),
+bot_named as (select run_dt, nplayerid, arg_min(bot_label, ord) as label from fought join played using (run_dt, nplayerid) join bot_bound
+    on coalesce(won > won_over, won_over is null) and coalesce(won < won_under, won_under is null)
+    and coalesce(won >= won_from, won_from is null) and coalesce(won <= won_to, won_to is null)
+    and (sign is null or sign(profit) = sign) and coalesce(duels / hands > share_over, share_over is null) group by all),
+bot as (select run_dt as dt, nplayerid, duels as total_hands_vs_bot, round(won, 4) as win_rate_vs_bot, round(profit, 2) as avg_profit_vs_bot,
+    round(gold, 4) as high_stakes_ratio, round(duels / hands, 4) as bot_hands_ratio, coalesce(label, 'Unclassified') as player_profile_label
+  from fought join played using (run_dt, nplayerid) left join bot_named using (run_dt, nplayerid))"""
 
 
 ORACLE["versus_robot"] = f"with {RUN}, {_versus(False)} select * from bot"
 ORACLE["versus_robot_by_hand"] = f"with {RUN}, {_versus(True)} select * from bot"
 
 PROFILE = f"""{STYLE}, {_versus(False)}, {PAIRS},
-nm as (select * from (select *, row_number() over (partition by dt, nplayerid order by nclubid, sznickname) as rn from @v_member) x where rn = 1),
-gc as (select run_dt, t.nplayerid, ngametype, count(distinct concat(t.dt, sztoken, '-', nround)) as c from @v_result t join run on {window(30)}
-  group by all),
-pg as (select * from (select *, row_number() over (partition by run_dt, nplayerid order by c desc, ngametype) as rn from gc) x where rn = 1),
-ad as (select run_dt, nplayerid, count(distinct substr(createtime, 1, 10)) as n from @v_result t join run on {window(30)} group by all),
-du as (select run_dt, nplayerid, round(avg(epoch(cast(endtime as timestamp)) - epoch(cast(starttime as timestamp))) / 60.0, 2) as m
-  from @v_result t join run on {window(30)} where cast(endtime as timestamp) > cast(starttime as timestamp) group by all),
-hr as (select run_dt, nplayerid, cast(substr(starttime, 12, 2) as int) as h, count(*) as n from @v_result t join run on {window(30)} group by all),
-ph as (select * from (select *, row_number() over (partition by run_dt, nplayerid order by n desc, h) as rn from hr) x where rn = 1),
-act as (select coalesce(ad.run_dt, du.run_dt, ph.run_dt) as run_dt, coalesce(ad.nplayerid, du.nplayerid, ph.nplayerid) as nplayerid,
-    coalesce(ad.n, 0) as n, du.m, ph.h,
-    case when ad.n >= 5 then 'high' when ad.n >= 3 then 'medium' when ad.n >= 1 then 'low' else 'silent' end as lvl
-  from ad full join du on ad.run_dt = du.run_dt and ad.nplayerid = du.nplayerid
-  full join ph on coalesce(ad.run_dt, du.run_dt) = ph.run_dt and coalesce(ad.nplayerid, du.nplayerid) = ph.nplayerid),
-profile as (select b.nplayerid, b.szcreatetime as regtime, cast(b.brobot as int) as brobot, b.preloginip, b.prelogintime,
-    coalesce(nm.sznickname, 'unknown') as sznickname, coalesce(nm.nclubid, -1) as nclubid,
-    s.vpip, s.pfr, s.three_bet_pct, s.cbet_pct, s.af, coalesce(s.allin_frequency, 0.0) as allin_frequency,
-    coalesce(s.fold_rate, 0.0) as fold_rate, coalesce(s.playing_style, 'Insufficient Data') as playing_style,
-    coalesce(s.data_quality, 'insufficient') as data_quality, coalesce(pg.ngametype, -1) as preferred_gametype,
-    coalesce(pg.c, 0) as preferred_game_rounds, coalesce(act.n, 0) as active_days, coalesce(act.m, 0.0) as avg_round_duration_mins,
-    coalesce(act.h, -1) as peak_active_hour, coalesce(act.lvl, 'silent') as activity_level,
-    case when c.playerid is not null then 'collusion_suspected' else 'normal' end as collusion_status,
+stay as (select run_dt, t.nplayerid as id, t.ngametype, t.dt, sztoken, nround, substr(createtime, 1, 10) as day,
+    cast(substr(starttime, 12, 2) as int) as hour, epoch(cast(endtime as timestamp)) - epoch(cast(starttime as timestamp)) as lasted
+  from @v_result t join run on {window(30)}),
+life as (select run_dt, id, count(distinct day) as days, round(avg(lasted) filter (where lasted > 0) / 60.0, 2) as mins from stay group by all),
+taste as (select run_dt, id, min({{'n': -hands, 'game': ngametype}}) as best from
+    (select run_dt, id, ngametype, count(distinct (dt, sztoken, nround)) as hands from stay group by all) x group by all),
+clock as (select run_dt, id, min({{'n': -rows, 'hour': hour}}) as best from
+    (select run_dt, id, hour, count(*) as rows from stay group by all) x group by all),
+club as (select dt, nplayerid as id, min({{'club': nclubid, 'nick': sznickname}}) as best from @v_member group by all),
+flagged as (select dt, playerid as id, true as suspected from {suspects(20, 0.7, 0.75, 3)} s),
+activity_bound(level, days_from, days_to) as (values ('low', 1, 2), ('medium', 3, 4), ('high', 5, 99)),
+person as (select dt, nplayerid as id, szcreatetime as regtime, cast(brobot as int) as brobot, preloginip, prelogintime from @v_user),
+profile as (select u.id as nplayerid, regtime, u.brobot, preloginip, prelogintime,
+    coalesce(club.best.nick, 'unknown') as sznickname, coalesce(club.best.club, -1) as nclubid, vpip, pfr, three_bet_pct, cbet_pct, af,
+    coalesce(allin_frequency, 0.0) as allin_frequency, coalesce(fold_rate, 0.0) as fold_rate,
+    coalesce(playing_style, 'Insufficient Data') as playing_style, coalesce(data_quality, 'insufficient') as data_quality,
+    coalesce(taste.best.game, -1) as preferred_gametype, coalesce(-taste.best.n, 0) as preferred_game_rounds,
+    coalesce(days, 0) as active_days, coalesce(mins, 0.0) as avg_round_duration_mins, coalesce(clock.best.hour, -1) as peak_active_hour,
+    coalesce(level, 'silent') as activity_level, if(suspected, 'collusion_suspected', 'normal') as collusion_status,
     coalesce(total_hands_vs_bot, 0) as total_hands_vs_bot, coalesce(win_rate_vs_bot, 0.0) as win_rate_vs_bot,
     coalesce(avg_profit_vs_bot, 0.0) as avg_profit_vs_bot, coalesce(high_stakes_ratio, 0.0) as high_stakes_ratio,
-    coalesce(bot_hands_ratio, 0.0) as bot_hands_ratio, coalesce(player_profile_label, 'No Bot Games') as player_profile_label, b.dt
-  from @v_user b left join nm on b.dt = nm.dt and b.nplayerid = nm.nplayerid
-  left join style s on b.dt = s.dt and b.nplayerid = s.playerid
-  left join pg on b.dt = pg.run_dt and b.nplayerid = pg.nplayerid
-  left join act on b.dt = act.run_dt and b.nplayerid = act.nplayerid
-  left join {suspects(20, 0.7, 0.75, 3)} c on b.dt = c.dt and b.nplayerid = c.playerid
-  left join bot on b.dt = bot.dt and b.nplayerid = bot.nplayerid)"""
+    coalesce(bot_hands_ratio, 0.0) as bot_hands_ratio, coalesce(player_profile_label, 'No Bot Games') as player_profile_label, u.dt
+  from person u left join club using (dt, id) left join flagged using (dt, id)
+  left join life on life.run_dt = u.dt and life.id = u.id left join taste on taste.run_dt = u.dt and taste.id = u.id
+  left join clock on clock.run_dt = u.dt and clock.id = u.id left join activity_bound on days between days_from and days_to
+  left join style on style.dt = u.dt and style.playerid = u.id left join bot on bot.dt = u.dt and bot.nplayerid = u.id)"""
 ORACLE["player_profile"] = f"with {PROFILE} select * from profile"
 ORACLE["profile_mart"] = f"with {PROFILE} select * from profile where active_days > 0"
 
@@ -371,39 +357,39 @@ NEW = """(select t.dt, t.nplayerid from (select distinct dt, nplayerid from @v_u
   on t.nplayerid = y.nplayerid and y.dt = cast(cast(t.dt as date) - 1 as string) where y.nplayerid is null)"""
 ORACLE["new_users"] = f"select dt, nplayerid from {NEW} n"
 
+# name of a daily figure: whether a day without it shows 0 is said in the last step
 ORACLE["daily_overview"] = f"""with {RUN}, {PAIRS},
-vt as (select distinct dt, sztoken, nround from @v_result where brobot = 0),
-rp as (select t.dt, t.sztoken, t.nround, sum(gameresult) as profit from @v_result t
-  join vt on t.dt = vt.dt and t.sztoken = vt.sztoken and t.nround = vt.nround where brobot = 1 group by all),
-rs as (select dt, count(case when profit > 0 then 1 end) as w, count(*) as n from rp group by all),
-tot as (select dt, count(distinct concat(sztoken, '-', nround)) as n, count(distinct case when brobot = 0 then nplayerid end) as dau
+hand as (select dt, sztoken, nround, bool_or(brobot = 0) and bool_or(brobot = 1) as mixed,
+    sum(gameresult) filter (where brobot = 1) as robot_gain from @v_result group by all),
+gambler as (select dt, nplayerid, bool_or(brobot = 0) as human, count(*) as hands, count(*) filter (where gameresult > 0) as wins
   from @v_result group by all),
-mau as (select run_dt, count(distinct case when brobot = 0 then nplayerid end) as n from @v_result t join run on {window(30)} group by all),
-nu as (select dt, count(*) as n from {NEW} x group by all),
-pc as (select p.dt, count(distinct concat(p.sztoken, '-', p.nround)) as a, count(distinct p.nplayerid) as b,
-    count(distinct case when presettype = '2' then p.nplayerid end) as c,
-    count(distinct case when presettype = '2' and gameresult > 0 then p.nplayerid end) as d
-  from @v_preset p left join @v_result r on p.sztoken = r.sztoken and p.nround = r.nround and p.nplayerid = r.nplayerid and p.dt = r.dt
-  where bpreset = 'true' group by all),
-co as (select dt, count(*) as n from {suspects(20, 0.7, 0.75, 3)} x group by all),
-ip as (select dt, count(distinct p) as n from (select dt, player1_id as p from pairs where shared_ip_cnts is not null
-  union all select dt, player2_id from pairs where shared_ip_cnts is not null) x group by all),
-ab as (select dt, count(*) as n from (select dt, nplayerid, count(distinct concat(sztoken, '-', nround)) as n,
-    count(distinct case when gameresult > 0 then concat(sztoken, '-', nround) end) as w from @v_result group by all) x
-  where cast(w as double) / n >= 0.8 and n >= 10 group by all)
-select tot.dt, tot.n as round_cnt, coalesce(rs.n, 0) as robot_round_cnt, round(cast(coalesce(rs.n, 0) as double) / tot.n, 6) as robot_round_pct,
-  coalesce(rs.w, 0) as robot_win_round_cnt, round(cast(rs.w as double) / nullif(rs.n, 0), 6) as robot_win_round_pct,
-  tot.dau as day_real_player_cnt, coalesce(mau.n, 0) as month_real_player_cnt, coalesce(nu.n, 0) as new_player_cnt,
-  coalesce(pc.a, 0) as preset_round_cnt, coalesce(pc.b, 0) as preset_player_cnt, coalesce(pc.c, 0) as reward_player_cnt,
-  coalesce(pc.d, 0) as reward_win_round_cnt, coalesce(co.n, 0) as collusion_player_cnt, coalesce(ip.n, 0) as same_ip_player_cnt,
-  coalesce(ab.n, 0) as abnormal_high_win_player_cnt
-from tot left join rs on tot.dt = rs.dt left join mau on tot.dt = mau.run_dt left join nu on tot.dt = nu.dt left join pc on tot.dt = pc.dt
-left join co on tot.dt = co.dt left join ip on tot.dt = ip.dt left join ab on tot.dt = ab.dt"""
-
-ROBOTS = """vt as (select distinct a.dt, a.sztoken, a.nround from (select distinct dt, sztoken, nround from @v_result where brobot = 0) a
-  join (select distinct dt, sztoken, nround from @v_result where brobot = 1) b on a.dt = b.dt and a.sztoken = b.sztoken and a.nround = b.nround),
-rp as (select t.dt, t.sztoken, t.nround, ngametype, robotversion, sum(gameresult) as profit from @v_result t
-  join vt on t.dt = vt.dt and t.sztoken = vt.sztoken and t.nround = vt.nround where brobot = 1 group by all)"""
+planted as (select p.dt, p.sztoken, p.nround, p.nplayerid, presettype = '2' as rewarded, gameresult > 0 as gained from @v_preset p
+  left join @v_result r using (dt, sztoken, nround, nplayerid) where bpreset = 'true'),
+figure(dt, name, n) as (
+  select dt, 'rounds', count(*) from hand group by dt
+  union all select dt, 'mixed', count(*) from hand where mixed group by dt
+  union all select dt, 'mixed_won', count(*) from hand where mixed and robot_gain > 0 group by dt
+  union all select dt, 'today', count(*) from gambler where human group by dt
+  union all select run_dt, 'month', count(distinct nplayerid) from gambler t join run on {window(30)} where human group by run_dt
+  union all select dt, 'fresh', count(*) from {NEW} x group by dt
+  union all select dt, 'planted_rounds', count(distinct (sztoken, nround)) from planted group by dt
+  union all select dt, 'planted_players', count(distinct nplayerid) from planted group by dt
+  union all select dt, 'rewarded', count(distinct nplayerid) from planted where rewarded group by dt
+  union all select dt, 'rewarded_won', count(distinct nplayerid) from planted where rewarded and gained group by dt
+  union all select dt, 'suspects', count(*) from {suspects(20, 0.7, 0.75, 3)} x group by dt
+  union all select dt, 'neighbours', count(distinct id) from (select dt, unnest([player1_id, player2_id]) as id from pairs
+    where shared_ip_cnts > 0) x group by dt
+  union all select dt, 'lucky', count(*) from gambler where hands >= 10 and wins / hands >= 0.8 group by dt),
+day as (pivot figure on name in ('rounds', 'mixed', 'mixed_won', 'today', 'month', 'fresh', 'planted_rounds', 'planted_players',
+  'rewarded', 'rewarded_won', 'suspects', 'neighbours', 'lucky') using coalesce(sum(n), 0)::bigint group by dt)
+select dt, rounds as round_cnt, mixed as robot_round_cnt, round(mixed / rounds, 6) as robot_round_pct, mixed_won as robot_win_round_cnt,
+  round(mixed_won / nullif(mixed, 0), 6) as robot_win_round_pct, today as day_real_player_cnt, month as month_real_player_cnt,
+  fresh as new_player_cnt, planted_rounds as preset_round_cnt, planted_players as preset_player_cnt, rewarded as reward_player_cnt,
+  rewarded_won as reward_win_round_cnt, suspects as collusion_player_cnt, neighbours as same_ip_player_cnt, lucky as abnormal_high_win_player_cnt
+from day where rounds > 0"""
+
+ROBOTS = """met as (select *, bool_or(brobot = 0) over (partition by dt, sztoken, nround) as with_human from @v_result),
+rp as (select dt, sztoken, nround, ngametype, robotversion, sum(gameresult) as profit from met where with_human and brobot = 1 group by all)"""
 ROBOT_COLS = """1 as brobot, robotversion, ngametype, count(*) as total_round_cnt,
   count(case when profit > 0 then 1 end) as win_round_cnt, 0 as total_player_cnt, 0 as win_player_cnt, cast(sum(profit) as bigint) as gameresult"""
 ORACLE["robot_stats"] = f"with {ROBOTS} select dt, {ROBOT_COLS} from rp group by dt, robotversion, ngametype"
@@ -425,19 +411,14 @@ ORACLE["preset_overview"] = """select dt, ngametype, coalesce(inventiontype, 'no
   group by dt, ngametype, coalesce(inventiontype, 'no_preset')"""
 ORACLE["sync_roundtrip"] = ORACLE["preset_overview"]
 
-ORACLE["preset_result"] = """with u as (
-  select p.*, g.gameresult from @v_preset p left join @v_gold g
-    on p.sztoken = g.sztoken and p.nround = g.nround and p.nplayerid = g.nplayerid and p.dt = g.dt
-  where p.bpreset = 'true' and p.ngametype = 450
-  union all
-  select p.*, s.gameresult from @v_preset p left join (select * from @v_score where ngametype = 420) s
-    on p.sztoken = s.sztoken and p.nround = s.nround and p.nplayerid = s.nplayerid and p.dt = s.dt
-  where p.bpreset = 'true' and p.ngametype = 420)
-select dt, inventiontype, ngametype, case when brobot = 1 and gameresult >= 0 then 'robot_good_win'
-    when brobot = 1 and gameresult < 0 then 'robot_good_lose' when brobot = 0 and gameresult >= 0 then 'human_good_win'
-    when brobot = 0 and gameresult < 0 then 'human_good_lose' end as play_result,
-  count(distinct concat(sztoken, '-', nround)) as round_cnt, count(distinct nplayerid) as player_cnt
-from u where presettype = '2' group by all"""
+ORACLE["preset_result"] = """with settled as (select dt, sztoken, nround, nplayerid, ngametype, gameresult from @v_gold where ngametype = 450
+  union all select dt, sztoken, nround, nplayerid, ngametype, gameresult from @v_score where ngametype = 420),
+dealt as (select p.*, case brobot when 1 then 'robot' when 0 then 'human' end as side,
+    case when gameresult >= 0 then 'win' when gameresult < 0 then 'lose' end as ending
+  from @v_preset p left join settled using (dt, sztoken, nround, nplayerid, ngametype)
+  where bpreset = 'true' and presettype = '2' and ngametype in (420, 450))
+select dt, inventiontype, ngametype, side || '_good_' || ending as play_result,
+  count(distinct (sztoken, nround)) as round_cnt, count(distinct nplayerid) as player_cnt from dealt group by all"""
 
 ORACLE["flag_export"] = f"""with {PAIRS}
 select concat('new_user:', cast(nplayerid as string)) as key, 1 as value, -1 as ttl, cast(null as varchar) as expires_at, dt from {NEW} n

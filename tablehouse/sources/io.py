@@ -2,30 +2,37 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Collection
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DAY = re.compile(r"^\d{4}-\d{2}-\d{2}$")
-IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
-PART_VALUE = re.compile(r"^[A-Za-z0-9_\-:.]+$")
-
 
 def check_day(dt: str) -> str:
-    if not DAY.match(dt):
+    """The text itself if it names a calendar day as the partitions do."""
+    if date.fromisoformat(dt).isoformat() != dt:
         raise ValueError(f"not a day: {dt!r}")
     return dt
 
 
-def partition_spec(text: str) -> dict[str, str]:
-    """'dt=2024-01-30,region=sg' to a mapping; names and values are checked."""
+def check_name(name: str) -> str:
+    if not (name.isascii() and name.isidentifier()):
+        raise ValueError(f"not a name: {name!r}")
+    return name
+
+
+def partition_spec(text: str, columns: Collection[str] | None = None) -> dict[str, str]:
+    """'dt=2024-01-30,region=sg' to a mapping.  A `dt` has to be a day, other values letters,
+    digits and - _ : . only; with `columns` the names have to be among them."""
     spec = {}
-    for part in filter(None, (p.strip() for p in text.split(","))):
-        key, eq, value = (x.strip() for x in part.partition("="))
-        if not eq or not IDENT.match(key) or not PART_VALUE.match(value):
-            raise ValueError(f"not a partition spec: {part!r}")
-        spec[key] = value
+    for item in text.split(",") if text.strip() else []:
+        name, _, value = (x.strip() for x in item.partition("="))
+        if columns is not None and name not in columns:
+            raise ValueError(f"no partition column {name!r} among {sorted(columns)}")
+        if not value or set(value) - {c for c in value if c.isalnum() or c in "-_:."}:
+            raise ValueError(f"not a partition value: {item!r}")
+        spec[check_name(name)] = check_day(value) if name == "dt" else value
     return spec
 
 
@@ -57,7 +64,7 @@ def read_table(spark: SparkSession, path: str, columns: str | None = None) -> Da
 
 def read_path(spark: SparkSession, path: str, spec: str = "", limit: int | None = None) -> DataFrame:
     df = read_table(spark, path)
-    for key, value in partition_spec(spec).items():
+    for key, value in partition_spec(spec, df.columns).items():
         df = df.where(F.col(key) == value)
     return df if not limit else df.limit(limit)
 
@@ -162,8 +169,7 @@ def insert_by_name(df: DataFrame, table: str) -> None:
 def ddl(table: str, columns: dict[str, str], partitions: tuple[str, ...] = ("dt",), location: str | None = None) -> str:
     """CREATE TABLE text of a partitioned parquet table."""
     for name in [*table.split("."), *columns, *partitions]:
-        if not IDENT.match(name):
-            raise ValueError(f"not a name: {name!r}")
+        check_name(name)
     cols = ", ".join(f"`{c}` {t}" for c, t in {**columns, **{p: columns.get(p, "string") for p in partitions}}.items())
     where = f" LOCATION '{location}'" if location else ""
     by = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
@@ -197,7 +203,7 @@ def sync_table(df: DataFrame, target: str, spec: str = "", mode: str = "overwrit
     if use_latest:
         newest = df.agg(F.max("dt").alias("dt"))
         rows = df.join(newest, "dt", "left_semi")
-    for key, value in partition_spec(spec).items():
+    for key, value in partition_spec(spec, df.columns).items():
         rows = rows.where(F.col(key) == value)
     if "dt" not in df.columns:
         rows.write.mode(mode).parquet(target)
