@@ -50,22 +50,28 @@ DIALECT = {
 }
 
 VIEWS = {
-    # one row per hand and player, up to six seats; a hand lies in one day
+    # one row per hand and player, up to six seats; a hand lies in one day.  In every second hand
+    # two players keep meeting at many tables, and one of them wins; some hands end in a tie,
+    # some tables seat two only, some rows lack the end time
     "v_result": """
 select concat('t', cast(tok as string)) as sztoken, hand % 10 as nround, nplayerid, seat,
   case tok % 3 when 0 then 79 when 1 then 420 else 450 end as ngametype,
   gameresult, brobot,
   case when brobot = 1 then concat('v', cast(nplayerid % 3 as string)) else '0' end as robotversion,
   concat(dt, clock) as createtime, concat(dt, clock) as starttime, endtime, dt as create_dt, dt, hand
-from (select cast(floor(event_id/60) as bigint) as tok, cast(floor(event_id/6) as bigint) as hand,
-    user_id as nplayerid, event_id % 6 + 1 as seat,
-    (cast(round(value*100) as bigint) - 5000) * 20 as gameresult,
-    case when user_id % 5 = 0 then 1 else 0 end as brobot,
+from (select tok, hand, nplayerid, seat, endtime, clock,
+    case when hand % 11 = 3 then 0 when met then abs(won) else won end as gameresult,
+    case when nplayerid % 5 = 0 then 1 else 0 end as brobot,
+    cast(min(day) over (partition by hand) as string) as dt,
+    row_number() over (partition by hand, nplayerid order by seat) as rn
+  from (select cast(floor(event_id/60) as bigint) as tok, cast(floor(event_id/6) as bigint) as hand,
+    event_id % 12 in (6, 7) as met, case when event_id % 12 in (6, 7) then event_id % 12 - 5 else user_id end as nplayerid,
+    event_id % 6 + 1 as seat, cast(ts as date) as day,
+    (cast(round(value*100) as bigint) - 5000) * 20 as won,
     substr(cast(ts as string), 11, 9) as clock,
-    substr(cast(case when event_id % 2 = 0 then ts + interval '3' minute else ts + interval '7' minute end as string), 1, 19) as endtime,
-    cast(min(cast(ts as date)) over (partition by cast(floor(event_id/6) as bigint)) as string) as dt,
-    row_number() over (partition by cast(floor(event_id/6) as bigint), user_id order by event_id) as rn
-  from @events) e
+    case when event_id % 41 = 0 then null when event_id % 2 = 0 then substr(cast(ts + interval '3' minute as string), 1, 19)
+      else substr(cast(ts + interval '7' minute as string), 1, 19) end as endtime
+  from @events where event_id % 6 < 2 or floor(event_id/6) % 13 <> 5) e) f
 where rn = 1""",
     "v_score": """
 select ngametype, sztoken, nplayerid, nround, gameresult, gameresult as nscore, createtime, starttime, endtime, dt
@@ -78,11 +84,13 @@ select nplayerid as playerid, sztoken, nround, robotversion, brobot, dt from @v_
     # a snapshot per day of all users registered by then
     "v_user": """
 select nplayerid, concat(reg, ' 00:00:00') as szcreatetime,
-  concat(case when nplayerid % 4 = 0 then reg else cast(cast(d as date) as string) end, ' 08:00:00') as prelogintime,
-  concat('10.0.0.', cast(nplayerid % 20 as string)) as preloginip,
+  case when nplayerid % 23 = 6 then '' when nplayerid % 29 = 4 then null
+    else concat(case when nplayerid % 4 = 0 then reg else cast(cast(d as date) as string) end, ' 08:00:00') end as prelogintime,
+  case when nplayerid % 17 = 3 then '' when nplayerid % 19 = 4 then null else concat('10.0.0.', cast(nplayerid % 20 as string)) end as preloginip,
   case when nplayerid % 5 = 0 then '1' else '0' end as brobot, cast(cast(d as date) as string) as dt
-from (select distinct user_id as nplayerid,
-    concat('2024-01-', lpad(cast(user_id % 30 + 1 as string), 2, '0')) as reg from @events) u
+from (select nplayerid, concat('2024-01-', lpad(cast(nplayerid % 30 + 1 as string), 2, '0')) as reg
+  from (select distinct user_id as nplayerid from @events union all
+    select distinct user_id + 1000000 from @events where user_id % 15 = 7) a) u
 #days_from_reg#""",
     "v_member": """
 select nplayerid, concat('nick', cast(nplayerid as string), '_', cast(k as string)) as sznickname,
@@ -117,16 +125,30 @@ select concat('{"szToken":"', sztoken, '","nround":', cast(nround as string), ',
   case when inventiontype is null then '' else concat(',"inventionType":"', inventiontype, '"') end,
   case when presettype is null then '' else concat(',"presetType":', presettype) end, ',"redisScore":0.5}') as tstr, dt
 from @v_preset""",
-    # one row per player action; twenty actions make a hand, a hand lies in one day
+    # one row per player action; twenty actions make a hand, a hand lies in one day.  A player's
+    # kind (id modulo 9) says how often which action comes; every second action is of five players
     "v_action": """
 select concat('t', cast(cast(floor(event_id/60) as bigint) as string)) as sztoken,
-  cast(floor(event_id/20) as bigint) % 3 as nround, user_id % 10 as playerid, event_id % 20 as json_index, 'S2CStatePlayerOp' as action,
-  case when event_id % 20 < 8 then 'preflop' when event_id % 20 < 13 then 'flop' when event_id % 20 < 17 then 'turn' else 'river' end as stage,
-  case (event_id * 7 + user_id) % 7 when 0 then 'none' when 1 then 'check' when 2 then 'call' when 3 then 'raise' when 4 then 'allin' when 5 then 'fold' else 'Fold' end as betaction,
-  cast(round(value*100) as bigint) as num, 3000 + event_id % 5000 as pot,
-  cast(min(cast(ts as date)) over (partition by cast(floor(event_id/20) as bigint)) as string) as dt,
+  cast(floor(event_id/20) as bigint) % 3 as nround, playerid, event_id % 20 as json_index, 'S2CStatePlayerOp' as action, stage,
+  case when stage = 'preflop' then case playerid % 9
+      when 0 then case when k % 2 = 0 then 'raise' else 'allin' end
+      when 1 then case when k < 40 then 'raise' else 'none' end
+      when 2 then case when k < 90 then 'call' when k < 95 then 'raise' else 'none' end
+      when 3 then case when k < 85 then 'Fold' else 'check' end
+      when 4 then case when event_id % 20 = 0 then 'raise' else 'none' end
+      when 5 then case when k < 60 then 'raise' when k < 80 then 'call' else 'fold' end
+      when 6 then case when k < 30 then 'call' when k < 35 then 'raise' else 'none' end
+      when 7 then case when k < 45 then 'call' when k < 75 then 'raise' else 'fold' end
+      else case when k < 50 then 'check' when k < 60 then 'init' when k < 70 then null else 'none' end end
+    else case when playerid % 9 = 3 and k < 85 then 'Fold' when playerid % 9 = 0 and k < 85 then 'raise'
+      when playerid % 9 = 2 and k < 80 then 'call' when k < 40 then 'raise' when k < 50 then 'allin' when k < 75 then 'call'
+      else 'check' end end as betaction,
+  num, 3000 + event_id % 5000 as pot, cast(min(day) over (partition by cast(floor(event_id/20) as bigint)) as string) as dt,
   (event_id * 7 + user_id) % 5 - 1 as act, event_id
-from @events""",
+from (select event_id, user_id, case when event_id % 2 = 0 then user_id % 5 else user_id % 45 end as playerid,
+    (event_id * 37 + cast(round(value*100) as bigint)) % 100 as k, cast(round(value*100) as bigint) as num, cast(ts as date) as day,
+    case when event_id % 20 < 8 then 'preflop' when event_id % 20 < 13 then 'flop' when event_id % 20 < 17 then 'turn' else 'river' end as stage
+  from @events) e""",
     # messages of a hand, in the text form of the log
     "v_msg": """
 select event_id, hand, case
@@ -135,7 +157,7 @@ select event_id, hand, case
     when i = 5 and hand % 3 <> 0 then concat('{"name":"S2CStateDealCard","data":{"commonCards":[', cast(hand % 40 as string), ',41,42,',
         cast(user_id % 40 as string), case when hand % 3 = 2 then ',43' else '' end, ']}}')
     when i = 4 and hand % 3 = 0 then concat('{"name":"S2CBuyInsure","data":{"seat":5,"score":', cast(hand % 2 * 50 as string),
-        ',"state":', cast(hand % 6 + 1 as string), '}}')
+        ',"state":', cast(cast(floor(hand / 3) as bigint) % 6 + 1 as string), '}}')
     when i = 4 and hand % 3 = 1 then '{"name":"S2CGiveUp","data":{"seat":5}}'
     when i = 5 then '{"name":"S2CStateBuyInsure","data":{"seatInfos":[{"seat":6}]}}'
     else concat('{"name":"S2CStatePlayerOp","data":{"curSeat":', cast(i + 1 as string),
@@ -191,22 +213,24 @@ where copy = 0 or event_id % 7 = 0""",
 def _deal(size: int, low: int) -> str:
     """Three hands of two cards and a board of five per event, from a deck of `size` cards.
 
-    The eleven cards differ because every step is coprime with 52 and with 36.  Numbers run
-    through a suit before the next, so that flushes and straights occur.
+    Slots go to cards by a permutation: size + 1 is a prime (53, 37), so multiplication of
+    1..size by a factor modulo that prime only changes their order.  Two such factors and two
+    rotations, taken from the event's columns, mix it; the eleven cards of an event differ.
     """
-    ranks = size // 4
+    prime = size + 1
 
     def card(slot: str) -> str:
-        x = f"((event_id * 7 + {slot} * st) % {size})"
-        return f"{x} % {ranks} * 4 + cast(floor({x} / {ranks}) as bigint) + {low}"
+        once = f"((({slot} + s) % {size} + 1) * a % {prime} - 1 + v) % {size}"
+        return f"(({once}) + 1) * b % {prime} - 1 + {low}"
 
     board = ", ".join(f"{card(str(i))} as c{i}" for i in range(6, 11))
     return f"""
 select event_id as hand_id, player,
   #arr#(c0, c1, c6, c7, c8, c9, c10) as cards, #arr#(c6, c7, c8, c9, c10) as board, #arr#(c0, c1) as hole
 from (select event_id, player, {card("2 * player")} as c0, {card("(2 * player + 1)")} as c1, {board}
-  from (select event_id, case event_id % 6 when 0 then 1 when 1 then 5 when 2 then 7 when 3 then 11 when 4 then 17 else 23 end as st
-    from @events) e #slots3#) c"""
+  from (select event_id, (event_id + user_id) % {size} + 1 as a, (cast(floor(event_id / {size}) as bigint) + cents) % {size} as s,
+      (event_id * 5 + cents) % {size} as v, (cents + user_id * 3) % {size} + 1 as b
+    from (select event_id, user_id, cast(round(value*100) as bigint) as cents from @events) x) e #slots3#) c"""
 
 
 VIEWS["v_cards"] = _deal(52, 0)

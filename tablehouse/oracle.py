@@ -246,7 +246,7 @@ ORACLE["collusion_pairs"] = f"with {PAIRS} select * from pairs"
 ORACLE["suspect_players"] = f"with {PAIRS} select dt, playerid from {suspects(2, 0.5, 0.1, 1)} s"
 
 ORACLE["score_extremes"] = """with sc as (
-  select nplayerid, ngametype, cast(sum(gameresult) as double) as score from @v_result where brobot = 0 group by all),
+  select nplayerid, ngametype, floor(sum(gameresult) / 200000) as score from @v_result group by all),
 x as (select distinct r.sztoken, r.nround, r.dt, r.nplayerid, coalesce(sc.score, 0.0) as s
   from @v_result r left join sc on r.nplayerid = sc.nplayerid and r.ngametype = sc.ngametype),
 k as (select *, row_number() over (partition by sztoken, nround, dt order by s desc, nplayerid) as hi,
@@ -297,14 +297,14 @@ style as (select playerid, hands as total_hands, round(v, 4) as vpip, round(up,
 ORACLE["player_style"] = f"with {STYLE} select * from style"
 
 
-def _versus(by_hand: bool) -> str:
+def _versus(by_hand: bool, days: int = 30) -> str:
     hand = ", sztoken, nround" if by_hand else ""
     return f"""robot_hand as (select dt, sztoken, nround from @v_result group by all having max(brobot) = 1),
 own_hand as (select * from @v_result where brobot = 0 and nplayerid is not null),
 duel as (select distinct dt, nplayerid, gameresult, ngametype{hand} from own_hand semi join robot_hand using (dt, sztoken, nround)),
-played as (select run_dt, nplayerid, count(*) as hands from own_hand t join run on {window(30)} group by all),
+played as (select run_dt, nplayerid, count(*) as hands from own_hand t join run on {window(days)} group by all),
 fought as (select run_dt, nplayerid, count(*) as duels, avg(cast(gameresult > 0 as int)) as won, avg(gameresult) as profit,
-    avg(cast(ngametype = 450 as int)) as gold from duel t join run on {window(30)} group by all having count(*) >= 10),
+    avg(cast(ngametype = 450 as int)) as gold from duel t join run on {window(days)} group by all having count(*) >= 10),
 bot_bound(ord, bot_label, won_over, won_under, won_from, won_to, sign, share_over) as (values
   (1, 'Exploiter (剥削者)', 0.60, null, null, null, 1, null), (2, 'Struggling (挣扎者)', null, 0.40, null, null, -1, null),
   (3, 'Balanced (平衡型)', null, null, 0.40, 0.60, null, null), (4, 'Bot Hunter (猎人)', null, null, null, null, null, 0.8)),
@@ -320,10 +320,11 @@ bot as (select run_dt as dt, nplayerid, duels as total_hands_vs_bot, round(won,
 ORACLE["versus_robot"] = f"with {RUN}, {_versus(False)} select * from bot"
 ORACLE["versus_robot_by_hand"] = f"with {RUN}, {_versus(True)} select * from bot"
 
-PROFILE = f"""{STYLE}, {_versus(False)}, {PAIRS},
+def _profile(days: int) -> str:
+    return f"""{STYLE}, {_versus(False, days)}, {PAIRS},
 stay as (select run_dt, t.nplayerid as id, t.ngametype, t.dt, sztoken, nround, substr(createtime, 1, 10) as day,
     cast(substr(starttime, 12, 2) as int) as hour, epoch(cast(endtime as timestamp)) - epoch(cast(starttime as timestamp)) as lasted
-  from @v_result t join run on {window(30)}),
+  from @v_result t join run on {window(days)}),
 life as (select run_dt, id, count(distinct day) as days, round(avg(lasted) filter (where lasted > 0) / 60.0, 2) as mins from stay group by all),
 taste as (select run_dt, id, min({{'n': -hands, 'game': ngametype}}) as best from
     (select run_dt, id, ngametype, count(distinct (dt, sztoken, nround)) as hands from stay group by all) x group by all),
@@ -347,8 +348,11 @@ profile as (select u.id as nplayerid, regtime, u.brobot, preloginip, prelogintim
   left join life on life.run_dt = u.dt and life.id = u.id left join taste on taste.run_dt = u.dt and taste.id = u.id
   left join clock on clock.run_dt = u.dt and clock.id = u.id left join activity_bound on days between days_from and days_to
   left join style on style.dt = u.dt and style.playerid = u.id left join bot on bot.dt = u.dt and bot.nplayerid = u.id)"""
-ORACLE["player_profile"] = f"with {PROFILE} select * from profile"
-ORACLE["profile_mart"] = f"with {PROFILE} select * from profile where active_days > 0"
+
+
+ORACLE["player_profile"] = f"with {_profile(30)} select * from profile"
+ORACLE["player_profile_7d"] = f"with {_profile(7)} select * from profile"
+ORACLE["profile_mart"] = f"with {_profile(30)} select * from profile where active_days > 0"
 
 # ---- marts ---------------------------------------------------------------------------
 
@@ -357,8 +361,9 @@ NEW = """(select t.dt, t.nplayerid from (select distinct dt, nplayerid from @v_u
   on t.nplayerid = y.nplayerid and y.dt = cast(cast(t.dt as date) - 1 as string) where y.nplayerid is null)"""
 ORACLE["new_users"] = f"select dt, nplayerid from {NEW} n"
 
-# name of a daily figure: whether a day without it shows 0 is said in the last step
-ORACLE["daily_overview"] = f"""with {RUN}, {PAIRS},
+
+def _overview(days: int) -> str:
+    return f"""with {RUN}, {PAIRS},
 hand as (select dt, sztoken, nround, bool_or(brobot = 0) and bool_or(brobot = 1) as mixed,
     sum(gameresult) filter (where brobot = 1) as robot_gain from @v_result group by all),
 gambler as (select dt, nplayerid, bool_or(brobot = 0) as human, count(*) as hands, count(*) filter (where gameresult > 0) as wins
@@ -370,7 +375,7 @@ figure(dt, name, n) as (
   union all select dt, 'mixed', count(*) from hand where mixed group by dt
   union all select dt, 'mixed_won', count(*) from hand where mixed and robot_gain > 0 group by dt
   union all select dt, 'today', count(*) from gambler where human group by dt
-  union all select run_dt, 'month', count(distinct nplayerid) from gambler t join run on {window(30)} where human group by run_dt
+  union all select run_dt, 'month', count(distinct nplayerid) from gambler t join run on {window(days)} where human group by run_dt
   union all select dt, 'fresh', count(*) from {NEW} x group by dt
   union all select dt, 'planted_rounds', count(distinct (sztoken, nround)) from planted group by dt
   union all select dt, 'planted_players', count(distinct nplayerid) from planted group by dt
@@ -388,21 +393,27 @@ select dt, rounds as round_cnt, mixed as robot_round_cnt, round(mixed / rounds,
   rewarded_won as reward_win_round_cnt, suspects as collusion_player_cnt, neighbours as same_ip_player_cnt, lucky as abnormal_high_win_player_cnt
 from day where rounds > 0"""
 
+
+ORACLE["daily_overview"] = _overview(30)
+ORACLE["daily_overview_7d"] = _overview(7)
+
 ROBOTS = """met as (select *, bool_or(brobot = 0) over (partition by dt, sztoken, nround) as with_human from @v_result),
 rp as (select dt, sztoken, nround, ngametype, robotversion, sum(gameresult) as profit from met where with_human and brobot = 1 group by all)"""
 ROBOT_COLS = """1 as brobot, robotversion, ngametype, count(*) as total_round_cnt,
   count(case when profit > 0 then 1 end) as win_round_cnt, 0 as total_player_cnt, 0 as win_player_cnt, cast(sum(profit) as bigint) as gameresult"""
 ORACLE["robot_stats"] = f"with {ROBOTS} select dt, {ROBOT_COLS} from rp group by dt, robotversion, ngametype"
-ORACLE["robot_stats_90d"] = f"""with {RUN}, {ROBOTS} select run_dt as dt, {ROBOT_COLS} from rp t join run
-  on t.dt > cast(cast(run_dt as date) - 90 as string) and t.dt <= run_dt group by run_dt, robotversion, ngametype"""
+for _days in (7, 90):
+    ORACLE[f"robot_stats_{_days}d"] = f"""with {RUN}, {ROBOTS} select run_dt as dt, {ROBOT_COLS} from rp t join run
+  on t.dt > cast(cast(run_dt as date) - {_days} as string) and t.dt <= run_dt group by run_dt, robotversion, ngametype"""
 
 ORACLE["active_hours"] = f"""with {SCORED}
 select ngametype, substr(createtime, 1, 10) as start_dt, substr(createtime, 12, 2) as start_dt_hr,
   count(distinct nplayerid) as player_cnt, count(distinct concat(sztoken, '-', nround)) as round_cnt
 from scored where brobot is null group by all"""
 
-ORACLE["activity_tags"] = f"""with {RUN},
-d as (select run_dt, nplayerid, count(distinct dt) as n from @v_result t join run on {window(30)} where brobot = 0 group by all)
+for _name, _days in (("activity_tags", 30), ("activity_tags_7d", 7)):
+    ORACLE[_name] = f"""with {RUN},
+d as (select run_dt, nplayerid, count(distinct dt) as n from @v_result t join run on {window(_days)} where brobot = 0 group by all)
 select run_dt as dt, case when n >= 5 then 'high' when n >= 3 then 'mid' when n >= 1 then 'low' else 'silenct' end as active_tag,
   count(distinct nplayerid) as player_cnt from d group by all"""
 

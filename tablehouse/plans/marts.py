@@ -53,8 +53,8 @@ def preset_kpis(preset: DataFrame, result: DataFrame) -> DataFrame:
 
 
 def daily_overview(result: DataFrame, user: DataFrame, preset: DataFrame, collusion: DataFrame,
-                   first_dt: str, last_dt: str) -> DataFrame:
-    """Fifteen indicators per day.
+                   first_dt: str, last_dt: str, days: int = 30) -> DataFrame:
+    """Fifteen indicators per day; `days` is the look-back of the monthly players.
 
     One pass per hand gives round counts and the robots' share: a hand counts for the
     robots if it has a human and a robot, as a win if the robots together gained.
@@ -72,7 +72,7 @@ def daily_overview(result: DataFrame, user: DataFrame, preset: DataFrame, collus
     active = _count(day.where(human & F.col("nplayerid").isNotNull()).select("dt", "nplayerid").distinct(),
                     ["dt"], "day_real_player_cnt")
     parts = [
-        active, monthly_players(result, first_dt, last_dt),
+        active, monthly_players(result, first_dt, last_dt, days),
         _count(new_users(user), ["dt"], "new_player_cnt"), preset_kpis(preset, result),
         _count(suspects(collusion), ["dt"], "collusion_player_cnt"),
         _count(shared_ip_players(collusion), ["dt"], "same_ip_player_cnt"),

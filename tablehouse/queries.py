@@ -185,8 +185,8 @@ def suspect_players(fx):
 
 @query
 def score_extremes(fx):
-    scores = fx.sql("select nplayerid, ngametype, cast(sum(gameresult) as double) as score from @v_result "
-                    "where brobot = 0 group by nplayerid, ngametype")
+    scores = fx.sql("select nplayerid, ngametype, cast(floor(sum(gameresult) / 200000) as double) as score from @v_result "
+                    "group by nplayerid, ngametype")
     return risk.score_extremes(fx.result, scores, ["sztoken", "nround", "dt"])
 
 
@@ -205,9 +205,9 @@ def versus_robot_by_hand(fx):
     return tags.versus_robot(fx.result, *SPAN, by_hand=True)
 
 
-def _profile(fx: Fixtures) -> DataFrame:
+def _profile(fx: Fixtures, **kw) -> DataFrame:
     return tags.player_profile(fx.user, fx.member, tags.player_style(fx.action, *SPAN), fx.result,
-                               _pair_table(fx), *SPAN)
+                               _pair_table(fx), *SPAN, **kw)
 
 
 @query
@@ -215,6 +215,12 @@ def player_profile(fx):
     return _profile(fx)
 
 
+@query
+def player_profile_7d(fx):
+    """A look-back shorter than the data: rows leave the window."""
+    return _profile(fx, days=7)
+
+
 @query
 def profile_mart(fx):
     return marts.profile_mart(_profile(fx))
@@ -228,6 +234,11 @@ def daily_overview(fx):
     return marts.daily_overview(fx.result, fx.user, fx.preset, _pair_table(fx), *SPAN)
 
 
+@query
+def daily_overview_7d(fx):
+    return marts.daily_overview(fx.result, fx.user, fx.preset, _pair_table(fx), *SPAN, days=7)
+
+
 @query
 def robot_stats(fx):
     return marts.robot_stats(fx.result)
@@ -238,6 +249,11 @@ def robot_stats_90d(fx):
     return marts.robot_stats(fx.result, *SPAN, days=90)
 
 
+@query
+def robot_stats_7d(fx):
+    return marts.robot_stats(fx.result, *SPAN, days=7)
+
+
 @query
 def active_hours(fx):
     return marts.active_hours(results.scored(fx.score, fx.gold, fx.robot))
@@ -248,6 +264,11 @@ def activity_tags(fx):
     return marts.activity_tags(fx.result, *SPAN)
 
 
+@query
+def activity_tags_7d(fx):
+    return marts.activity_tags(fx.result, *SPAN, days=7)
+
+
 @query
 def preset_overview(fx):
     return marts.preset_overview(fx.preset)
