@@ -326,5 +326,12 @@ class Fixtures:
             _STORED[key] = path
         return self.spark.read.parquet(_STORED[key])
 
+    def folder(self, name: str, make: Callable[[], str]) -> str:
+        """The folder `make` wrote, which happens once per session."""
+        key = (self.spark.sparkContext.applicationId, self.prefix + name)
+        if key not in _STORED:
+            _STORED[key] = make()
+        return _STORED[key]
+
     def sql(self, text: str) -> DataFrame:
         return self.spark.sql(self.resolve(text))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tablehouse.fixtures import FIRST_DT, LAST_DT, Fixtures
 from tablehouse.functions import rules
-from tablehouse.operators import scans
+from tablehouse.functions.exprs import all_different, is_subset
+from tablehouse.operators import joins, scans
 from tablehouse.plans import actions, cards, catalog, evaluate, jsonlog, marts, results, risk, tags
 from tablehouse.session import scratch, tune
 from tablehouse.sources import io
@@ -315,6 +316,184 @@ def partition_sizes(fx):
         "table_name", "partition_spec", "files", "bytes", "size_mb")
 
 
+# ---- readers and writers: each writes to a fresh folder and reads it back ---------------
+
+DAY, DAY_BEFORE, LATER = "2024-01-10", "2024-01-09", "2024-01-20"
+RESULT_COLS = ["sztoken", "nround", "nplayerid", "ngametype", "gameresult", "dt"]
+
+
+def _result_table(fx: Fixtures) -> DataFrame:
+    """The result table by day, as the jobs of one day read it."""
+    def written() -> str:
+        path = scratch(fx.spark, "result-by-day")
+        io.overwrite_days(fx.result.select(*RESULT_COLS), path)
+        return path
+
+    return io.read_table(fx.spark, fx.folder("result-by-day", written))
+
+
+@query
+def partition_scan(fx):
+    """One day's partition of the result table."""
+    return io.increment(_result_table(fx), DAY)
+
+
+@query
+def range_scan(fx):
+    """A range of days, open below, reduced to hands per day."""
+    rows = io.day_range(_result_table(fx), DAY, LATER, open_below=True)
+    return rows.select("dt", "sztoken", "nround").distinct().groupBy("dt").agg(F.count(F.lit(1)).alias("hands"))
+
+
+@query
+def snapshot_pair(fx):
+    """Players of a day's snapshot who are missing in that of the day before, and the reverse."""
+    target = scratch(fx.spark, "users")
+    io.overwrite_days(fx.user.select("nplayerid", "brobot", "dt"), target)
+    today, before = (s.select("nplayerid") for s in io.snapshots(io.read_table(fx.spark, target), DAY))
+    return joins.anti(today, before, ["nplayerid"]).withColumn("change", F.lit("new")).unionByName(
+        joins.anti(before, today, ["nplayerid"]).withColumn("change", F.lit("gone")))
+
+
+@query
+def path_read(fx):
+    """A path read with a partition spec of two columns."""
+    target = scratch(fx.spark, "by-type")
+    io.overwrite_days(fx.result.select(*RESULT_COLS), target, ("dt", "ngametype"))
+    return io.read_path(fx.spark, target, f"dt={DAY}, ngametype=420").select("sztoken", "nround", "nplayerid", "gameresult")
+
+
+@query
+def csv_subset(fx):
+    """Some columns of CSV files, as text."""
+    target = scratch(fx.spark, "csv")
+    fx.result.select(*RESULT_COLS).write.option("header", "true").csv(target)
+    return io.read_csv(fx.spark, [target], ["nplayerid", "gameresult", "dt"], header=RESULT_COLS)
+
+
+@query
+def replace_mart_day(fx):
+    """Delete-then-insert of one day with default values; another day is emptied."""
+    target = scratch(fx.spark, "mart")
+    rows = fx.preset.select("sztoken", "nround", "nplayerid", "inventiontype", "dt")
+    io.overwrite_days(rows, target)
+    io.replace_day(rows.where(F.col("dt") == DAY), target, DAY, {"inventiontype": "no_preset"})
+    io.replace_day(rows.where("false"), target, LATER)
+    return io.read_table(fx.spark, target)
+
+
+@query
+def upsert_mart(fx):
+    """Rows of the second half of the month replace or join those of the first by key."""
+    best = lambda rows: rows.groupBy("nplayerid", "ngametype").agg(
+        F.max("gameresult").alias("best"), F.max("dt").alias("seen"))
+    return io.merge(best(fx.result.where(F.col("dt") <= DAY)), best(fx.result.where(F.col("dt") >= LATER)),
+                    ["nplayerid", "ngametype"])
+
+
+@query
+def append_latest(fx):
+    """A mart written whole, its latest day replaced, one day appended once more."""
+    target = scratch(fx.spark, "mart")
+    rows = marts.preset_overview(fx.preset)
+    io.sync_table(rows, target)
+    io.sync_table(rows.withColumn("player_cnt", F.lit(-1).cast("bigint")), target, use_latest=True)
+    io.sync_table(rows, target, spec=f"dt={DAY}", mode="append")
+    return io.read_table(fx.spark, target)
+
+
+@query
+def append_lines(fx):
+    """Deal rows as JSON lines, appended in two writes, read back as the preset table."""
+    target = scratch(fx.spark, "lines")
+    lines = jsonlog.deal_lines(jsonlog.flatten_deals(fx.deals))
+    for odd in (0, 1):
+        io.append_jsonl(lines.where(F.get_json_object("tstr", "$.nround").cast("int") % 2 == odd), target)
+    back = fx.spark.read.schema("tstr string, dt string").json(target)
+    return jsonlog.card_preset(back).select("sztoken", "nround", "nplayerid", "startscore", "handcards", "dt")
+
+
+@query
+def table_lifecycle(fx):
+    """Create a catalog table, insert by column name, drop one partition, read what is left."""
+    where = scratch(fx.spark, "lifecycle")
+    name = "th_" + where[-32:]
+    columns = {"inventiontype": "string", "ngametype": "int", "round_cnt": "bigint", "player_cnt": "bigint", "dt": "string"}
+    io.create_table(fx.spark, name, columns, location=where)
+    io.insert_by_name(marts.preset_overview(fx.preset), name)
+    io.drop_partition(fx.spark, name, f"dt={DAY}")
+    return fx.spark.table(name)
+
+
+def _catalog(fx: Fixtures) -> str:
+    """A database of two tables whose partitions were written by path and then registered."""
+    where = scratch(fx.spark, "catalog")
+    name = "th_" + where[-32:]
+    fx.spark.sql(f"CREATE DATABASE {name} LOCATION '{where}'")
+    for table, rows in (("users", fx.user.select("nplayerid", "dt")), ("presets", fx.preset.select("nplayerid", "dt"))):
+        io.create_table(fx.spark, f"{name}.{table}", {"nplayerid": "bigint"}, location=f"{where}/{table}")
+        io.overwrite_days(rows, f"{where}/{table}")
+    catalog.repair(fx.spark, name)
+    return name
+
+
+@query
+def catalog_profile(fx):
+    """First and last day of every table of a database, from the catalog alone."""
+    return catalog.table_profile(fx.spark, _catalog(fx), LAST_DT).select("table_name", "table_comment", "min_dt", "max_dt", "dt")
+
+
+@query
+def catalog_partitions(fx):
+    """The registered partitions of a table, each marked if it is the latest."""
+    table = f"{_catalog(fx)}.presets"
+    newest = catalog.latest_dt(fx.spark, table)
+    return catalog.partitions(fx.spark, table).select(
+        "partition", (F.col("partition") == f"dt={newest}").alias("is_latest"))
+
+
+@query
+def partition_check(fx):
+    """The first five partitions on storage: files found, bytes above zero, megabytes from the bytes."""
+    target = scratch(fx.spark, "sized")
+    io.overwrite_days(fx.result.select(*RESULT_COLS), target)
+    sizes = catalog.partition_sizes(fx.spark, {"result": target}, max_partitions=5)
+    return sizes.select("table_name", "partition_spec", (F.col("files") > 0).alias("has_files"),
+                        (F.col("bytes") > 0).alias("has_bytes"),
+                        (F.col("size_mb") == F.round(F.col("bytes") / 1048576, 2)).alias("mb_fits"))
+
+
+@query
+def login_log(fx):
+    """The whole login log."""
+    return _logins(fx).drop("event_id")
+
+
+@query
+def set_tests(fx):
+    """Per hand: own cards within the seven, cards that are not on the board, all different."""
+    return fx.cards.select("hand_id", "player", is_subset("hole", "cards").alias("hole_in_cards"),
+                           is_subset("hole", "board").alias("hole_in_board"), all_different("cards").alias("distinct_cards"),
+                           F.array_join(F.array_sort(F.array_except("cards", "board")), ",").alias("own"))
+
+
+@query
+def explode_rejects(fx):
+    """Hand logs and elements that the explode job can't use."""
+    return jsonlog.rejected(fx.hand_log)
+
+
+@query
+def log_rejects(fx):
+    """Lines whose payload is no JSON object, by the day they were logged."""
+    spark = fx.spark
+    source, table, rejects, state = (scratch(spark, n) for n in ("lines", "temp_tab", "rejects", "state"))
+    cut = F.when(F.col("event_id").endswith("4"), F.rtrim("message", F.lit("}"))).otherwise(F.col("message"))
+    fx.log_line.select("event_id", "ts_ms", cut.alias("message")).write.json(source)
+    stream.ingest(spark, source, table, rejects, state, delay="40 days").awaitTermination()
+    return io.read_table(spark, rejects, "tstr string, dt string, batch string").select("tstr", "dt")
+
+
 DIRTY = """select event_id as id, case when event_id % 10 = 3 then 'n/a' when event_id % 10 = 4 then null
   else cast(user_id as string) end as nplayerid, cast(value as string) as score,
   case when event_id % 7 = 0 then 'soon' else cast(cast(ts as date) as string) end as rectime,
@@ -462,12 +641,15 @@ def latency_status(fx):
     return evaluate.status_counts(fx.request)
 
 
+def _logins(fx: Fixtures) -> DataFrame:
+    return fx.sql("select user_id as nplayerid, concat('c', cast(user_id % 7 as string)) as nclubid, 1 as nactive, "
+                  "substr(cast(ts as string), 1, 19) as sztime, concat('10.0.1.', cast(user_id % 20 as string)) as loginip, "
+                  "event_id from @events where event_type = 'signup'")
+
+
 @query
 def login_preview(fx):
-    log = fx.sql("select user_id as nplayerid, concat('c', cast(user_id % 7 as string)) as nclubid, 1 as nactive, "
-                 "substr(cast(ts as string), 1, 19) as sztime, concat('10.0.1.', cast(user_id % 20 as string)) as loginip, "
-                 "event_id from @events where event_type = 'signup'")
-    return io.preview(log.orderBy("sztime", "event_id"), 100).drop("event_id")
+    return io.preview(_logins(fx).orderBy("sztime", "event_id"), 100).drop("event_id")
 
 
 __all__ = ["all_queries", "REGISTRY"]
