@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehouse.operators.skew import hot_keys
-
 
 def semi(df: DataFrame, keys_of: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of df whose key occurs in the other frame."""
@@ -35,35 +33,24 @@ def full(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return reduce(lambda left, right: left.join(right, keys, "full"), frames)
 
 
-def pairs(df: DataFrame, keys: list[str], id_col: str, cols: list[str], block: int = 64) -> list[DataFrame]:
+def pairs(df: DataFrame, keys: list[str], id_col: str, cols: list[str], block: int = 64) -> DataFrame:
     """Pairs of rows of one key with a smaller and a greater id, as `<col>_1`, `<col>_2`.
 
-    Usual keys make the first frame: a self-join that reads one exchange twice.  Keys with
-    more than `block` rows, if there are any, make the second: they are cut into blocks by
-    id, and each pair of blocks is a join key of its own, so no task holds a whole hot key.
-    Each frame is distributed by `keys` plus `_i`, `_j` (the blocks, which follow from the
-    ids): group each by these and the ids first, then add the two up.
+    Every key is cut into blocks of about `block` rows by its ids, one block for usual keys,
+    and each pair of blocks is a join key of its own (`_i`, `_j`, which follow from the ids),
+    so no task holds a whole hot key.  A row of a key of n rows is copied n / block times per
+    side, against the n / 2 pairs it gives.  The result is distributed by `keys`, `_i`, `_j`.
     """
     rows = df.select(*keys, id_col, *cols)
-    hot = hot_keys(df, keys, block)
-
-    def named(side: DataFrame, suffix: str) -> DataFrame:
-        return side.withColumnsRenamed({c: f"{c}_{suffix}" for c in [id_col, *cols]})
-
-    ordered = F.col(f"{id_col}_1") < F.col(f"{id_col}_2")
-    usual = rows if hot is None else rows.join(hot, keys, "left_anti")
-    plain = named(usual, "1").join(named(usual, "2"), keys).where(ordered).select(
-        "*", F.lit(0).alias("_i"), F.lit(0).alias("_j"))
-    if hot is None:
-        return [plain]
-    cut = F.ceil(F.col("_n") / block)
-    tagged = rows.join(hot, keys).select(
-        *rows.columns, F.pmod(F.xxhash64(id_col).cast("bigint"), cut).cast("int").alias("_b"),
-        F.sequence(F.lit(0), cut.cast("int") - 1).alias("_all"))
+    cut = F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_cut")
+    tagged = rows.join(rows.groupBy(*keys).agg(cut), keys).select(
+        *rows.columns, F.pmod(F.xxhash64(id_col), F.col("_cut")).cast("int").alias("_b"),
+        F.sequence(F.lit(0), F.col("_cut") - 1).alias("_all"))
 
     def blocks(own: str, other: str, suffix: str) -> DataFrame:
         side = tagged.select(*rows.columns, F.col("_b").alias(own), F.explode("_all").alias(other))
-        return named(side, suffix).repartition(*keys, "_i", "_j")
+        side = side.withColumnsRenamed({c: f"{c}_{suffix}" for c in [id_col, *cols]})
+        return side.repartition(*keys, "_i", "_j")
 
-    salted = blocks("_i", "_j", "1").join(blocks("_j", "_i", "2"), [*keys, "_i", "_j"]).where(ordered)
-    return [plain, salted.select(*plain.columns)]
+    return blocks("_i", "_j", "1").join(blocks("_j", "_i", "2"), [*keys, "_i", "_j"]).where(
+        F.col(f"{id_col}_1") < F.col(f"{id_col}_2"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +31,9 @@ def pair_stats(result: DataFrame) -> DataFrame:
     """Per day and player pair: hands and tables together, hands either one won, net result."""
     won = (F.col("gameresult_1") > 0) | (F.col("gameresult_2") > 0)
     ids = ["nplayerid_1", "nplayerid_2"]
-    parts = [
-        p.groupBy(*HAND, "_i", "_j", *ids).agg(
-            F.sum(won.cast("int")).alias("wins"),
-            F.sum(F.col("gameresult_1") + F.col("gameresult_2")).alias("net"))
-        for p in pairs(result, HAND, "nplayerid", ["gameresult"])
-    ]
-    per_hand = reduce(DataFrame.unionByName, parts)
+    per_hand = pairs(result, HAND, "nplayerid", ["gameresult"]).groupBy(*HAND, "_i", "_j", *ids).agg(
+        F.sum(won.cast("int")).alias("wins"),
+        F.sum(F.col("gameresult_1") + F.col("gameresult_2")).alias("net"))
     players = [F.col("nplayerid_1").alias("player1_id"), F.col("nplayerid_2").alias("player2_id")]
     return per_hand.groupBy("dt", *players).agg(
         F.count(F.lit(1)).alias("total_games"), F.count_distinct("sztoken").alias("total_desk"),

@@ -21,6 +21,9 @@ RUNTIME = {
     # dt=2024-01-30 in a path stays text
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # remembered event ids lie on disk, not in an executor's heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -1,9 +1,7 @@
 """Hot keys: same results as brute force when a key is cut up."""
 
-from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehouse.operators import scans
@@ -70,13 +68,25 @@ def test_pairs_of_a_hot_key(spark):
     rows = [(0, i) for i in range(100)] + [(1, 5), (1, 7), (1, 9), (2, 1)]
     df = spark.createDataFrame(rows, "k int, id int").withColumn("w", F.col("id") * 2)
     want = {(k, a, b) for k in (0, 1, 2) for a, b in combinations(sorted(i for j, i in rows if j == k), 2)}
-    frames = pairs(df, ["k"], "id", ["w"], block=8)
-    assert len(frames) == 2
-    got = reduce(DataFrame.unionByName, frames).collect()
-    assert len(got) == len(want) and {(r.k, r.id_1, r.id_2) for r in got} == want
-    assert all(r.w_1 == 2 * r.id_1 and r.w_2 == 2 * r.id_2 for r in got)
-    assert max(r["count"] for r in frames[1].groupBy("k", "_i", "_j").count().collect()) < 400
-    assert len(pairs(df, ["k"], "id", ["w"], block=1000)) == 1
+    for block in (8, 1000):
+        frame = pairs(df, ["k"], "id", ["w"], block=block)
+        got = frame.collect()
+        assert len(got) == len(want) and {(r.k, r.id_1, r.id_2) for r in got} == want
+        assert all(r.w_1 == 2 * r.id_1 and r.w_2 == 2 * r.id_2 for r in got)
+        parts = [r["count"] for r in frame.groupBy("k", "_i", "_j").count().collect()]
+        assert block == 1000 or (max(parts) < 400 and len(parts) > 50)
+
+
+def test_collusion_pairs_of_a_hot_hand(spark):
+    """One hand holds most rows; every pair is found."""
+    from tablehouse.plans import risk
+
+    seats = [("d", "t", 0, i, i - 100) for i in range(200)] + [("d", "t", n, i, 5) for n in range(1, 20) for i in range(3)]
+    result = spark.createDataFrame(seats, "dt string, sztoken string, nround int, nplayerid int, gameresult int")
+    got = {(r.player1_id, r.player2_id): r.total_games for r in risk.pair_stats(result).select(
+        "player1_id", "player2_id", "total_games").collect()}
+    assert len(got) == 200 * 199 // 2
+    assert {p: n for p, n in got.items() if n > 1} == {(0, 1): 20, (0, 2): 20, (1, 2): 20}
 
 
 def test_hot_keys_have_no_cap(spark):
