@@ -78,7 +78,8 @@ def number_list(text) -> Column:
 
 
 def percent_text(c) -> Column:
-    return F.format_string("%.2f%%", c * 100)
+    """Two digits, exact halves to the even one (Java's own format rounds them up)."""
+    return F.format_string("%.2f%%", F.bround(c * 100, 2))
 
 
 def cut_after(c, keyword: str) -> Column:

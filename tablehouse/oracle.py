@@ -59,11 +59,10 @@ select id, gametype, playerid, sztoken, nround, winscore, score, json_index, nam
 
 ORACLE["seat_info"] = f"with {DWD}, {SEAT} select * from seat"
 
-ORACLE["robot_info"] = """with v as (
-  select nplayerid as playerid, sztoken, nround, dt, unnest(list_filter(json_extract(szcarddata, '$[*]'),
-    lambda m: json_extract_string(m, '$.name') = 'ModelVer')) as m from @v_hand_log where json_valid(szcarddata))
-select v.playerid, sztoken, nround, json_extract_string(m, '$.data.modelVersion') as robotversion, u.brobot, v.dt
-from v join @v_user u on v.playerid = u.nplayerid and v.dt = u.dt"""
+# the log is materialized: without that DuckDB 2.0 ends with an internal error in this join
+ORACLE["robot_info"] = f"""with logs as materialized (select * from @v_hand_log), {DWD.replace('@v_hand_log', 'logs')}
+select d.playerid, sztoken, nround, data ->> '$.modelVersion' as robotversion, u.brobot, d.dt
+from dwd d join @v_user u on u.dt = d.dt and u.nplayerid = d.playerid where name = 'ModelVer'"""
 
 
 def _action(back: str) -> str:
