@@ -1,7 +1,12 @@
 """Operator 8: secret scans, with a random forest that removes false findings.
 
-Candidates are runs of token characters: of at least `LONG` characters, or of at least `SHORT`
-if an assignment stands right before.  Each gets features: its length and mix of characters,
+Candidates are runs of token characters of at least `LONG` bytes, and assigned values of at
+least `SHORT`: what follows the first `:` or `=`, up to the closing quote, a space or, unquoted,
+the next `&name=` (also `;` and `,`); signs that end a sentence or close a bracket are cut off
+where no quote opened the value.  An assigned value holds visible ASCII and the two-byte letters
+(Latin, Greek, Cyrillic).  Its pieces between further signs, before an `@` and of token
+characters only are candidates too.  Of kept findings that lie inside each other the outermost
+is reported.  Each candidate gets features: its length and mix of characters,
 character transitions (changes of class, and how usual its letter pairs are in words), the
 share of it that dictionary words cover, whether it looks like a path, and what the words
 around it are.  A random forest (Spark's) trained on labelled findings decides.
@@ -29,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablehouse.llm.common import byte_runs, fit, prepare, slices, spare, utf8
@@ -37,6 +42,7 @@ from tablehouse.llm.common import byte_runs, fit, prepare, slices, spare, utf8
 LONG, SHORT, CONTEXT = 16, 8, 48
 SAMPLE_DOCS, TREES, DEPTH, SEED = 4000, 30, 8, 7
 MASK = "[SECRET]"
+CODE = re.compile(r"[(){}\[\]<>$\\]|://|[=:&;,]\w+[=:]")  # expressions and addresses rather than values
 
 # fixed values: names that credentials are assigned to, names of harmless random values, and a small dictionary
 NAMES = ("token secret password passwd pwd passphrase credential credentials apikey api_key api-key access_key access-key accesskey auth "
@@ -65,8 +71,41 @@ def _classes() -> np.ndarray:
     return inside
 
 
+# an assignment with what may stand before its value, and values by the quote that opens them
+SIGN = re.compile(rb"[=:]+>?[ \t]{0,%d}([\"'`]?)" % CONTEXT)
+_LETTER = rb"[\xc3-\xd4][\x80-\xbf]"
+VALUES = {q: re.compile(rb"(?:[^\x00-\x20\x7f-\xff" + q + rb"]++|" + _LETTER + rb")*+") for q in (b'"', b"'", b"`")}
+VALUES[b""] = re.compile(rb"(?:[^\x00-\x20\x7f-\xff\"'`&;,]++|" + _LETTER + rb"|[&;,](?![A-Za-z_][\w.-]{0,63}[=:]))*+")
+PIECE = re.compile(rb"[^=:]+(?:=+\Z)?")
+CLOSING = b".,;:)]}>\\"
+
+
+def _split(a: int, piece: bytes) -> list[tuple[int, int]]:
+    """A value, its parts between signs (padding at the end is no sign) and those before an @."""
+    spans = [(0, len(piece)), *(m.span() for m in PIECE.finditer(piece))]
+    spans += [(x, at) for x, y in spans[1:] if (at := piece.rfind(b"@", x, y)) > x]
+    return [(a + x, a + y) for x, y in spans if y - x >= SHORT]
+
+
+def _assigned(data: bytes, off: np.ndarray) -> list[tuple[int, int]]:
+    """First byte and byte after the last of assigned values and of their pieces."""
+    out, done = [], 0
+    for m in SIGN.finditer(data):
+        a = m.end()
+        if a < done:  # inside a value, whose pieces are there
+            continue
+        end = int(off[np.searchsorted(off, m.start(), "right")])
+        if a >= end:
+            continue
+        done = VALUES[m[1]].match(data, a, end).end()
+        if done - a >= SHORT:
+            piece = data[a:done]
+            out += _split(a, piece if m[1] else piece.rstrip(CLOSING))
+    return out
+
+
 def candidates(column: pa.Array) -> list[tuple[int, int, int]]:
-    """(row, first byte, byte after the last) of every candidate, within its row."""
+    """(row, first byte, byte after the last) of every candidate, within its row, outer ones first."""
     data, off = utf8(column)
     starts, ends = byte_runs(data, off, _classes())
     # trailing signs that end a sentence or a query are no part of a value
@@ -74,25 +113,29 @@ def candidates(column: pa.Array) -> list[tuple[int, int, int]]:
         last = data[np.maximum(ends - 1, 0)]
         cut = (ends - starts > 1) & ((last == 46) | (last == 45) | (last == 95))
         ends = ends - cut
+    row_start = off[np.searchsorted(off, starts, "right") - 1]
     head = np.zeros(len(starts), bool)
     for back in (1, 2, 3):  # name="value, name: "value, name = value
         place = starts - back
-        head |= (place >= 0) & np.isin(data[np.maximum(place, 0)], (58, 61))
+        head |= (place >= row_start) & np.isin(data[np.maximum(place, 0)], (58, 61))
     # name=value is one run: its value begins after the sign
+    signs = np.concatenate(([0], np.cumsum(data == 61)))
     size = ends - starts
-    keep = np.flatnonzero((size >= LONG) | (head & (size >= SHORT)))
-    rows = np.searchsorted(off, starts[keep], "right") - 1
-    out = []
-    for r, a, b in zip(rows.tolist(), starts[keep].tolist(), ends[keep].tolist(), strict=True):
-        piece = data[a:b].tobytes()
+    keep = np.flatnonzero((size >= LONG) | ((size >= SHORT) & (head | (signs[ends] > signs[starts]))))
+    raw = data.tobytes()
+    found = set(_assigned(raw, off))
+    for a, b, assigned in zip(starts[keep].tolist(), ends[keep].tolist(), head[keep].tolist(), strict=True):
+        piece = raw[a:b]
         sign = piece.find(b"=")
         if 0 < sign < len(piece.rstrip(b"=")) - 1:
-            inner = piece.rindex(b"=", 0, len(piece.rstrip(b"="))) + 1
-            if len(piece) - inner >= SHORT:
-                out.append((r, a + inner - int(off[r]), b - int(off[r])))
-            continue
-        out.append((r, a - int(off[r]), b - int(off[r])))
-    return out
+            after = sign + 1
+            found.update(_split(a + after, piece[after:]))
+            piece = piece[:sign]
+        if len(piece) >= (SHORT if assigned else LONG):
+            found.add((a, a + len(piece)))
+    spans = sorted(found, key=lambda s: (s[0], -s[1]))
+    rows = np.searchsorted(off, [a for a, _ in spans], "right") - 1
+    return [(r, a - int(off[r]), b - int(off[r])) for r, (a, b) in zip(rows.tolist(), spans, strict=True)]
 
 
 def _pairs() -> dict[str, float]:
@@ -143,24 +186,25 @@ class Measures:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Every candidate: doc_id, first and last (characters), value, weak label and features."""
+    """Every candidate: doc_id, hash of the text, first and last (characters), value, weak label and features."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measures = Measures()
-        kind = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("value", pa.string()), ("weak", pa.float64()), ("features", pa.list_(pa.float64()))])
+        kind = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("value", pa.string()), ("weak", pa.float64()), ("features", pa.list_(pa.float64()))])
         for batch in batches:
             for part in slices(batch, "text"):
                 yield pa.RecordBatch.from_pylist(_found(part, measures), kind)
 
-    return fit(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, first long, last long, value string, weak double, features array<double>")
+    texts = fit(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text"))
+    return texts.mapInArrow(run, "doc_id long, text_hash long, first long, last long, value string, weak double, features array<double>")
 
 
 def _found(part: pa.RecordBatch, measures: Measures) -> list[dict]:
     data, off = utf8(part.column("text"))
     # characters before a byte, from the bytes that begin one
     upto = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-    ids, out = part.column("doc_id"), []
+    ids, keys, out = part.column("doc_id"), part.column("text_hash"), []
     for r, a, b in candidates(part.column("text")):
         lo, hi = int(off[r]), int(off[r + 1])
         value = data[lo + a : lo + b].tobytes().decode()
@@ -169,8 +213,8 @@ def _found(part: pa.RecordBatch, measures: Measures) -> list[dict]:
         f = measures.of(value, before, after)
         first = int(upto[lo + a] - upto[lo])
         # a random value assigned to a credential's name
-        weak = f[21] and f[22] and not f[24] and len(value) >= 12 and f[7] >= 2.8 and f[10] < 0.5 and (f[3] > 0.1 or f[6] > 0.2)
-        out.append({"doc_id": ids[r].as_py(), "first": first, "last": first + len(value) - 1, "value": value, "weak": float(bool(weak)), "features": f})
+        weak = f[21] and f[22] and not f[24] and f[7] >= min(2.8, 0.85 * math.log2(len(value))) and f[10] < 0.5 and (f[3] > 0.1 or f[6] > 0.2) and not CODE.search(value)
+        out.append({"doc_id": ids[r].as_py(), "text_hash": keys[r].as_py(), "first": first, "last": first + len(value) - 1, "value": value, "weak": float(bool(weak)), "features": f})
     return out
 
 
@@ -186,24 +230,44 @@ def _examples() -> list[tuple[str, str, float]]:
               lambda: "sk_live_" + some(base, 24), lambda: "sk-" + some(base, 48), lambda: "AIza" + some(base + "_-", 35), lambda: "npm_" + some(base, 36),
               lambda: "eyJhbGciOiJIUzI1NiJ9." + some(base, 40) + "." + some(base + "_-", 43), lambda: "SG." + some(base, 22) + "." + some(base, 43), lambda: some(base + "_-", 14)]
     words = [w for w in WORDS if len(w) > 3]
+    # what people type: 8 to 13 characters with a digit and a capital, half of them with other signs
+    def typed(letters: str) -> str:
+        value = list(some(letters, draw.randint(5, 10)) + some(digits, 2) + some(big, 1))
+        draw.shuffle(value)
+        return "".join(value)
+
+    odd = base + "!@#$%&*?^~+=_-."
+    short = [lambda: typed(base), lambda: typed(base), lambda: typed(odd), lambda: typed(odd), lambda: some(odd, 16)]
+    code = [lambda: draw.choice(words) + "." + draw.choice(words) + "()", lambda: "${" + draw.choice(words).upper() + "_" + draw.choice(NAMES).upper() + "}", lambda: "<your-" + draw.choice(words) + ">",
+            lambda: "{{" + draw.choice(words) + "}}", lambda: "*" * draw.randint(8, 12), lambda: "get" + draw.choice(words).capitalize() + "(" + draw.choice(words) + ")", lambda: some(digits, 8),
+            lambda: "2024-" + some("01", 2) + "-" + some(digits, 2), lambda: draw.choice(words) + draw.choice(words), lambda: draw.choice(words) + "[" + some(digits, 1) + "]." + draw.choice(words),
+            lambda: "//" + draw.choice(words) + ".example.com/" + draw.choice(words) + "?" + draw.choice(words) + "=" + some(digits, 2), lambda: draw.choice(words) + "," + draw.choice(words) + ";",
+            lambda: some(digits, 1) + "." + some(digits, 2) + "." + some(digits, 1) + "-" + draw.choice(words), lambda: some(digits, 2) + ":" + some(digits, 2) + ":" + some(digits, 2), lambda: draw.choice(words).capitalize() + "!" + draw.choice(words)]
     plain = [lambda: some(digits, 16), lambda: some(digits, 13), lambda: "".join(draw.sample(words, 4)), lambda: "".join(w.capitalize() for w in draw.sample(words, 3)), lambda: "_".join(draw.sample(words, 3)),
              lambda: "/".join(draw.sample(words, 4)), lambda: "/" + "/".join(draw.sample(words, 3)) + ".txt", lambda: "mail" + some(digits, 1) + ".example.com", lambda: ".".join(draw.sample(words, 3)),
              lambda: ".".join(some(digits, 3) for _ in range(4)), lambda: "-".join(draw.sample(words, 4)), lambda: "".join(some(small, draw.choice((2, 3))) for _ in range(6)),
              lambda: "".join(some(big, draw.choice((2, 3))) for _ in range(6)), lambda: draw.choice(words).upper() * 3, lambda: "=" * 20, lambda: "-" * 24, lambda: "your_" + "_".join(draw.sample(words, 2)) + "_here",
              lambda: "x" * 20, lambda: "2024-01-" + some(digits, 2) + "T00.00.00"]
     marks = ['{} = "', "{}: ", '{}="', "{}=", "{} ", "{} is '", '"{}": "']
+    signed = [m for m in marks if "=" in m or ":" in m]
     out = []
     for name in NAMES:
         for make in secret:
             out.append((f"{draw.choice(words)} {draw.choice(marks).format(draw.choice((name, name.upper())))}", make(), 1.0))
         for make in plain:
             out.append((f"{draw.choice(words)} {draw.choice(marks).format(name)}", make(), 0.0))
+        for make in short:
+            out.append((f"{draw.choice(words)} {draw.choice(signed).format(draw.choice((name, name.upper())))}", make(), 1.0))
+        for make in code:
+            out.append((f"{draw.choice(words)} {draw.choice(signed).format(name)}", make(), 0.0))
     shaped = [f for f in secret if not f().isalnum()] + [secret[7]]
     for name in [*HARMLESS, *words[:60]]:
         for make in (lambda: some(hexa, 40), lambda: some(hexa, 32), lambda: some(hexa, 64), lambda: "-".join(some(hexa, n) for n in (8, 4, 4, 4, 12))) if name in HARMLESS else ():
             out.append((f"{draw.choice(words)} {draw.choice(marks).format(name)}", make(), 0.0))
         for make in plain:
             out.append((f"{draw.choice(words)} {draw.choice((name, *[m.format(name) for m in marks]))}", make(), 0.0))
+        for make in code:
+            out.append((f"{draw.choice(words)} {draw.choice(signed).format(name)}", make(), 0.0))
         out.append((f"{draw.choice(words)} {name} ", draw.choice(shaped)(), 1.0))
     return out
 
@@ -230,11 +294,23 @@ def train(findings: DataFrame) -> RandomForestClassificationModel:
         rows.unpersist()
 
 
+def _outermost(found: DataFrame) -> DataFrame:
+    """Findings that lie in no other one of their text; repeated rows of a text keep theirs each."""
+    text = ("doc_id", "text_hash")
+    each = found.groupBy(*text, "first", "last", "value").agg(F.max("probability").alias("probability"), F.count(F.lit(1)).alias("times"))
+    before = Window.partitionBy(*text).orderBy("first", F.col("last").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    each = each.withColumn("covered", F.coalesce(F.max("last").over(before), F.lit(-1))).filter(F.col("first") > F.col("covered"))
+    return each.withColumn("times", F.explode(F.expr("array_repeat(0, cast(times as int))"))).drop("times", "covered")
+
+
+def _findings(docs: DataFrame, model: RandomForestClassificationModel, least: float) -> DataFrame:
+    scored = model.transform(scan(docs).withColumn("features", array_to_vector("features")))
+    return _outermost(scored.withColumn("probability", F.element_at(vector_to_array("probability"), 2)).filter(F.col("probability") >= least))
+
+
 def secrets(docs: DataFrame, model: RandomForestClassificationModel, least: float = 0.5) -> DataFrame:
     """doc_id, first, last, value and probability of the findings that the forest keeps."""
-    scored = model.transform(scan(docs).withColumn("features", array_to_vector("features")))
-    return scored.withColumn("probability", F.element_at(vector_to_array("probability"), 2)).filter(F.col("probability") >= least).select(
-        "doc_id", "first", "last", "value", "probability")
+    return _findings(docs, model, least).select("doc_id", "first", "last", "value", "probability")
 
 
 def redact(docs: DataFrame, model: RandomForestClassificationModel) -> DataFrame:

@@ -172,6 +172,22 @@ def test_secrets_found_and_look_alikes_left(spark, forest):
     assert sorted(r.doc_id for r in secrets.secrets(frame, forest).collect()) == list(range(len(yes)))
 
 
+@pytest.mark.parametrize("text, values", [
+    ("pwd=Xk29vLq8Zt", ["Xk29vLq8Zt"]), ("pwd: Xk29vLq8Zt", ["Xk29vLq8Zt"]), ("key=SECRETab9x=x", ["SECRETab9x=x", "SECRETab9x"]), ('password = "Xk2!9v@Lq#" and', ["Xk2!9v@Lq#"]),
+    ("password: ab$9!kX%2é, then", ["ab$9!kX%2é"]), ("{password:Xk2!9vLq,user:bob}", ["Xk2!9vLq"]), ("q=c2VjcmV0c2VjcmV0c2VjcmV0==", ["c2VjcmV0c2VjcmV0c2VjcmV0=="]), ("?key=Xk29vLq8Zt&b=1", ["Xk29vLq8Zt"]),
+    ("x=" + "&a" * 3, []), ("a" * 20 + "=1", ["a" * 20]), ('auth="a b"', []), ("name := 'it\"s9!xQ2'", ['it"s9!xQ2']), ("ftp://bob:Xk29!vLq8@host/", ["//bob:Xk29!vLq8@host/", "Xk29!vLq8@host/", "Xk29!vLq8"])])
+def test_secret_candidates(text, values):
+    column = pa.array(["=", text, None, ":"])
+    assert [text.encode()[a:b].decode() for r, a, b in secrets.candidates(column)] == values
+    assert {r for r, _, _ in secrets.candidates(column)} <= {1}
+
+
+def test_secrets_short_and_with_signs(spark, forest):
+    yes = {"pwd=Xk29vLq8Zt": "Xk29vLq8Zt", 'password = "Xk2!9v@Lq#4"': "Xk2!9v@Lq#4", "secret: q7$Rm!2z%W": "q7$Rm!2z%W", "auth=Zt8qLv92kX=x": "Zt8qLv92kX=x", "token=9aF3kQ7xZ2&user=bob": "9aF3kQ7xZ2"}
+    frame = spark.createDataFrame([(i, f"the mill. {x} and more") for i, x in enumerate([*yes, "password: getPassword()", "password=${DB_PASSWORD}", "pat = <your-pattern>", 'password: "********"'])] * 2, "doc_id long, text string")
+    assert sorted((r.doc_id, r.value) for r in secrets.secrets(frame, forest).collect()) == sorted([*enumerate(yes.values())] * 2)
+
+
 def test_secrets_of_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = {(r.doc_id, m.start(1), m.end(1) - 1) for r in docs.collect() for m in re.finditer(r'(?i:token) = "([0-9a-fA-F]{40})"', r.text)}
