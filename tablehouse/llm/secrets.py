@@ -14,9 +14,11 @@ around it are.  A random forest (Spark's) trained on labelled findings decides.
 Labelled findings (columns text, first, last, label) are a parameter.  Where none are given,
 `labelled_findings` makes them: values of published credential formats, and look-alikes
 (identifiers, check sums, paths, numbers, long words), both placed behind different words; to
-these come candidates from a bounded sample of documents, labelled by the rule that a random
-value assigned to a credential's name is a secret.  `SAMPLE_DOCS` bounds the sample; all else
-covers every text.
+these come candidates from a sample of about `SAMPLE_DOCS` distinct documents at most, as far as
+a rule labels them clearly: a random value assigned to a credential's name is a secret; digits
+alone, words, and check sums assigned to a harmless name are none.  All others, among them
+published formats and random values without a name, are left out of training, so a source full
+of them teaches nothing.  Only the sample is bounded; the scan covers every text.
 
 Defined cases: null texts have no candidates; positions count characters of the text; a value
 that occurs twice is reported twice; repeated rows are reported each; null doc_ids stay null;
@@ -42,6 +44,9 @@ from tablehouse.llm.common import byte_runs, fit, prepare, slices, spare, utf8
 LONG, SHORT, CONTEXT = 16, 8, 48
 SAMPLE_DOCS, TREES, DEPTH, SEED = 4000, 30, 8, 7
 MASK = "[SECRET]"
+PUBLISHED = re.compile(  # published formats of credentials
+    r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36}|github_pat_\w{22}|glpat-[\w-]{20}|xox[abprs]-\d{10,}-[\w-]{10}|[rs]k_(?:live|test)_[A-Za-z0-9]{16}"
+    r"|sk-(?:[a-z]+-)?[A-Za-z0-9_]{20}|AIza[\w-]{35}|npm_[A-Za-z0-9]{36}|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8}|SG\.[\w-]{16,}\.[\w-]{16})")
 CODE = re.compile(r"[(){}\[\]<>$\\]|://|[=:&;,]\w+[=:]")  # expressions and addresses rather than values
 
 # fixed values: names that credentials are assigned to, names of harmless random values, and a small dictionary
@@ -182,7 +187,19 @@ class Measures:
             entropy, len(counts) / n, usual, covered, longest / n, hexa, digit == n, digit == 0, hexa and n in (32, 40, 64, 128),
             low.count("/"), "://" in before[-8:] or tail.endswith(("/", "\\")), bool(re.search(r"\.[a-z]{2,4}$", low)), "@" in before[-40:].rpartition(" ")[2] or after[:1] == "@",
             quote, assigned, bool(parts & self.names), any(set(re.split("[_-]", w)) & self.names or w in self.names for w in near),
-            bool(parts & self.harmless), any(w in self.harmless for w in near), low.count("-") == 4 and n == 36)]
+            bool(parts & self.harmless), any(w in self.harmless for w in near), low.count("-") == 4 and n == 36, PUBLISHED.match(value) is not None)]
+
+
+def _rule(value: str, f: list[float]) -> float | None:
+    """1 for a random value assigned to a credential's name, 0 for what is clearly no secret, None where the rules don't decide."""
+    if PUBLISHED.search(value):
+        return None
+    if f[21] and f[22]:
+        random_like = f[7] >= min(2.8, 0.85 * math.log2(len(value))) and f[10] < 0.5 and (f[3] > 0.1 or f[6] > 0.2)
+        return 1.0 if random_like and not f[24] and not CODE.search(value) else None
+    words = f[10] >= 0.5 or (f[3] <= 0.1 and f[6] <= 0.35 and f[9] > -7)
+    harmless = f[24] and (f[12] or f[26])
+    return 0.0 if words or f[13] or harmless or f[7] < 2 else None
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -212,9 +229,7 @@ def _found(part: pa.RecordBatch, measures: Measures) -> list[dict]:
         after = data[lo + b : min(hi, lo + b + CONTEXT)].tobytes().decode(errors="ignore")
         f = measures.of(value, before, after)
         first = int(upto[lo + a] - upto[lo])
-        # a random value assigned to a credential's name
-        weak = f[21] and f[22] and not f[24] and f[7] >= min(2.8, 0.85 * math.log2(len(value))) and f[10] < 0.5 and (f[3] > 0.1 or f[6] > 0.2) and not CODE.search(value)
-        out.append({"doc_id": ids[r].as_py(), "text_hash": keys[r].as_py(), "first": first, "last": first + len(value) - 1, "value": value, "weak": float(bool(weak)), "features": f})
+        out.append({"doc_id": ids[r].as_py(), "text_hash": keys[r].as_py(), "first": first, "last": first + len(value) - 1, "value": value, "weak": _rule(value, f), "features": f})
     return out
 
 
@@ -269,11 +284,23 @@ def _examples() -> list[tuple[str, str, float]]:
         for make in code:
             out.append((f"{draw.choice(words)} {draw.choice(signed).format(name)}", make(), 0.0))
         out.append((f"{draw.choice(words)} {name} ", draw.choice(shaped)(), 1.0))
+    # bare values in prose, logs and addresses
+    bare = ["{0} {1} ", "2024-01-02 03:04:05 INFO {0} {1} ", "{0} ({1}) ", "https://{0}.example.com/{1}?k=", "{0}, {1}, ", "{0} {1}: ", "{0} {1} \"", ""]
+    for _ in range(6):
+        for before in bare:
+            for make, label in [*((f, 1.0) for f in shaped), *((f, 0.0) for f in plain)]:
+                out.append((before.format(*draw.sample(words, 2)), make(), label))
+    # an address is no credential as a whole: what its parameters hold is a candidate of its own
+    for before in ("{} https:", "{} ", "{} url = \"", "{} href=", "{}: "):
+        for make in [*secret, *short]:
+            for _ in range(4):
+                address = f"//{draw.choice(words)}.example.com/{draw.choice(words)}?{draw.choice((draw.choice(words), *NAMES, 'k'))}={make()}"
+                out.append((before.format(draw.choice(words)), address if before.endswith("https:") else "https:" + address, 0.0))
     return out
 
 
 def labelled_findings(spark: SparkSession, docs: DataFrame | None = None, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """features and label of training findings: examples of formats, and weakly labelled candidates of at most about `sample_docs` documents."""
+    """features and label of training findings: examples of formats, and candidates that the rules label in a sample of about `sample_docs` distinct documents at most."""
     measures, rows = Measures(), []
     for before, value, label in _examples():
         rows.append((measures.of(value, before, '"' if before.endswith('"') else " "), label))
@@ -281,8 +308,10 @@ def labelled_findings(spark: SparkSession, docs: DataFrame | None = None, sample
     if docs is None:
         return out
     every = max(1, -(-docs.count() // sample_docs))
-    some = docs.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(every)) == 0)
-    return out.unionByName(scan(some).select("features", F.col("weak").alias("label")))
+    # repeated rows count once, however many share an id or a text; sorted, so that the forest is the same in each run
+    some = fit(docs, doc_id="long", text="string").withColumn("pick", F.xxhash64("doc_id", "text", F.lit("sample")))
+    some = some.filter(F.pmod("pick", F.lit(every)) == 0).dropDuplicates(["pick"]).sortWithinPartitions("pick")
+    return out.unionByName(scan(some).filter("weak is not null").select("features", F.col("weak").alias("label")))
 
 
 def train(findings: DataFrame) -> RandomForestClassificationModel:

@@ -188,6 +188,34 @@ def test_secrets_short_and_with_signs(spark, forest):
     assert sorted((r.doc_id, r.value) for r in secrets.secrets(frame, forest).collect()) == sorted([*enumerate(yes.values())] * 2)
 
 
+def made(shape, i):
+    """A credential of the shape: each x becomes a letter or digit."""
+    draw = random.Random(f"{shape} {i}")
+    return "".join(draw.choice("abcdefghijkmnpqrstuvwyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") if c == "x" else draw.choice("ABCDEFGHJKLMNPQRSTUVWXYZ234567") if c == "?" else c for c in shape)
+
+
+SHAPES = ["AKIA" + "?" * 16, "ghp_" + "x" * 36, "glpat-" + "x" * 20, "sk_live_" + "x" * 24, "AIza" + "x" * 35, "npm_" + "x" * 36, "eyJhbGciOiJIUzI1NiJ9." + "x" * 40 + "." + "x" * 43]
+
+
+def test_secrets_bare_with_the_sample(spark):
+    lines = ["the log says {} again", "https://h.example.com/get?k={}&b=1", "seen: {}"]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    hot = spark.createDataFrame([(10**6 + i, " and ".join(lines[i % 3].format(made(s, i)) for s in SHAPES)) for i in range(1500)], docs.schema)
+    forest = secrets.train(secrets.labelled_findings(spark, docs.unionByName(hot)))
+    want = {(i, made(s, -1 - i)) for i, s in enumerate(SHAPES * 3)}
+    no = ["2390409500648960 of it", "mail7.example.com", "heitstentzerungungverlich", "/usr/local/lib/python/site/file.txt", "internationalisation of words"]
+    texts = [*[(i, lines[i // len(SHAPES)].format(v)) for i, v in sorted(want)], *[(100 + i, f"the mill. {x}") for i, x in enumerate(no)]]
+    assert {(r.doc_id, r.value) for r in secrets.secrets(spark.createDataFrame(texts, docs.schema), forest).collect()} == want
+
+
+def test_sample_is_bounded(spark):
+    same = spark.range(3000).selectExpr("cast(null as bigint) doc_id", "'number 2390409500648960 of it' text")
+    other = spark.range(3000).selectExpr("cast(null as bigint) doc_id", "concat('number ', 2390409500648960 + id, ' of it') text")
+    fixed = secrets.labelled_findings(spark).count()
+    assert secrets.labelled_findings(spark, same, 100).count() - fixed <= 1
+    assert 40 < secrets.labelled_findings(spark, other, 100).count() - fixed < 180
+
+
 def test_secrets_of_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = {(r.doc_id, m.start(1), m.end(1) - 1) for r in docs.collect() for m in re.finditer(r'(?i:token) = "([0-9a-fA-F]{40})"', r.text)}
