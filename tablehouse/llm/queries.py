@@ -54,7 +54,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.neighbours(_table(spark, sf_dir, "documents"))
+    docs = _table(spark, sf_dir, "documents")
+    return spotsigs.neighbours(docs, spotsigs.common_words(docs))
 
 
 def op10_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,10 @@
 """Operator 9: SpotSigs fingerprints.
 
 A signature is an anchor (a very common word) with the `CHAIN` content words that follow it,
-common words between them skipped.  The set of a text's signatures is its fingerprint, written
+common words between them skipped.  To fixed lists of four languages, `common_words` adds the
+words that most documents of a language (without one: of a source) hold, counted over all
+documents.  With these lists every `CHAIN` consecutive words are a signature, too, where no
+anchor stands in the `GAP` words before.  The set of a text's signatures is its fingerprint, written
 as 10 hexadecimal digits each, ascending.  The likeness of two fingerprints is the Jaccard
 overlap of the sets.
 
@@ -13,8 +16,8 @@ its prefix (rarest first), and the lengths bound the overlap before it is counte
 the next doc_id.  Documents are dealt by ranges of doc_id and move once; a range's last
 document meets the first of the next range in a second, small step (two rows per range).
 
-Defined cases: null texts are empty; a text without a signature has one signature for all its
-words, so equal texts have equal fingerprints and likeness 1, other such texts 0; equal
+Defined cases: null texts are empty; a text without a signature (with the lists of `common_words`: of
+fewer than `CHAIN` words) has one signature for all its words, so equal texts have equal fingerprints and likeness 1, other such texts 0; equal
 doc_ids and repeated rows follow each other in order of text; null doc_ids come first; a
 single document is its own next; an empty table gives an empty result.
 """
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import partial
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +38,9 @@ from pyspark.sql import functions as F
 
 from tablehouse.llm.common import fit, letters_digits, mix, prepare, seeded, slices, utf8, word_hashes
 
-CHAIN = 3
+CHAIN, GAP = 3, 12
+# derived lists: words in at least this share of a group's documents, groups of at least so many documents, words a group, words in all
+SHARE, LEAST, ANCHORS_EACH, COMMON_EACH, WORDS_ALL = 0.2, 50, 8, 24, 1 << 14
 # fixed values: anchors, and further common words that are no content, of four languages
 ANCHORS = "the a an is was are that le la les une est der die das ist ein eine el los un es una".split()
 COMMON = ("of and to in for on with at by it be as or from this have not but they you we des de du et en au pour dans que qui sur avec par pas il "
@@ -46,11 +52,52 @@ def _fixed(words: list[str]) -> np.ndarray:
     return np.sort(word_hashes(data, off, letters_digits())[0])
 
 
-def signatures(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of each group hold a word, a batch at a time."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            data, off = utf8(pc.utf8_lower(part.column("text").cast(pa.large_string())))
+            hashes, rows, _, _ = word_hashes(data, off, letters_digits())
+            row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+            order = np.lexsort((hashes, row))
+            row, hashes = row[order], hashes[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
+            groups = part.column("place").dictionary_encode()
+            code, hashes = groups.indices.to_numpy(zero_copy_only=False)[row[new]], hashes[new]
+            order = np.lexsort((hashes, code))
+            code, hashes = code[order], hashes[order]
+            new = np.ones(len(code), bool)
+            new[1:] = (code[1:] != code[:-1]) | (hashes[1:] != hashes[:-1])
+            first = np.flatnonzero(new)
+            held = np.diff(np.append(first, len(code)))
+            yield pa.RecordBatch.from_arrays([groups.dictionary.take(pa.array(code[first])), pa.array(hashes[first].view(np.int64)), pa.array(held, pa.int64())], names=["place", "word", "held"])
+
+
+def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of anchors and of all common words, ascending: the fixed lists and the most common words of each language or source."""
+    prepare(docs.sparkSession)
+    place = F.coalesce(*[F.col(c).cast("string") for c in ("lang", "source") if c in docs.columns], F.lit(""))
+    texts = docs.select(F.col("text").cast("string").alias("text"), place.alias("place")).filter("text is not null")
+    sizes = texts.groupBy("place").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST)
+    held = texts.mapInArrow(_holders, "place string, word long, held long").groupBy("place", "word").agg(F.sum("held").alias("held"))
+    share = held.join(sizes, "place").select("place", "word", (F.col("held") / F.col("n")).alias("share")).filter(F.col("share") >= SHARE)
+    anchors, common, count = [_fixed(ANCHORS)], [_fixed(ANCHORS + COMMON)], {}
+    for r in share.orderBy(F.desc("share"), "place", "word").limit(WORDS_ALL).collect():
+        i = count[r.place] = count.get(r.place, 0) + 1
+        word = np.array([r.word], np.int64).view(np.uint64)
+        if i <= COMMON_EACH:
+            common.append(word)
+        if i <= ANCHORS_EACH:
+            anchors.append(word)
+    return np.unique(np.concatenate(anchors)), np.unique(np.concatenate(common))
+
+
+def signatures(column: pa.Array, lists: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct signatures (40 bits) of each text, ascending, and where each text's begin."""
     data, off = utf8(pc.utf8_lower(column.cast(pa.large_string())))
     hashes, rows, _, _ = word_hashes(data, off, letters_digits())
-    anchors, common = _fixed(ANCHORS), _fixed(ANCHORS + COMMON)
+    anchors, common = lists or (_fixed(ANCHORS), _fixed(ANCHORS + COMMON))
     is_in = lambda x, s: s[np.minimum(np.searchsorted(s, x), len(s) - 1)] == x
     plain = is_in(hashes, common)
     content = np.flatnonzero(~plain)
@@ -63,7 +110,17 @@ def signatures(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     value = hashes[at] * weight[0]
     for c in range(CHAIN):
         value = value + hashes[content[first + c]] * weight[c + 1]
-    # texts without one: all their words in order
+    if lists:  # stretches without one: chains of consecutive words
+        of, spot = np.repeat(np.arange(len(rows) - 1), np.diff(rows)), np.arange(len(hashes))
+        anchor = np.full(len(hashes), -1)
+        anchor[at] = at
+        anchor = np.maximum.accumulate(anchor)
+        chain = np.flatnonzero((spot + CHAIN <= rows[of + 1]) & ((anchor < rows[of]) | (spot - anchor > GAP)))
+        linked = np.zeros(len(chain), np.uint64) + weight[CHAIN + 1]
+        for c in range(CHAIN):
+            linked = linked + hashes[chain + c] * weight[c]
+        row, value = np.concatenate((row, of[chain])), np.concatenate((value, linked))
+    # texts without any: all their words in order
     none = np.flatnonzero(np.bincount(row, minlength=len(column)) == 0)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashes + mix(np.arange(len(hashes), dtype=np.uint64) - np.repeat(rows[:-1], np.diff(rows)).astype(np.uint64))), dtype=np.uint64)))
     whole = sums[rows[none + 1]] - sums[rows[none]] + weight[CHAIN + 1] * np.diff(rows)[none].astype(np.uint64)
@@ -135,16 +192,16 @@ def _edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut] if cut else text
 
 
-def compared(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatch:
+def compared(ids: list, texts: list[str], following: list[str], lists: tuple[np.ndarray, np.ndarray] | None = None) -> pa.RecordBatch:
     edited = [_edited(t, f) for t, f in zip(texts, following, strict=True)]
-    own, other, after = (signatures(pa.array(x, pa.large_string())) for x in (texts, edited, following))
+    own, other, after = (signatures(pa.array(x, pa.large_string()), lists) for x in (texts, edited, following))
     return pa.RecordBatch.from_arrays(
         [pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
          pa.array(text_of(*own), pa.string()), pa.array(text_of(*other), pa.string()), pa.array(likeness(*own, *other), pa.float64()), pa.array(likeness(*own, *after), pa.float64())],
         names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
 
-def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _inside(batches: Iterator[pa.RecordBatch], lists: tuple[np.ndarray, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
     """Every document but the last of each range, with the one after it."""
     held = None
     for batch in batches:
@@ -154,7 +211,7 @@ def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ids, texts, parts = [held[0], *ids], [held[1], *texts], [held[2], *parts]
             go = [i for i in range(len(ids) - 1) if parts[i] == parts[i + 1]]
             if go:
-                yield compared([ids[i] for i in go], [texts[i] for i in go], [texts[i + 1] for i in go])
+                yield compared([ids[i] for i in go], [texts[i] for i in go], [texts[i + 1] for i in go], lists)
             held = (ids[-1], texts[-1], parts[-1])
 
 
@@ -181,13 +238,13 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist([held], kind)
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _finish(batches: Iterator[pa.RecordBatch], lists: tuple[np.ndarray, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield compared(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "following")))
+        yield compared(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "following")), lists)
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """Every document against its edited text and the document of the next doc_id (the last: the first)."""
+def neighbours(docs: DataFrame, lists: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """Every document against its edited text and the document of the next doc_id (the last: the first); `lists` as from `common_words`."""
     spark = prepare(docs.sparkSession)
     texts = fit(docs, doc_id="long", text="string").withColumn("text", F.coalesce("text", F.lit("")))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -206,4 +263,4 @@ def neighbours(docs: DataFrame) -> DataFrame:
     before = first.select("part", F.coalesce(F.lag("part").over(order), F.max("part").over(Window.partitionBy())).alias("of"))
     first = first.join(before, "part").select(F.col("of").alias("part"), "following")
     pairs = ends.filter("last").join(first, "part").select("doc_id", "text", "following")
-    return dealt.mapInArrow(_inside, FOUND).unionByName(pairs.mapInArrow(_finish, FOUND))
+    return dealt.mapInArrow(partial(_inside, lists=lists), FOUND).unionByName(pairs.mapInArrow(partial(_finish, lists=lists), FOUND))

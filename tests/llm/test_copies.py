@@ -202,6 +202,21 @@ def test_neighbours(docs, odd, none, texts):
     assert short and spotsigs.neighbours(none).count() == 0
 
 
+def test_fingerprints_of_any_language(spark, odd, none, tmp_path):
+    from tablehouse.llm import queries
+
+    rng = random.Random(4)
+    line = lambda n: " ".join(f"s{rng.randrange(5000)} {rng.choice(('ja', 'oraz'))}" for _ in range(n))
+    rows = [(i, line(40), "pl", "s", 0) for i in range(60)] + [(100 + i, " ".join(f"menu{rng.randrange(10**6)}" for _ in range(24)), None, "m", 0) for i in range(5)]
+    spark.createDataFrame(rows, odd.schema.names[:5]).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.op9_spotsigs(spark, str(tmp_path)).collect()}
+    assert len(found) == 65 and all(0.3 < r.near_edited < 1 for r in found.values())
+    assert all(r.near_next < 0.1 for r in found.values())
+    lists = spotsigs.common_words(spark.createDataFrame(rows, odd.schema.names[:5]))
+    assert len(lists[0]) - len(set(spotsigs.ANCHORS)) == 2
+    assert spotsigs.neighbours(odd, spotsigs.common_words(odd)).count() == odd.count() and spotsigs.neighbours(none, spotsigs.common_words(none)).count() == 0
+
+
 def test_equal_texts_equal_fingerprints(docs, texts):
     prints = {r.doc_id: r.fingerprint for r in spotsigs.fingerprints(docs).collect()}
     by = defaultdict(set)
