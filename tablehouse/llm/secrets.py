@@ -345,12 +345,13 @@ def secrets(docs: DataFrame, model: RandomForestClassificationModel, least: floa
 def redact(docs: DataFrame, model: RandomForestClassificationModel) -> DataFrame:
     """`docs`, all columns, with every secret replaced by `MASK` and n_chars, if there, adjusted.
 
-    A finding is applied where its value stands at its place, so rows that share a doc_id but
-    not their text don't change each other.
+    Findings are grouped by doc_id and hash of the text, so a group holds those of one text,
+    however many rows share an id.  Null texts stay as they are.
     """
-    span, own_id, own_spans = F.struct("first", "last", "value"), spare(docs, "found_id"), spare(docs, "found_spans")
-    found = secrets(docs, model).groupBy(F.col("doc_id").alias(own_id)).agg(F.collect_set(span).alias(own_spans))
-    both = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)), "left").drop(own_id)
+    span, own_id, own_hash, own_spans = F.struct("first", "last", "value"), spare(docs, "found_id"), spare(docs, "found_hash"), spare(docs, "found_spans")
+    found = _findings(docs, model, 0.5).groupBy(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).agg(F.collect_set(span).alias(own_spans))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(docs["text"].cast("string")) == F.col(own_hash)) & docs["text"].isNotNull()
+    both = docs.join(found, same, "left").drop(own_id, own_hash)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -362,7 +363,7 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel) -> DataFrame
                 size = columns["n_chars"].to_pylist() if "n_chars" in columns else None
                 for i in hit:
                     for s in sorted(spans[i].as_py(), key=lambda s: -s["first"]):
-                        if texts[i] is not None and texts[i][s["first"] : s["last"] + 1] == s["value"]:
+                        if texts[i][s["first"] : s["last"] + 1] == s["value"]:
                             texts[i] = texts[i][: s["first"]] + MASK + texts[i][s["last"] + 1 :]
                     if size:
                         size[i] = len(texts[i])

@@ -231,6 +231,14 @@ def test_redact(odd, none, forest):
     assert secrets.redact(none, forest).count() == 0 and secrets.secrets(none, forest).count() == 0
 
 
+def test_redact_shared_ids(spark, forest):
+    key = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    rows = [(None, f'say token = "{key(i)}" now', 60) for i in range(30)] + [(None, None, None), (5, None, 7), (5, f'token = "{key(5)}"', 50), (5, f'token = "{key(5)}"', 50)]
+    out = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), forest).collect()
+    want = [(None, 'say token = "[SECRET]" now', 26)] * 30 + [(None, None, None), (5, None, 7)] + [(5, 'token = "[SECRET]"', 18)] * 2
+    assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
+
+
 # ---- all ------------------------------------------------------------------------------------
 
 
