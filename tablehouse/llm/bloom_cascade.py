@@ -9,8 +9,8 @@ joined with the rules.
 
 The levels reach the tasks as literals.  Their size follows the listed keys (the levels from
 the second on have as few keys as the false-positive rate of the first allows) and is
-checked: beyond `MAX_BITS` the list is split by key hash into that many cascades, each built
-and applied in a pass of its own.
+checked: a level beyond `MAX_BITS` raises ValueError.  The caller then gives `parts`, by which
+the list is split by key hash into that many cascades; the query leaves it at 1.
 
 Defined cases: a null url or one without `://` has empty host and path and fits no rule; an
 empty table gives an empty result; repeated rows give repeated rows; of two rules that fit,
