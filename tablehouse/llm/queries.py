@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablehouse.llm import bloom_cascade, byte_bpe, language, order_minhash, secrets, spotsigs, substrings, tiling, warc, wavelet
+from tablehouse.llm import (
+    bloom_cascade, byte_bpe, language, order_minhash, prefix_trie, quality, secrets, spotsigs, substrings, tiling, warc, wavelet, whitening)
 from tablehouse.llm.common import fit, prepare
 
 
@@ -62,12 +63,25 @@ def op10_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("tiles")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    ops = (op1_wavelet, op2_order_minhash, op3_warc, op4_bloom_cascade, op5_byte_bpe, op6_language, op7_substrings, op8_secrets, op9_spotsigs, op10_tiling)
+    ops = (op1_wavelet, op2_order_minhash, op3_warc, op4_bloom_cascade, op5_byte_bpe, op6_language, op7_substrings, op8_secrets, op9_spotsigs, op10_tiling,
+           op11_whitening, op12_quality, op13_prefix_trie)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op3_warc": warc.SQL, "op4_bloom_cascade": bloom_cascade.SQL, "op7_substrings": substrings.SQL}
+    return {"op3_warc": warc.SQL, "op4_bloom_cascade": bloom_cascade.SQL, "op7_substrings": substrings.SQL, "op13_prefix_trie": prefix_trie.SQL}
