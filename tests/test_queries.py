@@ -4,9 +4,11 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from tablehouse.oracle import oracle_texts
+from tablehouse.queries import all_queries
 
-SQLS = entry.oracle_sql()
-QUERIES = entry.queries()
+SQLS = oracle_texts()
+QUERIES = all_queries()
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in SQLS])
@@ -26,7 +28,7 @@ def test_entry(spark):
 
 
 def test_sql_only_for_queries():
-    assert set(SQLS) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_row_order_does_not_matter(spark, sf_dir):
