@@ -208,6 +208,11 @@ select concat('e', cast(event_id as string)) as event_id, #epoch_ms# as ts_ms,
     ',"score":', cast(cast(round(value*100) as bigint) as string), '}') end as message, copy
 from @events #two#
 where copy = 0 or event_id % 7 = 0""",
+    # the same lines as six polls deliver them: every fiftieth line comes one poll late
+    "v_polled": """
+select event_id, ts_ms, message, copy,
+  least(5, cast(floor(num * 6 / total) as int) + case when num % 50 = 7 then 1 else 0 end) as poll
+from (select l.*, cast(substr(event_id, 2, 20) as bigint) as num, (select count(*) from @events) as total from @v_log_line l) x""",
 }
 
 def _deal(size: int, low: int) -> str:
@@ -275,8 +280,9 @@ def with_views(sql: str) -> str:
     if not done:
         return body
     head = ",\n".join(done.values())
-    if body.lower().startswith("with "):
-        return f"with {head},\n{body[5:]}"
+    for start in ("with recursive ", "with "):
+        if body.lower().startswith(start):
+            return f"{start}{head},\n{body[len(start):]}"
     return f"with {head}\n{body}"
 
 

@@ -1,11 +1,16 @@
-"""Running computations per key that stay spread when one key holds much of the data.
+"""Running computations per key, spread however much of the data one key holds.
 
-Usual keys take one window.  If a counting job finds keys with more rows than `limit`,
-those are cut into chunks of the order column: windows run per chunk, and a small table of
-chunk summaries, scanned in order, says what each chunk inherits from those before or
-after it.
+Every key is cut at some of its own positions in the order column: a row whose (key, position)
+hashes to 0 modulo `rows` is a cut, so a piece has about `rows` positions whatever their values
+are, and usual keys have no cut at all.  Windows run per (key, piece) after one exchange; for
+keys with cuts a small table of what each piece holds says what a piece inherits from those before
+or after it.  The plan is the same for all keys and sizes and no job runs while it is built.
 
-The order column is a number; rows of a key that share its value stay in one chunk.
+The cuts are broadcast: of more than `MOST_CUTS` only those of least hash count, so the table is
+bounded by construction and pieces grow beyond `rows` only then (4 million rows for 10^12).
+
+The order column is a number; rows of a key that share its value stay in one piece.  Null keys
+are a group that is not cut.
 """
 
 from __future__ import annotations
@@ -13,117 +18,104 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablehouse.operators.skew import hot_keys
+ROWS = 1 << 20
+MOST_CUTS = 1 << 18
 
-LIMIT = 2_000_000
-CHUNKS = 512
+BEFORE = (Window.unboundedPreceding, -1)
+PAST = (Window.unboundedPreceding, Window.currentRow)
+WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def split_hot(df: DataFrame, keys: list[str], order: str, limit: int = LIMIT) -> tuple[DataFrame, bool]:
-    """Adds `_c`, the chunk a row belongs to (null for a usual key); whether there are any.
+def find_cuts(df: DataFrame, keys: list[str], order: str, rows: int = ROWS) -> DataFrame:
+    """The keys with cuts and these, ascending, as `_cuts`."""
+    mark = F.xxhash64(*keys, order)
+    found = df.where(F.col(order).isNotNull() & (F.pmod(mark, F.lit(rows)) == 0)).select(*keys, order).distinct()
+    kept = found.orderBy(F.pmod(F.floor(mark / rows), F.lit(1 << 40)), mark).limit(MOST_CUTS)
+    return kept.groupBy(*keys).agg(F.sort_array(F.collect_list(order)).alias("_cuts"))
 
-    A chunk holds an equal share of the key's rows, whatever the values of the order column:
-    its borders are quantiles, at most `CHUNKS` of them.
-    """
-    hot = hot_keys(df, keys, limit)
-    if hot is None:
-        return df.withColumn("_c", F.lit(None).cast("bigint")), False
-    marks = F.percentile_approx(order, [i / CHUNKS for i in range(1, CHUNKS)], 10 * CHUNKS)
-    borders = df.join(hot, keys, "left_semi").groupBy(*keys).agg(marks.alias("_all"))
-    # every so many of the quantiles, so that a chunk has about `limit` rows
-    step = F.greatest(F.lit(1), F.floor(F.lit(CHUNKS) * limit / F.col("_n"))).cast("int")
-    borders = borders.join(hot, keys).select(*keys, F.filter("_all", lambda x, i: (i + 1) % step == 0).alias("_borders"))
-    tagged = df.join(borders, keys, "left")
-    chunk = F.size(F.filter("_borders", lambda b: b < F.col(order))).cast("bigint")
-    return tagged.withColumn("_c", F.when(F.col("_borders").isNotNull(), chunk)).drop("_borders").repartition(*keys, "_c"), True
 
+def piece(order: str) -> Column:
+    """How many of `_cuts` lie below a row's position, by halving steps; 0 without cuts."""
+    def step(at: Column, width: Column) -> Column:
+        return F.when(F.get("_cuts", at + width - 1) < F.col(order), at + width).otherwise(at)
+
+    steps = F.array(*[F.lit(1 << i) for i in range(MOST_CUTS.bit_length() - 1, -1, -1)])
+    return F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), step))
 
-BEFORE = (Window.unboundedPreceding, -1)
-PAST = (Window.unboundedPreceding, Window.currentRow)
-WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
 
+def cut(df: DataFrame, cuts: DataFrame, keys: list[str], order: str, how: str = "left") -> DataFrame:
+    """df with `_c`, the piece a row lies in; how='inner' keeps the keys with cuts only."""
+    return df.join(F.broadcast(cuts), keys, how).withColumn("_c", piece(order)).drop("_cuts")
 
-def _inherit(df: DataFrame, any_hot: bool, keys: list[str], aggs: list[Column],
-             carried: dict[str, Column]) -> DataFrame:
-    """df with, per hot chunk, what the chunk summaries hand over; nulls for usual keys."""
-    if not any_hot:
-        return df.withColumns({n: F.lit(None).cast("void") for n in carried}) if carried else df
-    summary = df.where("_c is not null").groupBy(*keys, "_c").agg(*aggs)
+
+def _inherit(df: DataFrame, cuts: DataFrame, keys: list[str], order: str, marked: DataFrame, aggs: list[Column], carried: dict[str, Column]) -> DataFrame:
+    """df, dealt by (key, piece), with what pieces of cut keys inherit; nulls for the others.
+
+    `marked` is what the pieces are summed up from.  There are two pieces per cut at most.
+    """
+    summary = cut(marked, cuts, keys, order, "inner").groupBy(*keys, "_c").agg(*aggs)
     carry = summary.select(*keys, "_c", *[c.alias(n) for n, c in carried.items()])
-    return df.join(carry, [*keys, "_c"], "left")
+    return cut(df, cuts, keys, order).repartition(*keys, "_c").join(F.broadcast(carry), [*keys, "_c"], "left")
 
 
-def fill(df: DataFrame, keys: list[str], order: str, cols: list[str], back: str | None = None,
-         limit: int = LIMIT) -> DataFrame:
+def fill(df: DataFrame, keys: list[str], order: str, cols: dict[str, str | None], rows: int = ROWS) -> DataFrame:
     """Fill nulls with the last earlier value; what is left with a later one.
 
-    back: None, 'first' (the nearest later value) or 'last' (the key's last value).
+    cols: per column None (forward only), 'first' (the nearest later value) or 'last' (the key's last).
 
     A row without an earlier value has all of the key's values after it, so the nearest
     later value is the key's first and the last later value is the key's last: one pass
     over the whole partition, where a frame from the current row on would take n passes.
     """
-    if back not in (None, "first", "last"):
-        raise ValueError("back is None, 'first' or 'last'")
-    split, any_hot = split_hot(df, keys, order, limit)
-    pick = F.first if back == "first" else F.last
-    by_chunk = Window.partitionBy(*keys).orderBy("_c")
-    aggs, carried = [], {}
-    for c in cols:
-        known = F.when(F.col(c).isNotNull(), F.col(order))
-        aggs += [F.max_by(c, known).alias(f"_last_{c}"), F.min_by(c, known).alias(f"_first_{c}")]
-        carried[f"_p_{c}"] = F.last(f"_last_{c}", True).over(by_chunk.rowsBetween(*BEFORE))
-        if back:
-            carried[f"_a_{c}"] = pick(f"_{back}_{c}", True).over(by_chunk.rowsBetween(*WHOLE))
-    joined = _inherit(split, any_hot, keys, aggs, carried)
+    if not set(cols.values()) <= {None, "first", "last"}:
+        raise ValueError("the way back is None, 'first' or 'last'")
+    by_piece = Window.partitionBy(*keys).orderBy("_c")
     local = Window.partitionBy(*keys, "_c").orderBy(order)
-
-    def value(c: str) -> Column:
+    aggs, carried, value = [], {}, {}
+    for c, back in cols.items():
+        known = F.when(F.col(c).isNotNull(), F.col(order))
+        aggs.append(F.max_by(c, known).alias(f"_last_{c}"))
+        carried[f"_p_{c}"] = F.last(f"_last_{c}", True).over(by_piece.rowsBetween(*BEFORE))
         picks = [F.last(c, True).over(local.rowsBetween(*PAST)), F.col(f"_p_{c}")]
         if back:
+            pick = F.first if back == "first" else F.last
+            if back == "first":
+                aggs.append(F.min_by(c, known).alias(f"_first_{c}"))
+            carried[f"_a_{c}"] = pick(f"_{back}_{c}", True).over(by_piece.rowsBetween(*WHOLE))
             picks += [F.col(f"_a_{c}"), pick(c, True).over(local.rowsBetween(*WHOLE))]
-        return F.coalesce(*picks).alias(c)
-
-    return joined.select(*[value(c) if c in cols else F.col(c) for c in df.columns])
+        value[c] = F.coalesce(*picks).alias(c)
+    joined = _inherit(df, find_cuts(df, keys, order, rows), keys, order, df, aggs, carried)
+    return joined.select(*[value.get(c, F.col(c)) for c in df.columns])
 
 
-def renumber(df: DataFrame, keys: list[str], order: str, ties: list[Column], name: str = "rn",
-             limit: int = LIMIT) -> DataFrame:
+def renumber(df: DataFrame, keys: list[str], order: str, ties: list[Column], name: str = "rn", rows: int = ROWS) -> DataFrame:
     """Row number per key by the order column, then by `ties`."""
-    split, any_hot = split_hot(df, keys, order, limit)
-    by_chunk = Window.partitionBy(*keys).orderBy("_c")
-    joined = _inherit(split, any_hot, keys, [F.count(F.lit(1)).alias("_rows")],
-                      {"_p": F.sum("_rows").over(by_chunk.rowsBetween(*BEFORE))})
+    before = F.sum("_rows").over(Window.partitionBy(*keys).orderBy("_c").rowsBetween(*BEFORE))
+    joined = _inherit(df, find_cuts(df, keys, order, rows), keys, order, df, [F.count(F.lit(1)).alias("_rows")], {"_p": before})
     local = Window.partitionBy(*keys, "_c").orderBy(order, *ties)
-    return joined.select(
-        *df.columns, (F.row_number().over(local) + F.coalesce("_p", F.lit(0))).cast("bigint").alias(name))
+    return joined.select(*df.columns, (F.row_number().over(local) + F.coalesce("_p", F.lit(0))).cast("bigint").alias(name))
 
 
-def running_distinct(df: DataFrame, keys: list[str], order: str, col: str, name: str = "n_distinct",
-                     limit: int = LIMIT) -> DataFrame:
+def running_distinct(df: DataFrame, keys: list[str], order: str, col: str, name: str = "n_distinct", rows: int = ROWS) -> DataFrame:
     """How many different values of a column the key has shown up to and with this row.
 
-    Nulls do not count.  The first row of each value is marked and the marks are summed;
-    rows of equal position agree (range frame).
+    Nulls do not count; rows of equal position agree (range frame).  The first row of each value in a
+    piece is marked, those that an earlier piece had are unmarked, and the marks are summed.
     """
-    split, any_hot = split_hot(df, keys, order, limit)
-    if any_hot:
-        # one value of a hot key may be as hot: find first positions map-side and join them
-        firsts = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.min(order).alias(order)).groupBy(
-            *keys, order).agg(F.count(F.lit(1)).alias("_new"))
-        first_here = Window.partitionBy(*keys, "_c", order).orderBy(F.lit(0))
-        marked = split.join(firsts, [*keys, order], "left").withColumn(
-            "_new", F.when(F.row_number().over(first_here) == 1, F.coalesce("_new", F.lit(0))).otherwise(0))
-    else:
-        # spread by key once: both windows then only sort
-        of_value = Window.partitionBy(*keys, col).orderBy(order)
-        new = F.col(col).isNotNull() & (F.row_number().over(of_value) == 1)
-        marked = split.repartition(*keys).withColumn("_new", new.cast("int"))
-    by_chunk = Window.partitionBy(*keys).orderBy("_c")
-    joined = _inherit(marked, any_hot, keys, [F.sum("_new").alias("_sum")],
-                      {"_p": F.sum("_sum").over(by_chunk.rowsBetween(*BEFORE))})
+    cuts = find_cuts(df, keys, order, rows)
+    values = cut(df.where(F.col(col).isNotNull()), cuts, keys, order, "inner").select(*keys, "_c", col).distinct()
+    earlier = F.row_number().over(Window.partitionBy(*keys, col).orderBy("_c"))
+    turns = values.withColumn("_turn", earlier)
+    fresh = turns.groupBy(*keys, "_c").agg(F.count_if(F.col("_turn") == 1).alias("_fresh"))
+    before = F.sum("_fresh").over(Window.partitionBy(*keys).orderBy("_c").rowsBetween(*BEFORE))
+    carry = fresh.select(*keys, "_c", before.alias("_p"))
+    again = turns.where("_turn > 1").select(*keys, "_c", col, F.lit(True).alias("_again"))
+    dealt = cut(df, cuts, keys, order).repartition(*keys, "_c")
+    joined = dealt.join(F.broadcast(carry), [*keys, "_c"], "left").join(again, [*keys, "_c", col], "left")
+    first = F.row_number().over(Window.partitionBy(*keys, "_c", col).orderBy(order)) == 1
+    new = F.col(col).isNotNull() & F.col("_again").isNull() & first
     local = Window.partitionBy(*keys, "_c").orderBy(order)
-    return joined.select(
+    return joined.withColumn("_new", new.cast("int")).select(
         *df.columns, (F.sum("_new").over(local) + F.coalesce("_p", F.lit(0))).cast("bigint").alias(name))
 
 

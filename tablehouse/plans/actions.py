@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from tablehouse.functions import rules
 from tablehouse.functions.exprs import HAND, num, number_list, pick_col
 from tablehouse.operators import scans
-from tablehouse.operators.skew import hot_keys
 from tablehouse.plans.jsonlog import messages
-from tablehouse.session import scratch
 
 # fixed values: fields of a message payload
 PAYLOAD = """minBetScore string, maxBetScore string, minAddScore string, seatBetState string,
@@ -19,6 +17,7 @@ PAYLOAD = """minBetScore string, maxBetScore string, minAddScore string, seatBet
  seatCurBets string, smallBlindSeat string, bigBlindSeat string"""
 
 ORDER = "json_index"
+PIECE = [*HAND, "_c"]
 
 
 def action_messages(dwd: DataFrame) -> DataFrame:
@@ -29,11 +28,11 @@ def action_messages(dwd: DataFrame) -> DataFrame:
     )
 
 
-def events(rows: DataFrame, by_hand: bool = True) -> DataFrame:
+def events(rows: DataFrame) -> DataFrame:
     """Typed, de-duplicated messages.  Lists may come as JSON lists or as text.
 
-    by_hand spreads the rows by hand once; the de-duplication, the seat join and all windows
-    below reuse that distribution.
+    The rows are spread by hand and piece of the hand once; the de-duplication, the seat join
+    and all windows below reuse that distribution.
     """
     p = F.col("p")
     name = F.col("name")
@@ -44,9 +43,9 @@ def events(rows: DataFrame, by_hand: bool = True) -> DataFrame:
     )
     board = F.when(name == "S2CStateDealCard", F.regexp_replace(p["commonCards"], r"[\[\]]", ""))
     typed = (
-        rows.select(*HAND, ORDER, "name", F.from_json("data", PAYLOAD).alias("p"))
+        rows.select(*PIECE, ORDER, "name", F.from_json("data", PAYLOAD).alias("p"))
         .select(
-            *HAND, F.col(ORDER).cast("int").alias(ORDER), name.alias("action"),
+            *PIECE, ORDER, name.alias("action"),
             seat.alias("event_seat"), board.alias("board"),
             *[num(p[c], "int").alias(c.lower()) for c in
               ("minBetScore", "maxBetScore", "minAddScore", "seatBetState", "betScore",
@@ -55,7 +54,7 @@ def events(rows: DataFrame, by_hand: bool = True) -> DataFrame:
             p["insureWinLos"].alias("insurewinlos"), p["seatCurBets"].alias("seatcurbets"),
         )
     )
-    return (typed.repartition(*HAND) if by_hand else typed).dropDuplicates()
+    return typed.repartition(*PIECE).dropDuplicates()
 
 
 def _at_seat(listed: Column) -> Column:
@@ -63,19 +62,22 @@ def _at_seat(listed: Column) -> Column:
     return num(F.trim(F.try_element_at(number_list(listed), num("seat", "int"))), "int")
 
 
-def fan_out(ev: DataFrame, seats: DataFrame, salts: int = 0) -> DataFrame:
+def hearers(seats: DataFrame, score: DataFrame, cuts: DataFrame, how: str = "left") -> DataFrame:
+    """Who sits in a hand and what they won there, once per piece of the hand."""
+    won = score.select(*HAND, F.col("nplayerid").cast("string").alias("playerid"), F.struct("gameresult").alias("won")).repartition(*HAND)
+    won = won.groupBy(*HAND, "playerid").agg(F.collect_set("won").alias("results"))
+    s = seats.select(*HAND, "createdate", "gametype", "playerid", "seat").dropDuplicates().join(won, [*HAND, "playerid"], "left")
+    pieces = F.sequence(F.lit(0), F.coalesce(F.size("_cuts"), F.lit(0)))
+    return s.join(F.broadcast(cuts), HAND, how).withColumn("_c", F.explode(pieces)).drop("_cuts")
+
+
+def fan_out(ev: DataFrame, seats: DataFrame) -> DataFrame:
     """Seat messages to their seat's player, table messages to every seat of the hand.
 
-    One join on the hand serves both; the seat test is a residual condition.  salts spreads
-    a hand's messages over that many join keys and copies its seats to each.
+    One join on the hand's piece serves both; the seat test is a residual condition.
     """
     of_seat = F.col("action").isin(*rules.SEAT_ACTIONS)
-    s = seats.select(*HAND, "createdate", "gametype", "playerid", "seat").dropDuplicates()
-    if salts:
-        ev = ev.withColumn("_s", F.col(ORDER) % salts).repartition(*HAND, "_s")
-        s = s.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).repartition(*HAND, "_s")
-    joined = ev.join(s, [*HAND, "_s"] if salts else HAND).drop("_s")
-    return joined.where(~of_seat | (F.col("event_seat") == F.col("seat"))).withColumn(
+    return ev.join(seats, PIECE).where(~of_seat | (F.col("event_seat") == F.col("seat"))).withColumn(
         "board", F.when(~of_seat, F.col("board")))
 
 
@@ -104,86 +106,104 @@ def _prepare(rows: DataFrame) -> DataFrame:
 BOTH_WAYS = ("minbetscore", "maxbetscore", "minaddscore", "won")
 
 
-def _fill_hands(base: DataFrame, fill: str) -> DataFrame:
-    """Fills, numbering and totals by windows that all share the distribution by hand."""
-    player = Window.partitionBy(*HAND, "playerid").orderBy(ORDER)
-    past = player.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = player.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+def _carry(hot: DataFrame, fill: str) -> DataFrame:
+    """Per piece of a cut hand, player and seat: what the other pieces hand over.
+
+    `hot` holds the prepared rows of the cut hands, which are reduced to a row per piece, player and
+    seat once; all else are windows over those.  Values (c_) come from the pieces before, else, where
+    gaps are filled backwards, from the whole hand; counts and sums from the pieces before or from all.
+    """
+    seat, seat_piece = [*HAND, "playerid", "seat"], [*PIECE, "playerid", "seat"]
+    columns = (*BOTH_WAYS, "poolscore", "board")
+    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(ORDER).alias("at"), F.col(c).alias("v"))) for c in columns}
+    bought = F.when(F.col("action") == "S2CBuyInsure", F.col(ORDER))
+    parts = hot.groupBy(*seat_piece).agg(
+        *[f(known[c]).alias(f"{n}_{c}") for c in columns for f, n in ((F.max, "last"), (F.min, "first"))],
+        F.count(F.lit(1)).alias("n"), F.sum("blind").alias("blind"), F.sum("bought").alias("paid"),
+        F.max(bought).alias("bought_at"), F.collect_set("board").alias("boards"))
+
+    # a board is new where no earlier piece of the player's hand has dealt it
+    first_seen = F.min("_c").over(Window.partitionBy(*seat, "one"))
+    dealt = parts.withColumn("one", F.explode_outer("boards")).withColumn("old", F.col("_c") > first_seen)
+    rest = [c for c in parts.columns if c not in (*seat_piece, "boards")]
+    parts = dealt.groupBy(*seat_piece).agg(
+        *[F.first(c).alias(c) for c in rest], F.collect_set(F.when(F.col("old"), F.col("one"))).alias("old_boards"),
+        F.count_if(~F.col("old") & F.col("one").isNotNull()).alias("n_new"))
+
+    before = lambda by: Window.partitionBy(*by).orderBy("_c").rangeBetween(Window.unboundedPreceding, -1)
+    player, whole = [*HAND, "playerid"], Window.partitionBy(*HAND, "playerid")
+    parts = parts.withColumn("boards_before", F.coalesce(F.sum("n_new").over(before(seat)), F.lit(0))).withColumn(
+        "all_paid", F.sum("paid").over(Window.partitionBy(*seat)))
+    score = F.when(F.col("bought_at").isNotNull() & F.col("all_paid").isNotNull(), F.struct(F.col("bought_at").alias("at"), F.col("all_paid").alias("v")))
+    parts = parts.withColumn("last_score", score)
+    earlier = {c: F.max(f"last_{c}").over(before(player))["v"] for c in (*columns, "score")}
+    later = {c: (F.max if w == "last" else F.min)(f"{w}_{c}").over(whole)["v"] for c, w in (*((c, fill) for c in BOTH_WAYS), ("score", "last"))}
+    parts = parts.select(
+        *seat_piece, "boards_before", "all_paid", "n", "blind",
+        *[(F.coalesce(v, later[c]) if c in later else v).alias(f"c_{c}") for c, v in earlier.items()],
+        F.array_union("old_boards", F.array_compact(F.array(earlier["board"]))).alias("known_boards"))
+    return parts.select(
+        "*", F.coalesce(F.sum("n").over(before(HAND)), F.lit(0)).alias("rows_before"),
+        F.sum("blind").over(Window.partitionBy(*HAND)).alias("all_blinds"), F.lit(True).alias("is_cut")).drop("n", "blind")
+
+
+def _fill_hands(base: DataFrame, carry: DataFrame, fill: str) -> DataFrame:
+    """Fills, numbering and totals by windows that all share the distribution by piece."""
+    player = Window.partitionBy(*PIECE, "playerid").orderBy(ORDER)
+    past, whole = player.rowsBetween(*scans.PAST), player.rowsBetween(*scans.WHOLE)
+    base = base.join(carry, [*PIECE, "playerid", "seat"], "left")
 
     def forward(c) -> Column:
-        return F.last(c, ignorenulls=True).over(past)
+        return F.coalesce(F.last(c, ignorenulls=True).over(past), F.col(f"c_{c}"))
 
     def both_ways(c, mode: str = fill) -> Column:
         # where nothing comes before, all values come after: the first or last of the whole
-        # partition is the one a frame from here on would find, in one pass
+        # hand is the one a frame from here on would find, in one pass
         back = F.last if mode == "last" else F.first
         return F.coalesce(forward(c), back(c, ignorenulls=True).over(whole))
 
-    totals = Window.partitionBy(*HAND, "playerid", "seat")
+    seat = Window.partitionBy(*PIECE, "playerid", "seat")
     # a seat's insurance payments count on each of its insurance messages
-    paid = F.when(F.col("action") == "S2CBuyInsure", F.sum("bought").over(totals))
+    paid = F.when(F.col("action") == "S2CBuyInsure", F.when(F.col("is_cut"), F.col("all_paid")).otherwise(F.sum("bought").over(seat)))
     filled = base.withColumn("score", paid).select(
         "*", *[both_ways(c).alias(f"f_{c}") for c in BOTH_WAYS], both_ways("score", "last").alias("f_score"),
         forward("poolscore").alias("f_pool"), forward("board").alias("commoncard"),
     )
-    order = Window.partitionBy(*HAND).orderBy(ORDER, "rank", "seat_no")
-    boards = Window.partitionBy(*HAND, "playerid", "seat").orderBy(ORDER)
+    order = Window.partitionBy(*PIECE).orderBy(ORDER, "rank", "seat_no")
+    boards = F.collect_set("commoncard").over(seat.orderBy(ORDER))
+    distinct = F.when(F.col("is_cut"), F.col("boards_before") + F.size(F.array_except(boards, "known_boards"))).otherwise(F.size(boards))
     return filled.select(
-        "*", F.row_number().over(order).cast("bigint").alias("rn"),
-        F.sum("blind").over(Window.partitionBy(*HAND)).alias("blinds"),
-        F.size(F.collect_set("commoncard").over(boards)).alias("predealct"),
+        "*", (F.row_number().over(order) + F.coalesce("rows_before", F.lit(0))).cast("bigint").alias("rn"),
+        F.when(F.col("is_cut"), F.col("all_blinds")).otherwise(F.sum("blind").over(Window.partitionBy(*PIECE))).alias("blinds"),
+        distinct.cast("int").alias("predealct"),
     )
 
 
-def _fill_hot_hands(base: DataFrame, fill: str, limit: int) -> DataFrame:
-    """The same for hands too large for one task, by chunked scans and joined totals."""
-    table = scratch(base.sparkSession, "hot-hands")
-    base.write.parquet(table)
-    rows = base.sparkSession.read.parquet(table)
-    player = [*HAND, "playerid"]
-    rows = scans.total_over(rows, [*player, "seat"], F.col("bought"), "paid")
-    rows = scans.total_over(rows, HAND, F.col("blind"), "blinds")
-    rows = rows.withColumn("score", F.when(F.col("action") == "S2CBuyInsure", F.col("paid"))).withColumns({
-        **{f"f_{c}": F.col(c) for c in BOTH_WAYS}, "f_pool": F.col("poolscore"), "commoncard": F.col("board")})
-    rows = rows.withColumn("f_score", F.col("score"))
-    rows = scans.fill(rows, player, ORDER, [f"f_{c}" for c in BOTH_WAYS], fill, limit)
-    rows = scans.fill(rows, player, ORDER, ["f_score"], "last", limit)
-    rows = scans.fill(rows, player, ORDER, ["f_pool", "commoncard"], None, limit)
-    rows = scans.renumber(rows, HAND, ORDER, [F.col("rank"), F.col("seat_no")], "rn", limit)
-    rows = scans.running_distinct(rows, [*player, "seat"], ORDER, "commoncard", "predealct", limit)
-    return rows.drop("paid").withColumn("predealct", F.col("predealct").cast("int"))
-
-
 def player_action(dwd: DataFrame, seats: DataFrame, score: DataFrame, fill: str = "last",
-                  hand_limit: int = scans.LIMIT) -> DataFrame:
+                  rows: int = scans.ROWS) -> DataFrame:
     """Action detail, one row per hand, seat and message.
 
     fill: which later value fills leading gaps, 'last' (the hand's last) or 'first' (the
-    next one).  A hand with more than hand_limit messages, found by a counting job, goes
-    through chunked scans instead of windows.
+    next one).  Hands are cut into pieces of about `rows` messages, see `scans`; a hand of usual
+    size is one piece.
     """
     if fill not in ("last", "first"):
         raise ValueError("fill is 'last' or 'first'")
-    source = action_messages(dwd)
-    hot = hot_keys(source, HAND, hand_limit)
-    if hot is None:
-        numbered = _fill_hands(_prepare(fan_out(events(source), seats)), fill)
-    else:
-        keys = hot.select(*HAND)
-        usual, large = (source.join(keys, HAND, how) for how in ("left_anti", "left_semi"))
-        spread = _prepare(fan_out(events(large, by_hand=False), seats.join(keys, HAND, "left_semi"), salts=64))
-        numbered = _fill_hands(_prepare(fan_out(events(usual), seats)), fill).unionByName(
-            _fill_hot_hands(spread, fill, hand_limit))
+    source = action_messages(dwd).withColumn(ORDER, F.col(ORDER).cast("int"))
+    cuts = scans.find_cuts(source, HAND, ORDER, rows)
+
+    def prepared(how: str) -> DataFrame:
+        return _prepare(fan_out(events(scans.cut(source, cuts, HAND, ORDER, how)), hearers(seats, score, cuts, how)))
+
+    numbered = _fill_hands(prepared("left"), _carry(prepared("inner"), fill), fill)
     start = F.col("action") == "S2CStateGameStart"
-    result = score.select(*HAND, F.col("nplayerid").cast("string").alias("playerid"),
-                          "gameresult").repartition(*HAND).dropDuplicates()
     betscore = F.when(start, F.col("startbet")).otherwise(F.col("betscore"))
     pool = (
         F.when(F.col("is_small"), F.col("startbet")).when(F.col("is_big"), F.col("blinds"))
         .when(F.col("rn") == 1, betscore).otherwise(F.col("f_pool"))
     )
     insured = F.col("score") > 0
-    return numbered.join(result, [*HAND, "playerid"], "left").select(
+    return numbered.select("*", F.inline_outer("results")).select(
         "createdate", "sztoken", "nround", "playerid", "seat", F.col("rn").alias("json_index"),
         F.col("f_minbetscore").alias("minbetscore"), F.col("f_maxbetscore").alias("maxbetscore"),
         F.col("f_minaddscore").alias("minaddscore"), "action", "seatbetstate",

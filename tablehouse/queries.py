@@ -14,9 +14,11 @@ from tablehouse.operators import joins, scans
 from tablehouse.plans import actions, cards, catalog, evaluate, jsonlog, marts, results, risk, tags
 from tablehouse.session import scratch, tune
 from tablehouse.sources import io
+from tablehouse.streaming import buffer
 from tablehouse.streaming import ingest as stream
 
 SPAN = (FIRST_DT, LAST_DT)
+DAY, DAY_BEFORE, LATER = "2024-01-10", "2024-01-09", "2024-01-20"
 REGISTRY: dict[str, Callable[[Fixtures], DataFrame]] = {}
 
 
@@ -78,6 +80,23 @@ def player_action_first(fx):
     return actions.player_action(dwd, jsonlog.seat_info(dwd), fx.score, fill="first")
 
 
+def _hot_dwd(fx: Fixtures) -> DataFrame:
+    """The exploded log with every second hand's messages in one hand, whose seats are those of hand 0."""
+    hand = F.floor(F.col("id") / 2)
+    hot = hand % 2 == 0
+    rows = _dwd(fx).where(~hot | (hand == 0) | (F.col("name") != "SeatInfos"))
+    return rows.withColumns({
+        "json_index": F.when(hot, hand * 100 + F.col("json_index")).otherwise(F.col("json_index")),
+        **{c: F.when(hot, F.lit(v)).otherwise(F.col(c)) for c, v in (("sztoken", "hot"), ("nround", 0), ("dt", DAY))}})
+
+
+@query
+def player_action_hot(fx):
+    """The action detail where one hand holds most messages, cut into pieces of some 500."""
+    dwd = _hot_dwd(fx)
+    return actions.player_action(dwd, jsonlog.seat_info(dwd), fx.score, rows=500)
+
+
 @query
 def card_preset(fx):
     return jsonlog.card_preset(fx.deal_log)
@@ -98,10 +117,40 @@ def log_ingest(fx):
     spark = fx.spark
     source, table, rejects, state = (scratch(spark, n) for n in ("lines", "temp_tab", "rejects", "state"))
     fx.log_line.select("event_id", "ts_ms", "message").write.json(source)
-    stream.ingest(spark, source, table, rejects, state, delay="40 days").awaitTermination()
+    stream.ingest(spark, source, table, rejects, state).awaitTermination()
     return io.read_table(spark, table, "tstr string, dt string, batch string").select("tstr", "dt")
 
 
+FLUSH = {"max_rows": 4, "max_age_s": 7200, "delay_s": 600, "shards": 4}
+
+
+def _polled(fx: Fixtures) -> str:
+    """The lines of six polls through the buffered ingest, a batch per poll; the folder with its tables."""
+    def run() -> str:
+        spark, home = fx.spark, scratch(fx.spark, "buffered")
+        for poll in range(6):
+            fx.polled.where(F.col("poll") == poll).select("event_id", "ts_ms", "message").coalesce(1).write.mode("append").json(f"{home}/lines")
+        buffer.ingest_buffered(spark, f"{home}/lines", f"{home}/table", f"{home}/side", f"{home}/failed", f"{home}/state",
+                               files_per_batch=1, **FLUSH).awaitTermination()
+        return home
+
+    return fx.folder("buffered", run)
+
+
+@query
+def log_flush(fx):
+    """Lines as the buffered ingest wrote them, with the flush that took them; what is still open waits in the state."""
+    rows = io.read_table(fx.spark, f"{_polled(fx)}/table", buffer.OUT + ", batch string")
+    return rows.select("event_id", "tstr", "dt", "shard", "flush", "reason")
+
+
+@query
+def log_late(fx):
+    """Lines that came too late or twice, which the ingest sets aside."""
+    rows = io.read_table(fx.spark, f"{_polled(fx)}/side", buffer.OUT + ", batch string")
+    return rows.select("kind", "event_id", "dt", "shard", "ts_ms")
+
+
 # ---- windows -------------------------------------------------------------------------
 
 
@@ -113,9 +162,7 @@ def _gaps(fx: Fixtures) -> DataFrame:
 @query
 def fill_forward_back(fx):
     df = _gaps(fx).withColumns({"prev": F.col("x"), "near": F.col("x"), "far": F.col("x")})
-    df = scans.fill(df, ["user_id"], "event_id", ["prev"])
-    df = scans.fill(df, ["user_id"], "event_id", ["near"], back="first")
-    return scans.fill(df, ["user_id"], "event_id", ["far"], back="last").select(
+    return scans.fill(df, ["user_id"], "event_id", {"prev": None, "near": "first", "far": "last"}).select(
         "user_id", "event_id", "prev", "near", "far")
 
 
@@ -318,7 +365,6 @@ def partition_sizes(fx):
 
 # ---- readers and writers: each writes to a fresh folder and reads it back ---------------
 
-DAY, DAY_BEFORE, LATER = "2024-01-10", "2024-01-09", "2024-01-20"
 RESULT_COLS = ["sztoken", "nround", "nplayerid", "ngametype", "gameresult", "dt"]
 
 
@@ -490,7 +536,7 @@ def log_rejects(fx):
     source, table, rejects, state = (scratch(spark, n) for n in ("lines", "temp_tab", "rejects", "state"))
     cut = F.when(F.col("event_id").endswith("4"), F.rtrim("message", F.lit("}"))).otherwise(F.col("message"))
     fx.log_line.select("event_id", "ts_ms", cut.alias("message")).write.json(source)
-    stream.ingest(spark, source, table, rejects, state, delay="40 days").awaitTermination()
+    stream.ingest(spark, source, table, rejects, state).awaitTermination()
     return io.read_table(spark, rejects, "tstr string, dt string, batch string").select("tstr", "dt")
 
 

@@ -18,6 +18,8 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # inputs that are hash-partitioned on the hand may be joined on hand + seat as they are
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # rows of some hundred columns between windows still run as generated code
+    "spark.sql.codegen.maxFields": "300",
     # dt=2024-01-30 in a path stays text
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

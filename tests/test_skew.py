@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tablehouse.operators import scans
 from tablehouse.operators.joins import pairs
 from tablehouse.operators.percentile import exact_percentiles
-from tablehouse.operators.skew import hot_keys
 
 
 def hot(spark, n=300):
@@ -31,16 +30,18 @@ def brute(rows, back):
 
 def test_fill(spark):
     rows, df = hot(spark)
-    for back in (None, "first", "last"):
-        for limit in (10, 1_000):
-            got = {(r.k, r.o): r.x for r in scans.fill(df, ["k"], "o", ["x"], back, limit).collect()}
-            assert got == brute(rows, back), (back, limit)
+    df = df.withColumns({"near": F.col("x"), "far": F.col("x")})
+    want = {c: brute(rows, back) for c, back in (("x", None), ("near", "first"), ("far", "last"))}
+    for size in (10, 1_000):
+        got = scans.fill(df, ["k"], "o", {"x": None, "near": "first", "far": "last"}, size).collect()
+        for c in want:
+            assert {(r.k, r.o): r[c] for r in got} == want[c], (c, size)
 
 
 def test_fill_leading_gap(spark):
     df = spark.createDataFrame([(1, 0, None), (1, 1, "x"), (1, 2, None), (1, 3, "y")], "k int, o int, c string")
-    for limit in (1, 100):
-        get = lambda back: [r.c for r in scans.fill(df, ["k"], "o", ["c"], back, limit).orderBy("o").collect()]  # noqa: B023, E731
+    for size in (1, 100):  # 1: every row is a cut
+        get = lambda back: [r.c for r in scans.fill(df, ["k"], "o", {"c": back}, size).orderBy("o").collect()]  # noqa: B023, E731
         assert get("last") == ["y", "x", "x", "y"]
         assert get("first") == ["x", "x", "x", "y"]
 
@@ -51,19 +52,66 @@ def test_renumber(spark):
     for k in {r[0] for r in rows}:
         for i, r in enumerate(sorted((r for r in rows if r[0] == k), key=lambda r: r[1])):
             want[k, r[1]] = i + 1
-    for limit in (10, 1_000):
-        got = {(r.k, r.o): r.rn for r in scans.renumber(df, ["k"], "o", [F.col("v")], limit=limit).collect()}
+    for size in (10, 1_000):
+        got = {(r.k, r.o): r.rn for r in scans.renumber(df, ["k"], "o", [F.col("v")], rows=size).collect()}
         assert got == want
 
 
 def test_running_distinct(spark):
     rows, df = hot(spark)
     want = {(r[0], r[1]): len({s[3] for s in rows if s[0] == r[0] and s[1] <= r[1]}) for r in rows}
-    for limit in (10, 1_000):
-        got = {(r.k, r.o): r.n_distinct for r in scans.running_distinct(df, ["k"], "o", "v", limit=limit).collect()}
+    for size in (10, 1_000):
+        got = {(r.k, r.o): r.n_distinct for r in scans.running_distinct(df, ["k"], "o", "v", rows=size).collect()}
         assert got == want
 
 
+def test_null_keys_and_positions(spark):
+    df = spark.createDataFrame([(None, 1, None), (None, 2, 3.0), (1, None, 4.0), (1, 5, None)], "k int, o int, x double")
+    got = sorted(scans.fill(df, ["k"], "o", {"x": "first"}, 1).collect(), key=str)
+    assert got == sorted([(None, 1, 3.0), (None, 2, 3.0), (1, None, 4.0), (1, 5, 4.0)], key=str)
+    assert scans.renumber(df.filter("false"), ["k"], "o", []).count() == 0
+
+
+def test_pieces_are_even_despite_an_outlier(spark):
+    df = spark.range(20_000).select(F.lit(1).alias("k"), F.when(F.col("id") == 0, F.lit(10**12)).otherwise(F.col("id")).alias("o"))
+    pieces = scans.cut(df, scans.find_cuts(df, ["k"], "o", 500), ["k"], "o")
+    sizes = [r["count"] for r in pieces.groupBy("_c").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 5_000 and sum(sizes) == 20_000
+    order = pieces.groupBy("_c").agg(F.min("o").alias("a"), F.max("o").alias("b")).orderBy("_c").collect()
+    assert all(x.b < y.a for x, y in zip(order, order[1:]))
+
+
+def test_cuts_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(scans, "MOST_CUTS", 16)
+    rows, df = hot(spark)
+    cuts = scans.find_cuts(df, ["k"], "o", 1)
+    assert sum(len(r._cuts) for r in cuts.collect()) == 16
+    assert {(r.k, r.o): r.x for r in scans.fill(df, ["k"], "o", {"x": None}, 1).collect()} == brute(rows, None)
+
+
+def test_no_job_while_building(spark):
+    """A scan is a plan of one shape: nothing runs before its rows are asked for."""
+    _, df = hot(spark)
+    spark.sparkContext.setJobGroup("building", "building")
+    scans.fill(df, ["k"], "o", {"x": "last"}, 10)
+    scans.running_distinct(df, ["k"], "o", "v", rows=10)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_action_detail_of_cut_hands(spark, sf_dir):
+    """Hands cut into pieces of some three messages give the rows of whole hands."""
+    from tablehouse import queries
+    from tablehouse.fixtures import Fixtures
+    from tablehouse.plans import actions, jsonlog
+
+    fx = Fixtures(spark, sf_dir)
+    dwd = queries._dwd(fx)
+    for fill in ("last", "first"):
+        whole, pieces = (actions.player_action(dwd, jsonlog.seat_info(dwd), fx.score, fill, rows=n).collect() for n in (1 << 20, 3))
+        assert sorted(whole, key=str) == sorted(pieces, key=str)
+
+
 def test_pairs_of_a_hot_key(spark):
     rows = [(0, i) for i in range(100)] + [(1, 5), (1, 7), (1, 9), (2, 1)]
     df = spark.createDataFrame(rows, "k int, id int").withColumn("w", F.col("id") * 2)
@@ -89,19 +137,6 @@ def test_collusion_pairs_of_a_hot_hand(spark):
     assert {p: n for p, n in got.items() if n > 1} == {(0, 1): 20, (0, 2): 20, (1, 2): 20}
 
 
-def test_hot_keys_have_no_cap(spark):
-    df = spark.range(40_002).select((F.col("id") % 20_001).alias("k"))
-    assert hot_keys(df, ["k"], 1).count() == 20_001
-    assert hot_keys(df, ["k"], 2) is None
-
-
-def test_chunks_are_even_despite_an_outlier(spark):
-    df = spark.range(10_000).select(F.lit(1).alias("k"), F.when(F.col("id") == 0, F.lit(10**12)).otherwise(F.col("id")).alias("o"))
-    chunks, any_hot = scans.split_hot(df, ["k"], "o", 1000)
-    sizes = [r["count"] for r in chunks.groupBy("_c").count().collect()]
-    assert any_hot and len(sizes) >= 10 and max(sizes) <= 1100
-
-
 def test_percentiles(spark):
     import numpy as np
 
