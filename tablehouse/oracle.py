@@ -600,6 +600,18 @@ ORACLE["packed_equity"] = f"""with h as (select hand_id, player, {HAND_KEY} as h
 t as (select hand_key, b, round(min(rate) * 1000000) / 1000000 as rate from h where player < 2 group by all)
 select h.hand_id, h.player, h.hand_key, round(cast(coalesce(t.rate, 0.0) as double), 6) as rate from h left join t on h.hand_key = t.hand_key and h.b = t.b"""
 
+ORACLE["packed_files"] = f"""with h as (select hand_id, player, {HAND_KEY} as hand_key, list_sort(hole) as own, n, list_sort(board[1:n]) as b,
+    list_reduce(list_prepend(cast(0 as bigint), list_concat(hole, board[1:n])), lambda a, c: a * 3 + c) % 1000003 / 1000003.0 as rate
+  from (select *, [0, 3, 4, 5][hand_id % 4 + 1] as n from @v_cards) x),
+t as (select case when n > 0 then hand_key end as k, n, case when n > 0 then b else own end as word, round(min(rate) * 1000000) / 1000000 as rate from h where player < 2 group by all)
+select h.hand_id, h.player, h.hand_key, cast(h.n as int) as n_board, round(cast(coalesce(t.rate, 0.0) as double), 6) as rate
+from h left join t on h.n = t.n and (h.n = 0 or h.hand_key = t.k) and t.word = (case when h.n > 0 then h.b else h.own end)"""
+ORACLE["partition_sizes"] = """select 'result' as table_name, 'dt=' || dt as partition_spec, cast(ceil(count(*) / 20.0) as bigint) as files,
+  true as same_bytes, true as mb_fits from @v_result group by dt"""
+ORACLE["upsert_in_place"] = """with b as (select nplayerid, ngametype, dt > '2024-01-10' as later, max(gameresult) as best, max(dt) as dt from @v_result group by all)
+select nplayerid, ngametype, best, dt from b where later or not exists (select 1 from b c where c.later and c.nplayerid = b.nplayerid and c.ngametype = b.ngametype)"""
+ORACLE["suspects_pruned"] = ORACLE["suspect_players"]
+
 HEX = ("case when instr('dchs', substr(trim(x), 2, 1)) > 0 and instr('A23456789TJQK', substr(trim(x), 1, 1)) > 0 "
        "then cast(16 * instr('dchs', substr(trim(x), 2, 1)) + instr('A23456789TJQK', substr(trim(x), 1, 1)) as string) else '?' end")
 

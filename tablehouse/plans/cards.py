@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablehouse.functions import cards as C
 from tablehouse.functions.exprs import all_different
 from tablehouse.functions.preflop import DEFAULT_RATE, PREFLOP_RATES
+from tablehouse.sources import io
 
 
 def showdown(hands: DataFrame, keys: list[str], cards: str = "cards", deck: str = "holdem") -> DataFrame:
@@ -94,6 +97,27 @@ def packed_equity(hands: DataFrame, rates: DataFrame, n_cards: int, hole: str =
     )
 
 
+def packed_lookup(spark: SparkSession, hands: DataFrame, path: str, hole: str = "hole", board: str = "board") -> DataFrame:
+    """`packed_equity` from the packed files of a folder, by the size of the board: 0, 3, 4 or 5 cards.
+
+    Boards of n cards are looked up below `board<n>`; without a board the two own cards are the
+    word and any file of `board0` may hold it.  Other sizes have no table: rate 0.
+    """
+    out = []
+    for n in (3, 4, 5):
+        rates = io.read_packed(spark, f"{path}/board{n}", n).select("hand_key", "word")
+        out.append(packed_equity(hands.where(F.size(board) == n), rates, n, hole, board))
+    bare = io.read_packed(spark, f"{path}/board0", 2).select("word").withColumn("hand_key", F.lit("any"))
+    rows = hands.where(F.size(board) == 0).withColumn("_own", F.array_sort(hole))
+    own = C.pack(F.col("_own"), F.lit(0.0), 2)
+    table = bare.select(F.col("word").bitwiseAND(F.lit(~0x3FFFFF)).alias("_cards"), C.unpack(F.col("word"), 2)[1].alias("rate"))
+    found = rows.select(*hands.columns, hand_key(hole).alias("hand_key"), own.alias("_cards")).join(table, "_cards", "left").drop("_cards")
+    out.append(found.withColumn("rate", F.coalesce("rate", F.lit(0.0))))
+    other = hands.where(~F.size(board).isin(0, 3, 4, 5) | F.col(board).isNull())
+    out.append(other.select("*", hand_key(hole).alias("hand_key"), F.lit(0.0).alias("rate")))
+    return reduce(DataFrame.unionByName, out)
+
+
 # fixed values: card columns of the catalogue and the name each has after validation
 CATALOGUE = {"winner": "my_card", "opponent_1": "opponent_card", "opponent_2": "opponent_card_1",
              "community_cards": "board_cards"}

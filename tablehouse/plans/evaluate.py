@@ -96,7 +96,7 @@ def baseline_gate(report: DataFrame, baselines: list[str], threshold: float) ->
     return semi(against, passed, ["agent0"])
 
 
-def latency_report(requests: DataFrame, step: float = 0.001) -> DataFrame:
+def latency_report(requests: DataFrame) -> DataFrame:
     """Totals, rate and latency percentiles as (metric, value) rows."""
     span = (F.max(F.col("ts_ms") + F.col("latency_s") * 1000) - F.min("ts_ms")) / 1000.0
     totals = requests.agg(
@@ -107,7 +107,7 @@ def latency_report(requests: DataFrame, step: float = 0.001) -> DataFrame:
         F.lit("elapsed_s"), F.round("elapsed_s", 3),
         F.lit("rps"), F.round(ratio("total", "elapsed_s"), 6),
     )).alias("metric", "value"))
-    marks = exact_percentiles(requests, "latency_s", [0.5, 0.9, 0.99], step).select(
+    marks = exact_percentiles(requests, "latency_s", [0.5, 0.9, 0.99]).select(
         F.concat(F.lit("p"), F.round(F.col("p") * 100).cast("int").cast("string")).alias("metric"),
         F.round("value", 6).alias("value"))
     return metrics.unionByName(marks)

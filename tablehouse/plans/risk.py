@@ -81,6 +81,25 @@ def suspects(pair_rows: DataFrame, limits=SUSPECT_DEFAULT) -> DataFrame:
     return players_of(pair_rows.where(is_suspect(limits)))
 
 
+def able_rows(result: DataFrame, same: int) -> DataFrame:
+    """Rows of players with at least `same` hands on the day: nobody else can share so many with anyone."""
+    hands = result.select(*HAND, "nplayerid").distinct().groupBy("dt", "nplayerid").agg(F.count(F.lit(1)).alias("games"))
+    return result.join(hands.where(F.col("games") >= same), ["dt", "nplayerid"])
+
+
+def suspects_from_results(result: DataFrame, limits=SUSPECT_DEFAULT) -> DataFrame:
+    """`suspects` straight from the results: players who can't reach the bound of shared hands go before any pair is made."""
+    able = able_rows(result, limits[0])
+    games = able.select("dt", "nplayerid", "games").distinct()
+    rows = pair_stats(able).where((F.col("total_games") >= limits[0]) & (F.col("total_desk") >= limits[3]))
+    for side in (1, 2):
+        rows = rows.join(games.select("dt", F.col("nplayerid").alias(f"player{side}_id"), F.col("games").alias(f"games{side}")), ["dt", f"player{side}_id"])
+    same = F.col("total_games")
+    return suspects(rows.select(
+        "dt", "player1_id", "player2_id", same.alias("same_cnt"), ratio("win_games", "total_games", 4).alias("win_rate"), "total_desk",
+        ratio(same, "games1", 9).alias("player1_same_rate"), ratio(same, "games2", 9).alias("player2_same_rate")), limits)
+
+
 def shared_ip_players(pair_rows: DataFrame) -> DataFrame:
     return players_of(pair_rows.where("shared_ip_cnts is not null"))
 

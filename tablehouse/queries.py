@@ -13,7 +13,7 @@ from tablehouse.functions.exprs import all_different, is_subset
 from tablehouse.operators import joins, scans
 from tablehouse.plans import actions, cards, catalog, evaluate, jsonlog, marts, results, risk, tags
 from tablehouse.session import scratch, tune
-from tablehouse.sources import io
+from tablehouse.sources import files, io
 from tablehouse.streaming import buffer
 from tablehouse.streaming import ingest as stream
 
@@ -227,10 +227,16 @@ def _pair_table(fx: Fixtures) -> DataFrame:
 
 @query
 def suspect_players(fx):
-    """Looser limits than the default, which generated data never reaches."""
+    """Looser limits than the default."""
     return risk.suspects(_pair_table(fx), (2, 0.5, 0.1, 1))
 
 
+@query
+def suspects_pruned(fx):
+    """The same players straight from the results, without those who can't be suspects."""
+    return risk.suspects_from_results(fx.result, (2, 0.5, 0.1, 1))
+
+
 @query
 def score_extremes(fx):
     scores = fx.sql("select nplayerid, ngametype, cast(floor(sum(gameresult) / 200000) as double) as score from @v_result "
@@ -357,10 +363,18 @@ def table_profile(fx):
 
 @query
 def partition_sizes(fx):
+    """Files and bytes per partition; the bytes are held against those the scan of the table reports."""
     target = scratch(fx.spark, "sized")
-    io.overwrite_days(fx.result.drop("hand"), target)
-    return catalog.partition_sizes(fx.spark, {"result": target}).select(
-        "table_name", "partition_spec", "files", "bytes", "size_mb")
+    fx.result.drop("hand").repartition("dt").write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("dt").parquet(target)
+    sizes = catalog.partition_sizes(fx.spark, {"result": target})
+    scanned = io.read_table(fx.spark, target).select("dt", "_metadata.file_path", "_metadata.file_size").distinct()
+    scanned = scanned.groupBy(F.concat(F.lit("dt="), "dt").alias("partition_spec")).agg(F.sum("file_size").alias("read_bytes"))
+    return sizes.join(scanned, "partition_spec", "left").select(
+        "table_name", "partition_spec", "files", (F.col("bytes") == F.col("read_bytes")).alias("same_bytes"),
+        (F.col("size_mb") == F.round(F.col("read_bytes") / 1048576, 2)).alias("mb_fits"))
+
+
+FILE_ROWS = 20
 
 
 # ---- readers and writers: each writes to a fresh folder and reads it back ---------------
@@ -437,6 +451,17 @@ def upsert_mart(fx):
                     ["nplayerid", "ngametype"])
 
 
+@query
+def upsert_in_place(fx):
+    """A stored mart of best results by the day they were seen; the second half of the month is merged into it."""
+    mart = scratch(fx.spark, "upserted")
+    best = lambda rows: rows.groupBy("nplayerid", "ngametype").agg(
+        F.max("gameresult").alias("best"), F.max("dt").alias("dt"))
+    for half in (F.col("dt") <= DAY, F.col("dt") > DAY):
+        files.upsert(best(fx.result.where(half)), mart, ["nplayerid", "ngametype"])
+    return files.read_mart(fx.spark, mart, "nplayerid bigint, ngametype int, best bigint, dt string")
+
+
 @query
 def append_latest(fx):
     """A mart written whole, its latest day replaced, one day appended once more."""
@@ -605,6 +630,22 @@ def packed_equity(fx):
         "hand_id", "player", "hand_key", F.round("rate", 6).alias("rate"))
 
 
+@query
+def packed_files(fx):
+    """Packed files per board size, written from the cards of two of three players, read back and looked up."""
+    home = scratch(fx.spark, "packed")
+    hands = fx.cards.select("hand_id", "player", "hole", F.slice("board", 1, F.element_at(F.array(F.lit(0), F.lit(3), F.lit(4), F.lit(5)), (F.col("hand_id") % 4 + 1).cast("int"))).alias("board"))
+    rate = F.aggregate(F.concat("hole", "board"), F.lit(0).cast("bigint"), lambda a, c: a * 3 + c) % 1000003 / 1000003.0
+    known = hands.where("player < 2").select(cards.hand_key("hole").alias("hand_key"), F.array_sort("hole").alias("hole"), F.array_sort("board").alias("board"), rate.alias("rate"))
+    for n in (0, 3, 4, 5):
+        own = known.where(F.size("board") == n)
+        if n == 0:
+            own = own.select(F.lit("all").alias("hand_key"), F.col("hole").alias("board"), "rate")
+        rows = own.groupBy("hand_key", "board").agg(F.min("rate").alias("rate"))
+        io.write_packed(io.write_packed_rows(rows, n or 2), f"{home}/board{n}").write.format("noop").mode("overwrite").save()
+    return cards.packed_lookup(fx.spark, hands, home).select("hand_id", "player", "hand_key", F.size("board").alias("n_board"), F.round("rate", 6).alias("rate"))
+
+
 CATALOGUE = """select event_id as id, #card#(c0) || ',' || #card#(c1) as winner, #card#(c2) || ',' || #card#(c3) as opponent_1,
   case when event_id % 10 = 3 then #card#(c2) when event_id % 10 = 7 then 'Xx' else #card#(c4) end || ',' || #card#(c5) as opponent_2,
   #card#(c6) || ',' || #card#(c7) || ',' || #card#(c8) || ',' || #card#(c9) || ',' || #card#(c10) as community_cards,

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablehouse.sources import files
+
 
 def check_day(dt: str) -> str:
     """The text itself if it names a calendar day as the partitions do."""
@@ -92,29 +94,21 @@ def read_sql(spark: SparkSession, options: dict[str, str], query: str, partition
     return reader.option("query", query).load()
 
 
-def read_packed(spark: SparkSession, path: str, n_cards: int) -> DataFrame:
+def read_packed(spark: SparkSession, path: str, n_cards: int, split: int = files.SPLIT) -> DataFrame:
     """Files of big-endian 64-bit words, one file per hand, to (hand_key, word, cards, rate).
 
-    The file name is the hand key.  Each file is decoded in one vectorised step within a task.
+    The file name is the hand key.  Files are read by byte ranges, see `files.read_words`.
     """
     from tablehouse.functions.cards import unpack
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bytes").load(path).select("path", "content")
-
-    def words(batches):
-        import numpy as np
-        import pandas as pd
+    cards, rate = unpack(F.col("word"), n_cards)
+    return files.read_words(spark, path, split).select(
+        F.col("name").alias("hand_key"), "word", cards.alias("cards"), rate.alias("rate"))
 
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
-                n = len(content) // 8
-                yield pd.DataFrame({
-                    "path": name, "word": np.frombuffer(content, ">u8", count=n).astype("u8").view("i8")})
 
-    rows = files.mapInPandas(words, "path string, word bigint")
-    cards, rate = unpack(F.col("word"), n_cards)
-    name = F.regexp_replace(F.url_decode(F.element_at(F.split("path", "/"), -1)), r"\.bytes$", "")
-    return rows.select(name.alias("hand_key"), "word", cards.alias("cards"), rate.alias("rate"))
+def write_packed(rows: DataFrame, path: str) -> DataFrame:
+    """(hand_key, word) rows to a file per hand key, as `read_packed` reads them."""
+    return files.write_words(rows.select(F.col("hand_key").alias("name"), "word"), path)
 
 
 def write_packed_rows(rates: DataFrame, n_cards: int, board: str = "board", rate: str = "rate") -> DataFrame:
@@ -201,8 +195,8 @@ def sync_table(df: DataFrame, target: str, spec: str = "", mode: str = "overwrit
         raise ValueError("mode is 'overwrite' or 'append'")
     rows = df
     if use_latest:
-        newest = df.agg(F.max("dt").alias("dt"))
-        rows = df.join(newest, "dt", "left_semi")
+        newest = df.agg(F.max("dt")).first()[0]  # as a literal it prunes the partitions read below
+        rows = df.where(F.col("dt") == F.lit(newest))
     for key, value in partition_spec(spec, df.columns).items():
         rows = rows.where(F.col(key) == value)
     if "dt" not in df.columns:

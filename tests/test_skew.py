@@ -137,13 +137,37 @@ def test_collusion_pairs_of_a_hot_hand(spark):
     assert {p: n for p, n in got.items() if n > 1} == {(0, 1): 20, (0, 2): 20, (1, 2): 20}
 
 
-def test_percentiles(spark):
+def test_percentiles(spark, monkeypatch):
+    """Ties, all values inside one thousandth, huge and negative ones; rounds until an interval is small."""
     import numpy as np
 
-    values = [0.25 * (i * i % 37) for i in range(501)] + [9.5] * 250
-    df = spark.createDataFrame([(v,) for v in values], "x double")
+    from tablehouse.operators import percentile
+
+    rng = np.random.default_rng(7)
+    cases = [
+        [0.25 * (i * i % 37) for i in range(501)] + [9.5] * 250,
+        list(5 + rng.random(3000) / 1000),
+        [1e300, -1e300, 0.0, -0.0, 1e-300] + list(rng.standard_normal(500)),
+        [7.0] * 900 + [8.0],
+        [3.5],
+    ]
     ps = [0.0, 0.5, 0.9, 0.99, 1.0]
-    for step, coarse in ((0.5, 4), (100.0, 4096)):
-        got = {r.p: r.value for r in exact_percentiles(df, "x", ps, step, coarse).collect()}
-        for p in ps:
-            assert abs(got[p] - np.percentile(values, p * 100)) < 1e-9, (p, step)
+    for values in cases:
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "x double").repartition(5)
+        for small in (8, 4096):
+            monkeypatch.setattr(percentile, "SMALL", small)
+            got = {r.p: r.value for r in exact_percentiles(df, "x", ps).collect()}
+            for p in ps:
+                assert abs(got[p] - np.percentile(values, p * 100)) <= 1e-9 * max(1, abs(got[p])), (p, small)
+    assert exact_percentiles(spark.createDataFrame([(None,)], "x double"), "x", ps).count() == 0
+
+
+def test_percentiles_never_gather_all_values(spark):
+    """Every exchange of the selection is by a group, none puts the values into one partition."""
+    from tablehouse.operators import percentile
+
+    values = spark.range(5000).select(F.rand(3).alias("v"))
+    whole = [percentile.Interval(-1.0, 1.0, 0, 5000)]
+    plan = percentile._salted(percentile._within(values, whole), ["i"], F.kll_sketch_agg_double("v").alias("s"))
+    assert "SinglePartition" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert max(x.n for x in percentile._split(values, whole)) < 500
