@@ -107,9 +107,8 @@ def test_action_detail_of_cut_hands(spark, sf_dir):
 
     fx = Fixtures(spark, sf_dir)
     dwd = queries._dwd(fx)
-    for fill in ("last", "first"):
-        whole, pieces = (actions.player_action(dwd, jsonlog.seat_info(dwd), fx.score, fill, rows=n).collect() for n in (1 << 20, 3))
-        assert sorted(whole, key=str) == sorted(pieces, key=str)
+    whole, pieces = (actions.player_action(dwd, jsonlog.seat_info(dwd), fx.score, "first", rows=n).collect() for n in (1 << 20, 5))
+    assert sorted(whole, key=str) == sorted(pieces, key=str)
 
 
 def test_pairs_of_a_hot_key(spark):
