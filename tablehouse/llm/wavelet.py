@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -154,9 +155,9 @@ class Words:
 
     The file's pattern drops white space and treats what stands between as separate words, so
     a text may be cut there.  New words go to the library many at a time, set apart by the
-    end-of-text token, which it finds before anything else; in the texts themselves the
-    strings of special tokens are ordinary text.  ASCII letters are lower-cased beforehand, as
-    the file does, unless what follows might be a combining mark.
+    end-of-text token, which it finds before anything else.  Texts that hold the string of a special
+    token themselves go to the library as they are, each on its own.  ASCII letters are lower-cased
+    beforehand, as the file does, unless what follows might be a combining mark.
     """
 
     def __init__(self, path: str):
@@ -193,6 +194,19 @@ class Words:
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end, each followed by `end_id`, and the number of each."""
+        held = np.zeros(len(column), bool)
+        for mark, _ in self.special:
+            held |= pc.match_substring(column, mark).fill_null(False).to_numpy(zero_copy_only=False)
+        if not held.any():
+            return self._ordinary(column, end_id)
+        ids, n = self._ordinary(pc.if_else(pa.array(held), pa.scalar("", column.type), column), end_id)
+        parts = np.split(ids, np.cumsum(n)[:-1])
+        for i in np.flatnonzero(held):
+            parts[i] = np.array([*self.marked.encode(column[i].as_py(), add_special_tokens=False).ids, end_id], np.int32)
+        return np.concatenate(parts), np.array([len(p) for p in parts])
+
+    def _ordinary(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without strings of special tokens; such strings that lower-casing makes are ordinary text."""
         data, off = utf8(column)
         if len(data):
             low = self.lower[data]

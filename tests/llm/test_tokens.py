@@ -20,9 +20,7 @@ WORDS, RANKS = P.path("word_bpe_49k.json"), P.path("byte_bpe_50k.tiktoken")
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(WORDS)
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +32,7 @@ def tik():
 
 CODER, ENCODER = byte_bpe.ByteBPE(RANKS, P.PATTERN), wavelet.Words(WORDS)
 ODD = ["", None, "a\x1cb \x1d\x85 c", "x   b  c    d\x1c  e", "J̌ Jİ ΣΑΣ", "don't we'll I'M _a_b__ 12ab ²½",
-       "<|endoftext|> a<|startoftext|>b", "你好 世界 \U0001f642", "a" * 5000, "aa aaa " * 50, " \n\n \t x  "]
+       "<|endoftext|> a<|startoftext|>b", "hello <|endoftext|> there", "x<|startoftext|>y", "<|ENDOFTEXT|> <|EndOfText|>z", "a <|endoftext|", "你好 世界 \U0001f642", "a" * 5000, "aa aaa " * 50, " \n\n \t x  "]
 
 
 def check(texts, library, tik):
