@@ -103,14 +103,14 @@ def test_lists_as_text_and_copies_of_a_log(spark):
 
 @pytest.mark.parametrize("fill", ["last", "first"])
 def test_hot_hands_give_the_same(spark, sf_dir, fill):
-    """Hands cut into chunks: as windows over whole hands."""
+    """Hands cut into pieces: as windows over whole hands."""
     from tablehouse.fixtures import Fixtures
 
     fx = Fixtures(spark, sf_dir)
     dwd = jsonlog.explode_log(fx.hand_log.where("dt <= '2024-01-03'"))
     seats = jsonlog.seat_info(dwd)
     plain = actions.player_action(dwd, seats, fx.result, fill).collect()
-    cut = actions.player_action(dwd, seats, fx.result, fill, hand_limit=15).collect()
+    cut = actions.player_action(dwd, seats, fx.result, fill, rows=5).collect()
     assert Counter(map(str, plain)) == Counter(map(str, cut)) and len(plain) > 100
 
 

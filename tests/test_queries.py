@@ -16,9 +16,8 @@ def test_same_as_sql(spark, sf_dir, name):
     assert differences(QUERIES[name](spark, sf_dir), connect(sf_dir), SQLS[name]) is None
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SQLS])
-def test_runs(spark, sf_dir, name):
-    assert QUERIES[name](spark, sf_dir).count() > 0
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQLS)
 
 
 def test_entry(spark):

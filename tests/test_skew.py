@@ -99,18 +99,6 @@ def test_no_job_while_building(spark):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_action_detail_of_cut_hands(spark, sf_dir):
-    """Hands cut into pieces of some three messages give the rows of whole hands."""
-    from tablehouse import queries
-    from tablehouse.fixtures import Fixtures
-    from tablehouse.plans import actions, jsonlog
-
-    fx = Fixtures(spark, sf_dir)
-    dwd = queries._dwd(fx)
-    whole, pieces = (actions.player_action(dwd, jsonlog.seat_info(dwd), fx.score, "first", rows=n).collect() for n in (1 << 20, 5))
-    assert sorted(whole, key=str) == sorted(pieces, key=str)
-
-
 def test_pairs_of_a_hot_key(spark):
     rows = [(0, i) for i in range(100)] + [(1, 5), (1, 7), (1, 9), (2, 1)]
     df = spark.createDataFrame(rows, "k int, id int").withColumn("w", F.col("id") * 2)
