@@ -25,6 +25,7 @@ no shard and an empty result.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -166,6 +167,7 @@ class Words:
         self.plain, self.marked = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True
         self.special = sorted((t.content, i) for i, t in self.plain.get_added_tokens_decoder().items())
+        self.begin = os.path.commonprefix([mark for mark, _ in self.special])  # one search for all of them
         self.lower = np.arange(256, dtype=np.uint8)
         if "Lowercase" in self.plain.to_str():
             self.lower[65:91] += 32
@@ -194,9 +196,9 @@ class Words:
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end, each followed by `end_id`, and the number of each."""
-        held = np.zeros(len(column), bool)
-        for mark, _ in self.special:
-            held |= pc.match_substring(column, mark).fill_null(False).to_numpy(zero_copy_only=False)
+        held = np.array(pc.match_substring(column, self.begin).fill_null(False).to_numpy(zero_copy_only=False))
+        for i in np.flatnonzero(held):
+            held[i] = any(mark in column[i].as_py() for mark, _ in self.special)
         if not held.any():
             return self._ordinary(column, end_id)
         ids, n = self._ordinary(pc.if_else(pa.array(held), pa.scalar("", column.type), column), end_id)
