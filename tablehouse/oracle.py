@@ -610,6 +610,12 @@ ORACLE["partition_sizes"] = """select 'result' as table_name, 'dt=' || dt as par
   true as same_bytes, true as mb_fits from @v_result group by dt"""
 ORACLE["upsert_in_place"] = """with b as (select nplayerid, ngametype, dt > '2024-01-10' as later, max(gameresult) as best, max(dt) as dt from @v_result group by all)
 select nplayerid, ngametype, best, dt from b where later or not exists (select 1 from b c where c.later and c.nplayerid = b.nplayerid and c.ngametype = b.ngametype)"""
+for _name, _days in (("month_players", 30), ("month_players_7d", 7)):
+    ORACLE[_name] = f"""with {RUN} select run_dt as dt, count(distinct t.nplayerid) as month_real_player_cnt
+from run join @v_result t on {window(_days)} where t.brobot = 0 group by run_dt"""
+ORACLE["bucketed_hands"] = """with s as (select dt, sztoken, nround, count(*) as seats, sum(gameresult) as net from @v_result group by all),
+a as (select dt, sztoken, nround, count(*) as acts from @v_action group by all)
+select s.*, a.acts from s left join a using (dt, sztoken, nround) where dt between '2024-01-10' and '2024-01-20'"""
 ORACLE["suspects_pruned"] = ORACLE["suspect_players"]
 
 HEX = ("case when instr('dchs', substr(trim(x), 2, 1)) > 0 and instr('A23456789TJQK', substr(trim(x), 1, 1)) > 0 "

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tablehouse.fixtures import FIRST_DT, LAST_DT, Fixtures
 from tablehouse.functions import rules
-from tablehouse.functions.exprs import all_different, is_subset
+from tablehouse.functions.exprs import HAND, all_different, is_subset
 from tablehouse.operators import joins, scans
-from tablehouse.plans import actions, cards, catalog, evaluate, jsonlog, marts, results, risk, tags
+from tablehouse.plans import actions, bitmaps, cards, catalog, evaluate, jsonlog, marts, results, risk, tags
 from tablehouse.session import scratch, tune
 from tablehouse.sources import files, io
 from tablehouse.streaming import buffer
@@ -293,6 +293,44 @@ def daily_overview_7d(fx):
     return marts.daily_overview(fx.result, fx.user, fx.preset, _pair_table(fx), *SPAN, days=7)
 
 
+@query
+def month_players(fx):
+    """Monthly players from stored bitmaps per day; one day is written without half its rows first and run again later."""
+    table = scratch(fx.spark, "player-bitmaps")
+    late = (F.col("dt") == DAY) & (F.col("nround") % 2 == 0)
+    io.overwrite_days(bitmaps.day_players(fx.result.where(~late)), table)
+    io.overwrite_days(bitmaps.day_players(fx.result.where(F.col("dt") == DAY)), table)
+    stored = io.read_table(fx.spark, table, "bucket bigint, bits binary, dt string")
+    return bitmaps.players_over(stored, *SPAN)
+
+
+@query
+def month_players_7d(fx):
+    return bitmaps.players_over(bitmaps.day_players(fx.result), *SPAN, days=7)
+
+
+def _bucketed(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
+    """Results and actions by day, bucketed by the hand."""
+    def table(name: str, rows: DataFrame) -> DataFrame:
+        where = scratch(fx.spark, "bucketed")
+        return io.write_bucketed(rows, f"th_{name}_{where[-32:]}", where, ("sztoken", "nround"), 8)
+
+    return table("result", fx.result.drop("hand")), table("action", fx.action.withColumn("nround", F.col("nround").cast("bigint")))
+
+
+def hands_of_both(result: DataFrame, action: DataFrame) -> DataFrame:
+    span = F.col("dt").between(DAY, LATER)
+    seats = result.where(span).groupBy(*HAND).agg(F.count(F.lit(1)).alias("seats"), F.sum("gameresult").alias("net"))
+    acts = action.where(span).groupBy(*HAND).agg(F.count(F.lit(1)).alias("acts"))
+    return seats.join(acts, HAND, "left")
+
+
+@query
+def bucketed_hands(fx):
+    """Hands with their seats, result and actions from tables bucketed by the hand."""
+    return hands_of_both(*_bucketed(fx))
+
+
 @query
 def robot_stats(fx):
     return marts.robot_stats(fx.result)
