@@ -59,9 +59,9 @@ def planes_of(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[int]]:
         full[: len(packed)] = packed
         count = np.bitwise_count(full.view(np.uint64)).reshape(-1, BLOCK // 64).sum(axis=1, dtype=np.int64)
         ranks.append(np.concatenate(([0], np.cumsum(count))).astype(np.int64).tobytes())
-        low = now[~ones]
+        low = now[np.flatnonzero(~ones)]  # by place: faster than by flags where these are mixed
         zeros.append(len(low))
-        now = np.concatenate((low, now[ones]))
+        now = np.concatenate((low, now[np.flatnonzero(ones)]))
     return planes, ranks, zeros
 
 
