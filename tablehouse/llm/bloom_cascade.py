@@ -14,7 +14,8 @@ the list is split by key hash into that many cascades; the query leaves it at 1.
 
 Defined cases: a null url or one without `://` has empty host and path and fits no rule; an
 empty table gives an empty result; repeated rows give repeated rows; of two rules that fit,
-the longer wins, at equal length the one with the longer host.
+the longer wins, at equal length the one with the longer host; of rules with the same host and path the
+last counts; rules whose path is not empty and has no leading `/` fit no url; without rules every url gets the default.
 """
 
 from __future__ import annotations
@@ -111,6 +112,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, defau
     spark = prepare(pages.sparkSession)
     host, path = host_path(F.col("url"))
     urls = pages.select("page_id", "url").withColumns({"host": host, "path": path})
+    rules = list({h + p: (a, h, p) for a, h, p in rules if p[:1] in ("", "/")}.values())
+    if not rules:
+        return urls.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     shapes = sorted({(h.count(".") + 1, len(p)) for _, h, p in rules})
     texts = [F.concat(F.substring_index("host", ".", -labels), F.substring("path", 1, length)) for labels, length in shapes]
     hosts = [F.length(F.substring_index("host", ".", -labels)) for labels, _ in shapes]

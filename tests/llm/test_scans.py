@@ -38,6 +38,14 @@ def test_url_rules(spark, parts):
     assert bloom_cascade.judge(frame.filter("false")).count() == 0
 
 
+def test_no_rules_and_repeated_rules(spark):
+    frame = spark.createDataFrame([(1, "http://a.net/x"), (2, None), (3, "http://b.org")], "page_id long, url string")
+    bare = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in bloom_cascade.judge(frame, []).collect()}
+    assert bare == {1: ("a.net", "/x", None, "allow"), 2: ("", "", None, "allow"), 3: ("b.org", "", None, "allow")}
+    twice = [("block", "net", "/"), ("block", "net", "/"), ("allow", "org", ""), ("block", "org", ""), ("block", "a.ne", "t/x")]
+    assert {r.page_id: (r.rule, r.verdict) for r in bloom_cascade.judge(frame, twice).collect()} == {1: ("net/", "block"), 2: (None, "allow"), 3: ("org", "block")}
+
+
 def test_cascade_is_exact(spark):
     rules = [("block", f"host{i}.com", "/") for i in range(0, 300, 3)]
     frame = spark.createDataFrame([(i, f"http://host{i % 3000}.com/x") for i in range(3000)], "page_id long, url string")
