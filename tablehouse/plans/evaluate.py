@@ -27,7 +27,8 @@ def player_bet_stats(hands: DataFrame, actions: DataFrame, hand_keys: list[str],
     recent = first_n(hands.select(*keys, "ord", "small_blind", "payoff"), ["playerid"],
                      [F.desc("ord"), *hand_keys], n)
     act, stage = F.col("act"), F.col("stage")
-    per_hand = actions.where(act >= 0).groupBy(*keys).agg(
+    # actions of other hands go before they are summed up
+    per_hand = semi(actions.where(act >= 0), recent, keys).groupBy(*keys).agg(
         *[F.sum(F.when((stage == s) & (act > 0), F.col("num"))).alias(f"{s}_bet") for s in STREETS],
         *[F.sum(F.when((stage == s) & (act == 0), 1)).alias(f"{s}_fold") for s in STREETS])
     blind = F.col("small_blind")
