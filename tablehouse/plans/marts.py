@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from tablehouse.functions import rules
 from tablehouse.functions.exprs import HAND, any_if, day_of, num, ratio, sum_if
 from tablehouse.operators.joins import anti, semi, star
-from tablehouse.operators.keyed import rolling_sum
+from tablehouse.operators.keyed import hands_and_players, rolling_sum
 from tablehouse.plans.risk import shared_ip_players, suspects
 
+ROUND = ["sztoken", "nround"]
+
 
 def _count(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -115,13 +117,10 @@ def robot_stats(result: DataFrame, first_dt: str | None = None, last_dt: str | N
 
 def active_hours(scored: DataFrame) -> DataFrame:
     """Players and rounds per game type, day and hour; only rows without robot information."""
-    return (
-        scored.where("brobot is null")
-        .groupBy("ngametype", day_of("createtime").alias("start_dt"),
-                 F.substring("createtime", 12, 2).alias("start_dt_hr"))
-        .agg(F.count_distinct("nplayerid").alias("player_cnt"),
-             F.count_distinct("sztoken", "nround").alias("round_cnt"))
-    )
+    rows = scored.where("brobot is null").select(
+        "ngametype", day_of("createtime").alias("start_dt"), F.substring("createtime", 12, 2).alias("start_dt_hr"),
+        *ROUND, "nplayerid")
+    return hands_and_players(rows, ["ngametype", "start_dt", "start_dt_hr"], ROUND, "nplayerid")
 
 
 def activity_tags(result: DataFrame, first_dt: str, last_dt: str, days: int = 30) -> DataFrame:
@@ -133,10 +132,9 @@ def activity_tags(result: DataFrame, first_dt: str, last_dt: str, days: int = 30
 
 
 def preset_overview(preset: DataFrame) -> DataFrame:
-    return preset.groupBy(
-        "dt", "ngametype", F.coalesce("inventiontype", F.lit("no_preset")).alias("inventiontype"),
-    ).agg(F.count_distinct("sztoken", "nround").alias("round_cnt"),
-          F.count_distinct("nplayerid").alias("player_cnt"))
+    rows = preset.select(
+        "dt", "ngametype", F.coalesce("inventiontype", F.lit("no_preset")).alias("inventiontype"), *ROUND, "nplayerid")
+    return hands_and_players(rows, ["dt", "ngametype", "inventiontype"], ROUND, "nplayerid")
 
 
 def preset_result(preset: DataFrame, gold: DataFrame, score: DataFrame) -> DataFrame:
@@ -151,12 +149,9 @@ def preset_result(preset: DataFrame, gold: DataFrame, score: DataFrame) -> DataF
         .unionByName(gold.where("ngametype = 450").select(*key, "gameresult"))
     )
     play = rules.outcome(F.col("brobot"), F.col("gameresult"))
-    return (
-        rows.join(results, key, "left")
-        .groupBy("dt", "inventiontype", "ngametype", play.alias("play_result"))
-        .agg(F.count_distinct("sztoken", "nround").alias("round_cnt"),
-             F.count_distinct("nplayerid").alias("player_cnt"))
-    )
+    return hands_and_players(
+        rows.join(results, key, "left").withColumn("play_result", play),
+        ["dt", "inventiontype", "ngametype", "play_result"], ROUND, "nplayerid")
 
 
 def profile_mart(profile: DataFrame) -> DataFrame:
