@@ -6,10 +6,12 @@ pieces of new chunks go into buckets by length, one padded matrix of token ids e
 round each row of a matrix merges its leftmost pair of least rank; ranks come from a hashed
 table of pairs (open addressing in numpy arrays).  Rows without a pair to merge leave the
 matrix, and rows close the gap that a merge leaves, so the matrix narrows by one column a
-round.  Decoding gathers the bytes of the ids from one flat vocabulary array.
+round.  A round costs the width of the matrix, so a piece of over `LONG` bytes (a run of letters
+without a break) does the same merges in the same order from a heap of (rank, place), in
+n log n steps.  Decoding gathers the bytes of the ids from one flat vocabulary array.
 
 Defined cases: a null text is encoded as empty and decodes to nothing; repeated rows are
-encoded each; very long pieces form a bucket of their own; an empty table gives an empty
+encoded each; very long pieces go through the heap one by one; an empty table gives an empty
 result.  Invalid ids raise ValueError on decoding.
 """
 
@@ -17,7 +19,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 from tablehouse.llm.common import Memo, fit, gather, mix, once, prepare, slices, utf8, word_hashes
 
 NO = np.int64(1 << 40)
+LONG = 1 << 10  # bytes of a piece that a matrix holds
 
 
 class PairTable:
@@ -49,6 +54,11 @@ class PairTable:
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return (mix(key.astype(np.uint64)) & self.mask).astype(np.int64)
 
+    def as_dict(self) -> dict[int, int]:
+        """The same by left id * 2**32 + right id, for single lookups."""
+        held = self.keys >= 0
+        return dict(zip(self.keys[held].tolist(), self.ranks[held].tolist(), strict=True))
+
     def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left.astype(np.int64) << 32) | right
         slot = self._slot(key)
@@ -87,6 +97,7 @@ class ByteBPE:
         left, right, rank = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
         self.pairs = PairTable(left, right, rank)
         self.ranks = ranks
+        self.single: dict[int, int] = {}
         self.memo = Memo()
 
     # -- pieces
@@ -113,6 +124,41 @@ class ByteBPE:
         width[who] = lengths
         return out[np.arange(out.shape[1])[None, :] < width[:, None]], width
 
+    def _merge_long(self, ids: np.ndarray) -> np.ndarray:
+        """All merges of one long row; a token stays at the place of its first byte."""
+        self.single = self.single or self.pairs.as_dict()
+        find, n = self.single.get, len(ids)
+        ranks = self.pairs.get(ids[:-1], ids[1:])
+        ranks[ranks == NO] = -1
+        at = np.flatnonzero(ranks >= 0)
+        heap = (ranks[at] << 32 | at).tolist()
+        heapify(heap)
+        token = array("i", ids.astype(np.int32).tobytes())
+        rank = array("i", np.append(ranks, -1).astype(np.int32).tobytes())  # of the pair that begins here
+        before = array("i", np.arange(-1, n - 1, dtype=np.int32).tobytes())
+        after = array("i", np.arange(1, n + 1, dtype=np.int32).tobytes())
+        while heap:
+            key = heappop(heap)
+            r, i = key >> 32, key & 0xFFFFFFFF
+            if rank[i] != r:
+                continue  # one of the two has been merged since
+            j = after[i]
+            token[i], token[j], rank[j] = r, -1, -1
+            after[i] = k = after[j]
+            rank[i] = -1
+            if k < n:
+                before[k] = i
+                rank[i] = new = find(r << 32 | token[k], -1)
+                if new >= 0:
+                    heappush(heap, new << 32 | i)
+            h = before[i]
+            if h >= 0:
+                rank[h] = new = find(token[h] << 32 | r, -1)
+                if new >= 0:
+                    heappush(heap, new << 32 | h)
+        out = np.frombuffer(token, np.int32)
+        return out[out >= 0]
+
     def pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pieces on end, and where each begins; bucket by bucket."""
         raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
@@ -124,9 +170,14 @@ class ByteBPE:
         made, count = [whole[order[:at]]], np.ones(len(raw), np.int64)
         sizes = size[order]
         while at < len(order):
+            if sizes[at] > LONG:  # this one and all that follow
+                for i in order[at:].tolist():
+                    made.append(self._merge_long(self.byte_id[np.frombuffer(raw[i], np.uint8)]))
+                    count[i] = len(made[-1])
+                break
             longest = size[order[at]] if size[order[at]] <= 16 else 1 << int(size[order[at]] - 1).bit_length()
             to = at + int(np.searchsorted(sizes[at:], longest, "right"))
-            to = min(to, at + max(1, (1 << 19) // int(longest)))
+            to = min(to, at + (1 << 19) // int(longest))
             part = order[at:to]
             flat = self.byte_id[np.frombuffer(b"".join([raw[i] for i in part]), np.uint8)]
             rows = np.zeros((len(part), int(size[part].max())), np.int32)

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import time
 import zlib
 
 import numpy as np
@@ -55,6 +56,24 @@ def test_any_text(library, tik, texts):
     check(texts, library, tik)
 
 
+def test_long_pieces(library, tik):
+    """Runs without a break: the heap does the merges of the matrix, in time that grows with the length."""
+    rng = np.random.default_rng(5)
+    letters = ["".join(map(chr, rng.integers(97, 123, n))) for n in (1023, 1024, 1025, 3000)]
+    check([*letters, "a" * 4001, "ab" * 1500, "é" * 700, "=" * 2500, "你好" * 400, "the" * 900], library, tik)
+    raw = [CODER.byte_id[np.frombuffer(x.encode(), np.uint8)] for x in (*letters, "a" * 999)]
+    for row in raw:
+        want, _ = CODER._merge(row[None, :].copy(), np.array([len(row)]))
+        assert CODER._merge_long(row).tolist() == want.tolist()
+    words = (b for b in tik.token_byte_values() if b.isalpha() and b.islower())
+    mega = b"".join(list(words)[:20_000] * 10)[: 1 << 20].decode()
+    begin = time.perf_counter()
+    ids, _ = CODER.encode(pa.array([mega]))
+    assert time.perf_counter() - begin < 60
+    assert CODER.decode(ids).tobytes() == mega.encode()
+    assert ids.tolist() == tik.encode_ordinary(mega)
+
+
 def test_memo_starts_anew(monkeypatch, library, tik):
     from tablehouse.llm.common import Memo
 
