@@ -3,9 +3,12 @@
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablehouse.llm import order_minhash, spotsigs, substrings, tiling
@@ -299,6 +302,37 @@ def test_contaminated(spark, docs, texts, sf_dir, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in tiling.contaminated(docs, bench).collect()} == want
 
 
+def _tilings(bench, texts, k=5):
+    """(document, item, covered words, tiles) through the batch code."""
+    items = tiling.items_of(list(range(len(bench))), bench, k)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    return [(r, f["item_id"], f["covered"], len(f["tiles"])) for r, f in tiling._rows(items, batch, k, 0.0)]
+
+
+@pytest.mark.parametrize("together", [1, 40, 1 << 20])
+def test_batches_against_brute_force(monkeypatch, together):
+    monkeypatch.setattr(tiling, "STARTS", together)
+    rng = random.Random(4)
+    for alphabet in (1, 2, 3, 9):
+        bench = [" ".join(str(rng.randrange(alphabet)) for _ in range(rng.randrange(0, 25))) for _ in range(6)]
+        texts = [" ".join([str(rng.randrange(alphabet)) for _ in range(rng.randrange(0, 12))] + rng.choice(bench).split()[rng.randrange(4):]) for _ in range(8)]
+        found = {(r, o): n for r, o, n, _ in _tilings(bench, [*texts, None, ""], 3)}
+        for r, t in enumerate(texts):
+            for o, b in enumerate(bench):
+                assert found.pop((r, o), 0) == brute_tiles(t.split(), b.split(), 3)
+        assert not found
+
+
+def test_repeated_words_stay_small():
+    """20,000 equal words against 3,000: as many stretches as words, not as pairs of them."""
+    tracemalloc.start()
+    begin = time.perf_counter()
+    found = _tilings(["la " * 3000, "a b " * 1500], ["la " * 20_000, "a b " * 10_000, "x " + "la " * 2999])
+    assert found == [(0, 0, 3000, 1), (1, 1, 3000, 1), (2, 0, 2999, 1)]
+    assert time.perf_counter() - begin < 10 and tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
 def test_reordered_and_odd(spark, odd, none):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
     bench = spark.createDataFrame([(1, item), (2, None), (3, "one two"), (None, "")], "item_id long, text string")
