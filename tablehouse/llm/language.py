@@ -7,7 +7,9 @@ of the vectors of its n-grams; a language's prototype is the sum over its traini
 text gets the language whose prototype has the largest cosine with it.
 
 Texts are counted, not walked: a batch is reduced to (text, n-gram, count), one vector is
-made per distinct n-gram, and counts times vectors is one matrix product.  Training sums
+made per distinct n-gram, and counts times vectors is a matrix product.  Vectors and counts
+exist for `STEP` n-grams at a time, so a slice with many different letters needs no more than
+others; a text of n characters takes some 70 n bytes, as it is counted whole.  Training sums
 count over all labelled texts; what leaves a task is one vector per language, and their sum
 is taken in Spark.  The number of languages is checked against `MAX_LANGUAGES` before the
 prototypes are sent to the tasks.
@@ -33,6 +35,7 @@ from tablehouse.llm.common import fit, mix, once, prepare, slices
 
 DIM, MAX_LANGUAGES, UNKNOWN = 1024, 2000, "und"
 ROWS = 256  # texts in one matrix product
+STEP = 2048  # n-grams in one matrix product
 
 
 def letter_vector(code: int) -> np.ndarray:
@@ -62,8 +65,25 @@ class Letters:
         return self.number[codes]
 
 
-def ngrams(letters: Letters, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, n-gram column, count) of a batch, one vector per n-gram column, and which texts have a letter."""
+class Grams:
+    """The vectors of n-grams, one a row, made for those that are asked for."""
+
+    def __init__(self, vectors: np.ndarray, codes: np.ndarray):
+        self.vectors, self.codes = vectors, codes
+
+    def __len__(self) -> int:
+        return len(self.codes)
+
+    def __getitem__(self, some: slice) -> np.ndarray:
+        v, k, codes = self.vectors, len(self.vectors), self.codes[some]
+        return np.roll(v[codes // (k * k)], 2, axis=1) * np.roll(v[codes // k % k], 1, axis=1) * v[codes % k]
+
+    def __array__(self, dtype=None, copy=None) -> np.ndarray:
+        return self[:].astype(dtype or np.int8)
+
+
+def ngrams(letters: Letters, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, Grams, np.ndarray]:
+    """(text, n-gram column, count) of a batch, the vectors of the n-gram columns, and which texts have a letter."""
     joined = pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string()))
     raw = "\n".join(joined.to_pylist()) + "\n"
     codes = np.frombuffer(raw.encode("utf-32-le"), np.uint32)
@@ -86,17 +106,19 @@ def ngrams(letters: Letters, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, n
     pair, count = np.unique(row[middle] * k**3 + gram, return_counts=True)
     row, gram = pair // k**3, pair % k**3
     distinct, column = np.unique(gram, return_inverse=True)
-    a, b, c = distinct // (k * k), distinct // k % k, distinct % k
-    v = letters.vectors
-    table = np.roll(v[a], 2, axis=1) * np.roll(v[b], 1, axis=1) * v[c]
-    return row, column, count.astype(np.float32), table, has
-
-
-def bundle(counts: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Counts (rows by n-grams) times n-gram vectors, some n-grams at a time."""
-    out, step = np.zeros((len(counts), DIM), np.float32), 2048
-    for a in range(0, len(table), step):
-        out += counts[:, a : a + step] @ table[a : a + step].astype(np.float32)
+    return row, column, count.astype(np.float32), Grams(letters.vectors, distinct), has
+
+
+def bundle(row: np.ndarray, column: np.ndarray, count: np.ndarray, n: int, table: Grams) -> np.ndarray:
+    """For each of n rows the sum of its n-grams' vectors times their counts."""
+    out = np.zeros((n, DIM), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column, count = row[order], column[order], count[order]
+    for a in range(0, len(table), STEP):
+        some = slice(*np.searchsorted(column, (a, a + STEP)))
+        width = min(STEP, len(table) - a)
+        counts = np.bincount(row[some] * width + column[some] - a, count[some], n * width).reshape(n, width)
+        out += counts.astype(np.float32) @ table[a : a + width].astype(np.float32)
     return out
 
 
@@ -112,8 +134,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
                 names = part.column("lang").to_pylist()
                 which = {name: i for i, name in enumerate(dict.fromkeys(names))}
                 of = np.array([which[x] for x in names])[row] if len(names) else row
-                total = np.bincount(of * max(len(table), 1) + column, count, len(which) * max(len(table), 1)).reshape(len(which), -1)
-                made = bundle(total.astype(np.float32)[:, : len(table)], table)
+                made = bundle(of, column, count, len(which), table)
                 for name, i in which.items():
                     sums[name] = sums.get(name, 0) + made[i].astype(np.float64)
         if sums:
@@ -141,9 +162,7 @@ def predict_batch(letters: Letters, texts: pa.Array, langs: list[str], prototype
         if not len(langs):
             out += [UNKNOWN] * len(has)
             continue
-        counts = np.zeros((len(has), len(table)), np.float32)
-        counts[row, column] = count
-        vectors = bundle(counts, table)
+        vectors = bundle(row, column, count, len(has), table)
         norm = np.linalg.norm(vectors, axis=1)
         cosine = (vectors @ prototypes.T) / np.where(norm > 0, norm, 1)[:, None]
         best = cosine.argmax(axis=1)

@@ -6,6 +6,7 @@ import hashlib
 import io
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -152,6 +153,49 @@ def test_language_against_walking_the_text():
     assert has.all() and np.allclose(counts @ table, [slow_vector(t) for t in texts])
 
 
+def slow_model(rows):
+    """Unit prototypes by walking every labelled text."""
+    sums = {}
+    for text, lang in rows:
+        if text is not None and lang is not None:
+            sums[lang] = sums.get(lang, 0) + slow_vector(text)
+    return {lang: v / np.linalg.norm(v) for lang, v in sums.items() if np.abs(v).sum()}
+
+
+def test_language_against_brute_force(spark, docs):
+    """Prototypes, argmax, ties and scores; two languages of the same texts tie, the first name wins."""
+    some = [(r.doc_id, r.text, r.lang) for r in docs.orderBy("doc_id").limit(20).collect()]
+    twins = [(1000 + i, f"zug um zug {i}", lang) for i in range(2) for lang in ("zz", "za")]
+    rows = [*some, *twins, (2000, None, "en"), (2001, "12", "xx"), (2002, "zug um zug", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = slow_model([r[1:] for r in rows])
+    langs, prototypes = language.train(df)
+    assert langs == sorted(want) and np.allclose(prototypes, [want[x] for x in langs], atol=1e-5)
+    for r in language.predict(df, (langs, prototypes)).collect():
+        v = slow_vector(r.text or "")
+        if not np.abs(v).sum():
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        cosine = {x: float(v @ want[x] / np.linalg.norm(v)) for x in langs}
+        best = max(cosine.values())
+        assert abs(r.score - best) < 1e-5
+        assert r.lang_pred == min(x for x in langs if cosine[x] > best - 1e-6)
+
+
+def test_language_many_letters():
+    """A slice of 340,000 different n-grams needs no vector for each at once."""
+    rng = np.random.default_rng(3)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 340_000)))
+    letters = language.Letters()
+    letters.of(np.arange(0x4E00, 0x9FA5, dtype=np.uint32))
+    prototypes = np.sign(rng.normal(size=(2, language.DIM))).astype(np.float32) / np.sqrt(language.DIM).astype(np.float32)
+    tracemalloc.start()
+    names, score = language.predict_batch(letters, pa.array([text, "ab"]), ["a", "b"], prototypes)
+    assert tracemalloc.get_traced_memory()[1] < 150 << 20
+    tracemalloc.stop()
+    assert set(names) <= {"a", "b"} and (score >= 0).all()
+
+
 def test_language_odd(odd, none):
     model = language.train(odd)
     assert model[0] == ["en", "es"]
