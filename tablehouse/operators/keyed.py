@@ -23,28 +23,6 @@ def top1(df: DataFrame, keys: list[str], order: list[Column], cols: list[str]) -
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_b.{c}").alias(c) for c in cols])
 
 
-def hands_and_players(rows: DataFrame, keys: list[str], hand: list[str], player: str) -> DataFrame:
-    """round_cnt and player_cnt per key: distinct hands (no part null) and distinct players (not null).
-
-    Two distinct counts at once would copy every input row.  Here rows shrink to one per key and hand with
-    its players; each hand is then counted with one of its players, so both counts are plain sums.  Rows
-    without a hand form groups of one player each.
-    """
-    none = F.lit(False)
-    for c in hand:
-        none = none | F.col(c).isNull()
-    seats = (
-        rows.withColumn("_none", none).withColumn("_alone", F.when(F.col("_none"), F.col(player)))
-        .groupBy(*keys, *hand, "_none", "_alone").agg(F.collect_set(player).alias("_seats"))
-        .select(*keys, "_none", F.posexplode_outer("_seats").alias("_i", "_player"))
-    )
-    first = (~F.col("_none")) & (F.coalesce("_i", F.lit(0)) == 0)
-    return (
-        seats.groupBy(*keys, "_player").agg(F.count_if(first).alias("_n"))
-        .groupBy(*keys).agg(F.sum("_n").alias("round_cnt"), F.count("_player").alias("player_cnt"))
-    )
-
-
 def _in_reach(daily: DataFrame, days: int, first_dt: str, last_dt: str) -> DataFrame:
     """Rows any of the run days looks back to; the literal bounds prune partitions of `dt`."""
     low = F.date_sub(F.to_date(F.lit(first_dt)), days).cast("string")

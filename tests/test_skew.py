@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tablehouse.operators import scans
 from tablehouse.operators.joins import pairs
-from tablehouse.operators.keyed import hands_and_players
 from tablehouse.operators.percentile import exact_percentiles
 
 
@@ -159,13 +158,3 @@ def test_percentiles_never_gather_all_values(spark):
     plan = percentile._salted(percentile._within(values, whole), ["i"], F.kll_sketch_agg_double("v").alias("s"))
     assert "SinglePartition" not in plan._jdf.queryExecution().executedPlan().toString()
     assert max(x.n for x in percentile._split(values, whole)) < 500
-
-
-def test_hands_and_players(spark):
-    rows = [(g, t, n, p) for g in ("a", None) for t in ("x", "y", None) for n in (1, 2, None) for p in (1, 2, 2, None)]
-    rows += [("b", None, 1, p) for p in (7, 7, 8)] + [("c", "x", 1, None), ("d", None, None, None)]
-    df = spark.createDataFrame(rows, "g string, t string, n int, p int")
-    found = hands_and_players(df, ["g"], ["t", "n"], "p")
-    want = df.groupBy("g").agg(F.count_distinct("t", "n").alias("round_cnt"), F.count_distinct("p").alias("player_cnt"))
-    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
-    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
