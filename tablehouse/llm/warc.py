@@ -17,7 +17,9 @@ that needs libhdfs on the executors.
 Defined cases: null html is an empty payload; pages that repeat a page_id and its payload are
 all responses; null page_ids are less than any other, refer to nothing and stay null; null
 urls have no target header; control characters in a url are percent-encoded in the header;
-an empty table gives an empty result.
+a record whose payload doesn't fit its digest header is read as `damaged`, with the digest of
+what is there, and ends nothing (`records_in` raises unless told otherwise); an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -132,7 +134,7 @@ def _member(w: _Window, at: int) -> tuple[bytes, int] | None:
     return b"".join(parts), end
 
 
-def _parse(raw: bytes) -> dict | None:
+def _parse(raw: bytes, strict: bool = True) -> dict | None:
     """Headers and payload facts of a decoded record; None if it is not one."""
     head, cut, rest = raw.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "replace").split("\r\n")
@@ -147,15 +149,17 @@ def _parse(raw: bytes) -> dict | None:
     else:
         size, found = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
         if digest and found != digest:
-            raise ValueError(f"payload of {fields['WARC-Record-ID']} has digest {found}, not {digest}")
+            if strict:
+                raise ValueError(f"payload of {fields['WARC-Record-ID']} has digest {found}, not {digest}")
+            fields["WARC-Type"] = "damaged"
         digest = found
     number = lambda k: int(fields[k]) if k in fields else None
     return {"page_id": number("X-Page-ID"), "url": fields.get("WARC-Target-URI"), "payload_bytes": size, "payload_digest": digest,
             "record_type": fields["WARC-Type"], "refers_to": number("X-Refers-To-Page-ID")}
 
 
-def records_in(file: pa.NativeFile, size: int, start: int, end: int) -> Iterator[tuple[int, dict]]:
-    """(offset, record) of every record that starts in [start, end)."""
+def records_in(file: pa.NativeFile, size: int, start: int, end: int, strict: bool = True) -> Iterator[tuple[int, dict]]:
+    """(offset, record) of every record that starts in [start, end); `strict`: a wrong digest raises."""
     w, at = _Window(file, start, size), start
     while at < end:
         w.upto(min(max(end, at) + 2, size))
@@ -164,7 +168,7 @@ def records_in(file: pa.NativeFile, size: int, start: int, end: int) -> Iterator
             return
         at += w.start
         got = _member(w, at)
-        parsed = _parse(got[0]) if got else None
+        parsed = _parse(got[0], strict) if got else None
         if parsed:
             yield at, parsed
             at = got[1]
@@ -188,7 +192,7 @@ def read(spark: SparkSession, report: DataFrame, split: int = SPLIT) -> DataFram
                 store, path = _store(r["file"])
                 with store.open_input_file(path) as file:
                     rows = []
-                    for at, row in records_in(file, r["bytes"], r["start"], min(r["start"] + split, r["bytes"])):
+                    for at, row in records_in(file, r["bytes"], r["start"], min(r["start"] + split, r["bytes"]), strict=False):
                         rows.append(row | {"file": r["file"], "at": at})
                         if len(rows) == 1000:
                             yield pa.RecordBatch.from_pylist(rows, kind)

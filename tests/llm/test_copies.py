@@ -99,6 +99,27 @@ def test_classes_against_brute_force(spark):
     assert found == brute_classes(dict(enumerate(texts)))
 
 
+def _found(a, b):
+    """Whether two word lists share a sketch."""
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([" ".join(a), " ".join(b)])], names=["doc_id", "text"])
+    x, y = next(order_minhash._scan(order_minhash.K, order_minhash.PICKS, order_minhash.SKETCHES)([batch])).column("sketches").to_pylist()
+    return bool({*x} & {*y})
+
+
+@pytest.mark.parametrize("size", [10, 20, 100, 300])
+def test_recall_on_shingles(size):
+    """Pairs whose five-word shingles overlap by 0.8 or more (Jaccard) share a sketch, whatever their length."""
+    rng = random.Random(size)
+    found = []
+    while len(found) < 150:
+        base = [f"w{rng.randrange(5000)}" for _ in range(size)]
+        other = edited(rng, base, rng.random() * 2.5 / size + 0.02) + ["tail"] * rng.randrange(2)
+        x, y = ({tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in (base, other))
+        if base != other and len(x & y) >= 0.8 * len(x | y):
+            found.append(_found(base, other))
+    assert sum(found) >= 0.99 * len(found)
+
+
 def test_chain_of_left_overs(spark):
     """Texts that are near their neighbours in a chain only; the least of a bucket is not near all."""
     base = [f"c{i}" for i in range(60)]

@@ -85,6 +85,18 @@ def test_warc(spark, split):
     assert sorted(map(tuple, found), key=str) == archived(rows)
 
 
+def test_warc_damaged_record(spark, tmp_path):
+    """A wrong digest marks its own record; the others are read."""
+    digest = lambda data: base64.b32encode(hashlib.sha1(data).digest()).decode()
+    made = [warc.record(i, "u", b"page %d" % i, None, digest(b"page %d" % (i if i != 1 else 9))) for i in range(3)]
+    path = tmp_path / "x.warc.gz"
+    path.write_bytes(b"".join(made))
+    report = spark.createDataFrame([(f"file://{path}", path.stat().st_size, 3)], "file string, bytes long, records long")
+    rows = sorted(warc.read(spark, report, split=100).collect(), key=lambda r: r.page_id)
+    assert [(r.page_id, r.record_type, r.payload_digest) for r in rows] == [
+        (i, "damaged" if i == 1 else "response", digest(b"page %d" % i)) for i in range(3)]
+
+
 def test_warc_small_payloads_and_no_rows(spark):
     frame = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], PAGES)
     assert {r.page_id: (r.record_type, r.refers_to) for r in warc.round_trip(frame, min_bytes=3).collect()} == {
