@@ -594,6 +594,11 @@ ORACLE["preflop_equity"] = f"""with rates(k, w) as (values {', '.join(f"('{k}',
 h as (select hand_id, player, {KEY} as hand_class from @v_cards)
 select hand_id, player, hand_class, cast(coalesce(w, 0.5) as double) as win_rate from h left join rates on k = hand_class"""
 
+ORACLE["equity_audit"] = """select 'mismatch' as finding, hand_id, player, hand_id % 40 = 11 as missing, cast(null as bigint) as copies
+from @v_cards where hand_id % 40 in (9, 11)
+union all
+select 'duplicate', hand_id, player, true, 2 from @v_cards where hand_id % 400 = 5 and player = 1"""
+
 HAND_KEY = "concat({0}, ' ', {1})".format(*[
     f"substr('23456789TJQKA', cast(floor({f}(hole[1], hole[2]) / 4) as int) + 1, 1), "
     f"substr('shdc', cast({f}(hole[1], hole[2]) % 4 as int) + 1, 1)" for f in ("least", "greatest")])

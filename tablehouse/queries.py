@@ -653,6 +653,20 @@ def preflop_equity(fx):
         "hand_id", "player", "hand_class", "win_rate")
 
 
+@query
+def equity_audit(fx):
+    """Win rates held against a copy with small and large deviations: within 1e-6 they agree."""
+    hands = fx.cards.select("hand_id", "player", "hole")
+    computed = cards.preflop_equity(hands, F.col("hole")[0], F.col("hole")[1], cards.preflop_rates(fx.spark)).select(
+        "hand_id", "player", "win_rate")
+    gap = F.when(F.col("hand_id") % 40 == 3, 1e-7).when(F.col("hand_id") % 40 == 9, 1e-3).otherwise(0.0)
+    rate = F.when(F.col("hand_id") % 40 != 11, F.col("win_rate") + gap)
+    expected = computed.withColumn("win_rate", rate)
+    twice = expected.where("hand_id % 400 = 5 and player = 1")
+    return cards.audit(computed, expected.unionByName(twice), ["hand_id", "player"], "win_rate", 1e-6).select(
+        "finding", "hand_id", "player", F.col("expected").isNull().alias("missing"), "copies")
+
+
 def _packed(fx: Fixtures) -> DataFrame:
     """A packed table of the boards of two of the three players, with a rate from the cards."""
     known = fx.cards.where("player < 2").select(

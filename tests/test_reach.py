@@ -16,6 +16,7 @@ LABELS = [
     ("player_style", "playing_style", STYLES),
     ("player_style", "data_quality", {"high", "medium", "low", "insufficient"}),
     ("player_profile", "playing_style", STYLES),
+    ("player_profile", "player_profile_label", {"Bot Hunter (猎人)", "Unclassified"}),
     ("player_profile", "collusion_status", {"normal", "collusion_suspected"}),
     ("player_profile_7d", "activity_level", {"high", "medium", "low", "silent"}),
     ("player_profile_7d", "player_profile_label",
@@ -28,6 +29,7 @@ LABELS = [
     ("showdown_winners", "category", set(range(1, 10))),
     ("showdown_short", "category", set(range(1, 10))),
     ("showdown_audit", "finding", {"mismatch", "duplicate"}),
+    ("equity_audit", "finding", {"mismatch", "duplicate"}),
     ("score_extremes", "all_equal", {False, True}),
     ("flag_export", "value", {1, 3}),
     ("raise_bucket", "bucket", set(range(8))),
