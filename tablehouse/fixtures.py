@@ -316,18 +316,20 @@ class Fixtures:
         key = name if name in TABLES else f"v_{name}"
         return self.spark.table(self._register(key))
 
-    def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    def stored(self, name: str, make: Callable[[], DataFrame], spread: bool = True) -> DataFrame:
         """The frame `make` gives as a table, written once per session.
 
         The nightly jobs hand tables to each other, and several of them read the same one.
+        spread: False for a frame read row by row from a stored table, which is spread already.
         """
         key = (self.spark.sparkContext.applicationId, self.prefix + name)
         if key not in _STORED:
             path, df = scratch(self.spark, name), make()
             cores = self.spark.sparkContext.defaultParallelism
-            if len(self.events.inputFiles()) < cores:
-                # a test table is one file, hence one task: spread what is read often
-                df = df.repartition(cores)
+            if spread and len(self.events.inputFiles()) < cores:
+                # a test table is one file, hence one task: spread what is read often, by a hash of the
+                # row, as dealing rows out in turn would sort all rows of a task first
+                df = df.repartition(cores, *df.columns)
             df.write.parquet(path)
             _STORED[key] = path
         return self.spark.read.parquet(_STORED[key])

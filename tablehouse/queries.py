@@ -45,7 +45,7 @@ def _exploded(fx: Fixtures) -> DataFrame:
 
 def _dwd(fx: Fixtures) -> DataFrame:
     """The exploded log as the table the later jobs read."""
-    return fx.stored("dwd", lambda: _exploded(fx).drop("szcarddata"))
+    return fx.stored("dwd", lambda: _exploded(fx).drop("szcarddata"), spread=False)
 
 
 # ---- hand logs -----------------------------------------------------------------------
