@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 ROWS = 1 << 20
 MOST_CUTS = 1 << 18
+GROUP = 1 << 9
 
 BEFORE = (Window.unboundedPreceding, -1)
 PAST = (Window.unboundedPreceding, Window.currentRow)
@@ -44,8 +45,18 @@ def piece(order: str) -> Column:
 
 
 def cut(df: DataFrame, cuts: DataFrame, keys: list[str], order: str, how: str = "left") -> DataFrame:
-    """df with `_c`, the piece a row lies in; how='inner' keeps the keys with cuts only."""
-    return df.join(F.broadcast(cuts), keys, how).withColumn("_c", piece(order)).drop("_cuts")
+    """df with `_c`, the piece a row lies in; how='inner' keeps the keys with cuts only.
+
+    A row meets the last cut of every group of `GROUP` cuts, and then the cuts of its own group:
+    a joined row carries its list, so it must not carry all cuts of its key.
+    """
+    groups = cuts.select(*keys, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / GROUP).cast("int")),
+        lambda g: F.slice("_cuts", g * GROUP + 1, GROUP)).alias("_groups"))
+    lasts = groups.select(*keys, F.transform(F.slice("_groups", F.lit(1), F.size("_groups") - 1), F.array_max).alias("_cuts"))
+    within = groups.select(*keys, F.posexplode("_groups").alias("_g", "_cuts"))
+    placed = df.join(F.broadcast(lasts), keys, how).withColumn("_g", piece(order)).drop("_cuts")
+    return placed.join(F.broadcast(within), [*keys, "_g"], "left").withColumn("_c", F.col("_g") * GROUP + piece(order)).drop("_cuts", "_g")
 
 
 def _inherit(df: DataFrame, cuts: DataFrame, keys: list[str], order: str, marked: DataFrame, aggs: list[Column], carried: dict[str, Column]) -> DataFrame:

@@ -106,29 +106,27 @@ def _prepare(rows: DataFrame) -> DataFrame:
 BOTH_WAYS = ("minbetscore", "maxbetscore", "minaddscore", "won")
 
 
-def _carry(hot: DataFrame, fill: str) -> DataFrame:
-    """Per piece of a cut hand, player and seat: what the other pieces hand over.
+def _carry(hot: DataFrame, fill: str) -> tuple[DataFrame, DataFrame]:
+    """Per piece of a cut hand, player and seat: what the other pieces hand over; and the boards that earlier
+    pieces have dealt, a row per piece, player, seat and board.
 
     `hot` holds the prepared rows of the cut hands, which are reduced to a row per piece, player and
-    seat once; all else are windows over those.  Values (c_) come from the pieces before, else, where
+    seat; all else are windows over those.  Values (c_) come from the pieces before, else, where
     gaps are filled backwards, from the whole hand; counts and sums from the pieces before or from all.
     """
     seat, seat_piece = [*HAND, "playerid", "seat"], [*PIECE, "playerid", "seat"]
     columns = (*BOTH_WAYS, "poolscore", "board")
     known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(ORDER).alias("at"), F.col(c).alias("v"))) for c in columns}
     bought = F.when(F.col("action") == "S2CBuyInsure", F.col(ORDER))
+
+    # a board is new where no earlier piece of the player's hand has dealt it
+    first_seen = F.min("_c").over(Window.partitionBy(*seat, "board"))
+    dealt = hot.where(F.col("board").isNotNull()).select(*seat_piece, "board").distinct().withColumn("old", F.col("_c") > first_seen)
+    fresh = dealt.where(~F.col("old")).groupBy(*seat_piece).agg(F.count(F.lit(1)).alias("n_new"))
     parts = hot.groupBy(*seat_piece).agg(
         *[f(known[c]).alias(f"{n}_{c}") for c in columns for f, n in ((F.max, "last"), (F.min, "first"))],
         F.count(F.lit(1)).alias("n"), F.sum("blind").alias("blind"), F.sum("bought").alias("paid"),
-        F.max(bought).alias("bought_at"), F.collect_set("board").alias("boards"))
-
-    # a board is new where no earlier piece of the player's hand has dealt it
-    first_seen = F.min("_c").over(Window.partitionBy(*seat, "one"))
-    dealt = parts.withColumn("one", F.explode_outer("boards")).withColumn("old", F.col("_c") > first_seen)
-    rest = [c for c in parts.columns if c not in (*seat_piece, "boards")]
-    parts = dealt.groupBy(*seat_piece).agg(
-        *[F.first(c).alias(c) for c in rest], F.collect_set(F.when(F.col("old"), F.col("one"))).alias("old_boards"),
-        F.count_if(~F.col("old") & F.col("one").isNotNull()).alias("n_new"))
+        F.max(bought).alias("bought_at")).join(fresh, seat_piece, "left")
 
     before = lambda by: Window.partitionBy(*by).orderBy("_c").rangeBetween(Window.unboundedPreceding, -1)
     player, whole = [*HAND, "playerid"], Window.partitionBy(*HAND, "playerid")
@@ -140,14 +138,14 @@ def _carry(hot: DataFrame, fill: str) -> DataFrame:
     later = {c: (F.max if w == "last" else F.min)(f"{w}_{c}").over(whole)["v"] for c, w in (*((c, fill) for c in BOTH_WAYS), ("score", "last"))}
     parts = parts.select(
         *seat_piece, "boards_before", "all_paid", "n", "blind",
-        *[(F.coalesce(v, later[c]) if c in later else v).alias(f"c_{c}") for c, v in earlier.items()],
-        F.array_union("old_boards", F.array_compact(F.array(earlier["board"]))).alias("known_boards"))
-    return parts.select(
+        *[(F.coalesce(v, later[c]) if c in later else v).alias(f"c_{c}") for c, v in earlier.items()])
+    carry = parts.select(
         "*", F.coalesce(F.sum("n").over(before(HAND)), F.lit(0)).alias("rows_before"),
         F.sum("blind").over(Window.partitionBy(*HAND)).alias("all_blinds"), F.lit(True).alias("is_cut")).drop("n", "blind")
+    return carry, dealt.where("old").select(*seat_piece, F.col("board").alias("commoncard"), F.lit(True).alias("is_old"))
 
 
-def _fill_hands(base: DataFrame, carry: DataFrame, fill: str) -> DataFrame:
+def _fill_hands(base: DataFrame, carry: DataFrame, old_boards: DataFrame, fill: str) -> DataFrame:
     """Fills, numbering and totals by windows that all share the distribution by piece."""
     player = Window.partitionBy(*PIECE, "playerid").orderBy(ORDER)
     past, whole = player.rowsBetween(*scans.PAST), player.rowsBetween(*scans.WHOLE)
@@ -170,8 +168,12 @@ def _fill_hands(base: DataFrame, carry: DataFrame, fill: str) -> DataFrame:
         forward("poolscore").alias("f_pool"), forward("board").alias("commoncard"),
     )
     order = Window.partitionBy(*PIECE).orderBy(ORDER, "rank", "seat_no")
-    boards = F.collect_set("commoncard").over(seat.orderBy(ORDER))
-    distinct = F.when(F.col("is_cut"), F.col("boards_before") + F.size(F.array_except(boards, "known_boards"))).otherwise(F.size(boards))
+    # the first row of each board in a piece counts, unless an earlier piece has dealt it or hands it over
+    known = F.col("is_old").isNotNull() | F.coalesce(F.col("commoncard") == F.col("c_board"), F.lit(False))
+    first = F.row_number().over(Window.partitionBy(*PIECE, "playerid", "seat", "commoncard").orderBy(ORDER)) == 1
+    filled = filled.join(old_boards, [*PIECE, "playerid", "seat", "commoncard"], "left").withColumn(
+        "is_new", (F.col("commoncard").isNotNull() & first & ~known).cast("int"))
+    distinct = F.sum("is_new").over(seat.orderBy(ORDER)) + F.coalesce("boards_before", F.lit(0))
     return filled.select(
         "*", (F.row_number().over(order) + F.coalesce("rows_before", F.lit(0))).cast("bigint").alias("rn"),
         F.when(F.col("is_cut"), F.col("all_blinds")).otherwise(F.sum("blind").over(Window.partitionBy(*PIECE))).alias("blinds"),
@@ -195,7 +197,7 @@ def player_action(dwd: DataFrame, seats: DataFrame, score: DataFrame, fill: str
     def prepared(how: str) -> DataFrame:
         return _prepare(fan_out(events(scans.cut(source, cuts, HAND, ORDER, how)), hearers(seats, score, cuts, how)))
 
-    numbered = _fill_hands(prepared("left"), _carry(prepared("inner"), fill), fill)
+    numbered = _fill_hands(prepared("left"), *_carry(prepared("inner"), fill), fill)
     start = F.col("action") == "S2CStateGameStart"
     betscore = F.when(start, F.col("startbet")).otherwise(F.col("betscore"))
     pool = (
