@@ -128,8 +128,11 @@ def _polled(fx: Fixtures) -> str:
     """The lines of six polls through the buffered ingest, a batch per poll; the folder with its tables."""
     def run() -> str:
         spark, home = fx.spark, scratch(fx.spark, "buffered")
+        # made by all tasks once; a poll is one file, so one task writes it and should only copy it
+        fx.polled.write.partitionBy("poll").parquet(f"{home}/polls")
+        polls = spark.read.schema(fx.polled.schema).parquet(f"{home}/polls")
         for poll in range(6):
-            fx.polled.where(F.col("poll") == poll).select("event_id", "ts_ms", "message").coalesce(1).write.mode("append").json(f"{home}/lines")
+            polls.where(F.col("poll") == poll).select("event_id", "ts_ms", "message").coalesce(1).write.mode("append").json(f"{home}/lines")
         buffer.ingest_buffered(spark, f"{home}/lines", f"{home}/table", f"{home}/side", f"{home}/failed", f"{home}/state",
                                files_per_batch=1, **FLUSH).awaitTermination()
         return home

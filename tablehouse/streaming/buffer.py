@@ -8,7 +8,8 @@ busy day is spread.  A shard keeps
     seen    ids of the last `delay`, in buckets of time: a line with one of them is repeated
     open    per local day the lines not yet written, with the time of the first
 
-Within a batch a shard's lines are taken in order of time.  A buffer leaves the state when it has
+Within a batch a shard's lines are taken in order of time.  The state is asked once per day or bucket
+and batch, as a call to it takes longer than a line does.  A buffer leaves the state when it has
 `max_rows` lines (reason 'rows'), when a line or the clock is `max_age_s` beyond its first line
 ('age'), or when no line comes for so long by the wall clock ('timer').  Late and repeated
 lines come out as side rows.  What is still open at a stop is in the checkpoint and goes on from there.
@@ -32,6 +33,7 @@ from tablehouse.streaming.ingest import KEYWORD, read_log
 OUT = "kind string, shard int, dt string, flush long, reason string, event_id string, ts_ms long, tstr string"
 COLUMNS = [c.split()[0] for c in OUT.split(", ")]
 TRIES = 2
+OUT_ROWS = 50_000
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
@@ -47,6 +49,10 @@ def with_keyword(lines: DataFrame, keyword: str, zone: str, shards: int) -> Data
         cut_after(message, keyword).alias("tstr"))
 
 
+def framed(out: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(out, columns=COLUMNS).astype({"flush": "Int64"})
+
+
 class Buffers(StatefulProcessor):
     """State and rules of a shard."""
 
@@ -70,11 +76,17 @@ class Buffers(StatefulProcessor):
         return True
 
     def _flush(self, shard: int, dt: str, buffer: list, reason: str, out: list) -> None:
-        number = self.flushes.getValue((dt,))[0] if self.flushes.containsKey((dt,)) else 0
-        self.flushes.updateValue((dt,), (number + 1,))
+        if dt not in self.numbers:
+            self.numbers[dt] = self.flushes.getValue((dt,))[0] if self.flushes.containsKey((dt,)) else 0
+        number = self.numbers[dt]
+        self.numbers[dt] = number + 1
         _, ids, ts, tstr = buffer
         out += [("line", shard, dt, number, reason, *line) for line in zip(ids, ts, tstr)]
 
+    def _keep_numbers(self) -> None:
+        for dt, number in self.numbers.items():
+            self.flushes.updateValue((dt,), (number,))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         shard, now = int(key[0]), timerValues.getCurrentProcessingTimeInMs()
         batch = pd.concat(list(rows)).sort_values(["ts_ms", "event_id"], kind="stable")
@@ -83,7 +95,12 @@ class Buffers(StatefulProcessor):
         out: list[tuple] = []
         seen: dict[int, set] = {}
         open_: dict[str, list] = {}
+        first: dict[str, int] = {}  # the earliest time in a buffer
+        self.numbers: dict[str, int] = {}
         for dt, event_id, ts, tstr in zip(batch["dt"], batch["event_id"], batch["ts_ms"].astype(int).tolist(), batch["tstr"]):
+            if len(out) >= OUT_ROWS:
+                yield framed(out)
+                out = []
             if before is not None and ts < before - self.delay:
                 out.append(("late", shard, dt, None, None, event_id, ts, tstr))
                 continue
@@ -93,10 +110,12 @@ class Buffers(StatefulProcessor):
             if dt not in open_:
                 kept = self.open.getValue((dt,)) if self.open.containsKey((dt,)) else None
                 open_[dt] = [kept[0], *map(list, kept[1:])] if kept else [now, [], [], []]
+                first[dt] = min(open_[dt][2], default=ts)
             buffer = open_[dt]
-            if buffer[2] and ts >= min(buffer[2]) + self.max_age:
+            if buffer[2] and ts >= first[dt] + self.max_age:
                 self._flush(shard, dt, buffer, "age", out)
                 buffer = open_[dt] = [now, [], [], []]
+            first[dt] = min(first[dt], ts) if buffer[2] else ts
             for place, value in zip(buffer[1:], (event_id, ts, tstr)):
                 place.append(value)
             if len(buffer[1]) >= self.max_rows:
@@ -114,10 +133,11 @@ class Buffers(StatefulProcessor):
             self.seen.removeKey((old,))
         self.clock.update((clock,))
         self._expire(shard, lambda arrived, first: clock >= first + self.max_age, "age", out)
+        self._keep_numbers()
         # one timer a shard: a state iterator is read to its end before the next call
         if list(self.open.keys()) and not list(self.handle.listTimers()):
             self.handle.registerTimer(now + self.max_age)
-        yield pd.DataFrame(out, columns=COLUMNS).astype({"flush": "Int64"})
+        yield framed(out)
 
     def _expire(self, shard: int, due: Callable[[int, int], bool], reason: str, out: list) -> None:
         for dt in sorted(k[0] for k in list(self.open.keys())):
@@ -129,11 +149,13 @@ class Buffers(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         shard, now = int(key[0]), timerValues.getCurrentProcessingTimeInMs()
         out: list[tuple] = []
+        self.numbers = {}
         self._expire(shard, lambda arrived, first: now >= arrived + self.max_age, "timer", out)
+        self._keep_numbers()
         left = [self.open.getValue(k)[0] for k in list(self.open.keys())]
         if left:
             self.handle.registerTimer(min(left) + self.max_age)
-        yield pd.DataFrame(out, columns=COLUMNS).astype({"flush": "Int64"})
+        yield framed(out)
 
     def close(self) -> None:
         pass
