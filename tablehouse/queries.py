@@ -29,7 +29,7 @@ def query(fn: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame
 
 def bind(fn: Callable[[Fixtures], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Fixtures(tune(spark), sf_dir))
+        return fn(Fixtures(tune(spark, tables=True), sf_dir))
 
     run.__name__ = fn.__name__
     return run

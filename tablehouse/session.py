@@ -28,11 +28,26 @@ RUNTIME = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# The table jobs: exchanged rows are narrow and packed, and a task sorts them several times after they
+# have been joined and spread, so its share of an exchange is small and their number follows the input.
+TABLE_SIZES = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1024",
+}
+
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings above to a running session (ANSI mode is left as it is: on)."""
+def tune(spark: SparkSession, tables: bool = False) -> SparkSession:
+    """Apply the settings above to a running session (ANSI mode is left as it is: on).
+
+    tables: with the sizes of the table jobs; without, those an earlier call has set go.
+    """
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    for key, value in TABLE_SIZES.items():
+        if tables:
+            spark.conf.set(key, value)
+        elif spark.conf.get(key, None) == value:
+            spark.conf.unset(key)
     return spark
 
 
