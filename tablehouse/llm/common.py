@@ -67,8 +67,10 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > self.n:
-            self.n = max(n, 1 << 16, min(2 * self.n, CHUNK_BYTES))
-            self.up, self.down = _powers(self.base, self.n), _powers(self.inverse, self.n)
+            most = max(n, 1 << 16, min(2 * self.n, CHUNK_BYTES))
+            # a task that is stopped here must not leave a count without its powers to the next one
+            self.up, self.down = _powers(self.base, most), _powers(self.inverse, most)
+            self.n = most
         return self.up, self.down
 
 
