@@ -129,6 +129,33 @@ def test_chain_of_left_overs(spark):
     assert found == brute_classes(dict(enumerate(texts)))
 
 
+def test_bags():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        a, b = (rng.choice(np.array([1, 7, 2**31, 2**32 - 1], np.uint32), rng.integers(0, 30)) for _ in range(2))
+        x, y = order_minhash.bag(a), order_minhash.bag(b)
+        assert len(set(x.tolist())) == len(a) and len({*x.tolist()} & {*y.tolist()}) == (Counter(a.tolist()) & Counter(b.tolist())).total()
+
+
+def test_texts_about_a_class_are_not_aligned(spark, monkeypatch):
+    """Texts with too few words in common with any text of a large class, though not by the triangle inequality, make no pairs with it."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(60)]
+    change = lambda n, first: [f"x{rng.randrange(10**9)}" if i in picked else w for picked in [set(rng.sample(range(first, 60), n))] for i, w in enumerate(base)]
+    texts = [base, *[change(rng.randrange(1, 5), 30) for _ in range(60)], *[change(18, 30) for _ in range(40)], *[change(13, 30) for _ in range(10)]]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    verify, sent = order_minhash.verify, []
+
+    def counted(pairs, *more):
+        sent.append(pairs.count())
+        return verify(pairs, *more)
+
+    monkeypatch.setattr(order_minhash, "verify", counted)
+    found = {r.doc_id: r.class_id for r in order_minhash.classes(frame).collect()}
+    assert found == brute_classes(dict(enumerate(texts)))
+    assert sum(sent) < 8 * len(texts)  # 1,728 pairs of 111 texts without the bags
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(100, i) for i in range(101, 140)] + [(200 + i, 201 + i) for i in range(30)]
