@@ -8,8 +8,9 @@ import pandas as pd
 from tablehouse import queries
 from tablehouse.fixtures import Fixtures
 from tablehouse.operators import scans
-from tablehouse.plans import actions
-from tablehouse.session import tune
+from tablehouse.plans import actions, catalog
+from tablehouse.session import scratch, tune
+from tablehouse.sources import files
 from tablehouse.streaming import buffer
 
 
@@ -119,3 +120,52 @@ def test_a_day_is_written_by_many_tasks(spark, sf_dir, monkeypatch):
     assert all(r.same_bytes and r.mb_fits for r in found.values())
     most = max(rows, key=rows.get)
     assert len({name.name.split("-")[1] for name in Path(folders["sized"], most).glob("*.parquet")}) > 1
+
+
+def test_a_scan_holds_a_bounded_number_of_files(spark, sf_dir, monkeypatch):
+    scans_of, most = [], 16
+    plain = queries.io.read_table
+
+    def seen(*args, **kw):
+        scans_of.append(plain(*args, **kw))
+        return scans_of[-1]
+
+    monkeypatch.setattr(queries.io, "read_table", seen)
+    monkeypatch.setattr(queries, "FILE_ROWS", 2)
+    monkeypatch.setattr(queries, "FILES_AT_ONCE", most, raising=False)
+    kept = {key: spark.conf.get(key) for key in getattr(queries, "SCAN", {})}
+    found = {r.partition_spec: r for r in queries.all_queries()["partition_sizes"](spark, sf_dir).collect()}
+    assert {key: spark.conf.get(key) for key in kept} == kept
+    assert all(r.same_bytes and r.mb_fits for r in found.values())
+    held = [df.inputFiles() for df in scans_of]
+    assert max(map(len, held)) <= 3 * most < sum(map(len, held))  # dealt by a hash: some more than `most` at times
+    assert len({f for fs in held for f in fs}) == sum(map(len, held)) == sum(r.files for r in found.values())
+
+
+def test_slices_hold_every_file_once(spark):
+    root = scratch(spark, "sliced")
+    n = {"a": 1, "b": 2, "c": 40, "d": 3}
+    for dt, k in n.items():
+        for i in range(k):
+            path = Path(root.removeprefix("file:"), f"dt={dt}", f"part-{i}.parquet")
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_bytes(b"x")
+    sizes = catalog.partition_sizes(spark, {"t": root})
+    lists = list(files.slices(spark, root, sizes, 5))
+    assert lists[:2] == [[f"{root}/dt=a", f"{root}/dt=b"], [f"{root}/dt=d"]]
+    assert sorted(p for paths in lists[2:] for p in paths) == sorted(f"{root}/dt=c/part-{i}.parquet" for i in range(40))
+    assert len(lists) == 2 + 8 and max(map(len, lists)) < 20
+    assert list(files.slices(spark, root, sizes.where("false"), 5)) == []
+
+
+def test_files_and_folders_read_alike(spark, tmp_path):
+    root = f"file://{tmp_path}/t"
+    spark.range(60).selectExpr("id", "nullif(concat('d', cast(id % 3 as string)), 'd2') as dt").repartition(4).write.partitionBy("dt").parquet(root)
+    read, columns = queries.io.read_table, "id bigint, dt string"
+    whole = read(spark, root, columns)
+    folders = [f"{root}/dt=__HIVE_DEFAULT_PARTITION__"]
+    for paths in (folders, [f for f in whole.inputFiles() if "DEFAULT" in f]):
+        part = read(spark, root, columns, paths)
+        assert part.schema == whole.schema
+        assert sorted(map(tuple, part.collect())) == [(i, None) for i in range(2, 60, 3)]
+    assert read(spark, root, columns, whole.inputFiles()).exceptAll(whole).count() == 0 < whole.count() == 60
